@@ -84,7 +84,7 @@ _PAIRS = {
     # larger half when both are long.
     "cut": "SELECT passage_id, ta.ids[1:greatest(127, 253 - len(tb.ids))] AS a, tb.ids AS b FROM ta "
            "JOIN tb USING (passage_id)",
-    "both": "SELECT passage_id, a, b[1:253 - len(a)] AS b FROM cut",
+    "trimmed": "SELECT passage_id, a, b[1:253 - len(a)] AS b FROM cut",
 }
 
 
@@ -92,7 +92,7 @@ _PAIRS = {
              f"{_joined(_padded('list_concat([2], a, [3], b, [3])', 256))} AS input_ids, "
              f"{_joined(_mask('len(a) + len(b) + 3', 256))} AS attention_mask, "
              "array_to_string(list_transform(range(256), lambda k: CASE WHEN k >= len(a) + 2 AND "
-             "k < len(a) + len(b) + 3 THEN 1 ELSE 0 END), ' ') AS token_type_ids FROM both"))
+             "k < len(a) + len(b) + 3 THEN 1 ELSE 0 END), ' ') AS token_type_ids FROM trimmed"))
 def encode_pairs(spark, sf_dir):
     titled = passages(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
     rows = tokens.encode_pairs(titled, "passage_id", "title", "text",
