@@ -12,9 +12,12 @@ PUNCTUATION = string.punctuation
 ARTICLE_WORDS = ("a", "an", "the")
 # Code points that Python's str.split() treats as white space.
 WHITESPACE = r"[\x09-\x0D\x1C-\x1F\x{85}\p{Z}]+"
+# Every run of those except a single plain space, which needs no replacing.
+WHITESPACE_RUN = rf" {WHITESPACE}|[\x09-\x0D\x1C-\x1F\x{{85}}\p{{Z}}&&[^ ]]{WHITESPACE[:-1]}*"
 # A word character is a letter, a number or "_"; look-arounds state the border
 # outright because \b differs between regex engines outside ASCII.
-ARTICLE_PATTERN = r"(?<![\p{L}\p{N}_])(a|an|the)(?![\p{L}\p{N}_])"
+# The literal comes first so that the border checks run at candidates only.
+ARTICLE_PATTERN = r"(an?|the)(?![\p{L}\p{N}_])(?<![\p{L}\p{N}_](?:an?|the))"
 # Characters kept by the two whitelist cleaners (Hangul, Latin, digits, with
 # and without punctuation).
 KEEP_WITH_PUNCTUATION = (
@@ -36,7 +39,7 @@ def clean_newlines(text: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, WHITESPACE, " "))
+    return F.trim(F.regexp_replace(text, WHITESPACE_RUN, " "))
 
 
 def clean_whitelist(text: Column, keep_punctuation: bool = True) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.ids import passage_label
 from answerloom.functions.text import canonical_offset, sentences
-from answerloom.operators.skew import HOT_ROWS, skew_join
+from answerloom.operators.skew import HOT_ROWS, computed_once, skew_join
 
 MAX_CHARS = 470
 # Offsets are bucketed by this width so that the interval join has an equi-key;
@@ -83,8 +83,8 @@ def chunk_qa(qa: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     located = F.size(F.filter("_chunks", lambda c: c["start"] <= F.col("_offset"))) - 1
     hit = F.col("paragraph_id") == F.col("_hit")
     return (
-        qa.withColumn("_offset", F.when(F.col("answer_start") >= 0, offset))
-        .withColumn("_chunks", chunk_column(F.col("context"), max_chars))
+        computed_once(qa, "_chunks", chunk_column(F.col("context"), max_chars))
+        .withColumn("_offset", F.when(F.col("answer_start") >= 0, offset))
         .withColumn("_hit", F.when(F.col("_offset").isNotNull(), located))
         .select("qa_id", "article_id", "title", "question", "answer", "_hit",
                 F.posexplode("_chunks").alias("paragraph_id", "_chunk"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.vectors import inner_product
 from answerloom.operators.scoring import (
-    SCORE_DIGITS, CountAbove, LogSumExp, _matrix, merge_log_sum_exp, score_blocks)
+    SCORE_DIGITS, CountAbove, NegativeMass, _matrix, merge_mass, score_blocks)
 
 # Corpus vectors enter the negative queue scaled by this factor (fixed value), so
 # a positive with a positive score beats its own copy among the negatives.
@@ -53,24 +53,19 @@ def corpus_loss(pairs: DataFrame, passages: DataFrame, temperature: float = 1.0,
                 negative_scale: float = NEGATIVE_SCALE, **layout) -> DataFrame:
     """Cross-entropy of the positive against itself plus the whole scaled corpus.
 
-    Per question: loss, n_negatives, and the rank of the positive among them.
-    Log-sum-exp and rank come from two folds over the same blocks; no score is kept.
+    Per question: loss, n_negatives, and the rank of the positive among them, all
+    from one pass over the blocks; no score is kept.
     """
     gold = _scored_gold(pairs)
-    negatives = merge_log_sum_exp(
-        score_blocks(gold, passages, LogSumExp(negative_scale, temperature), **layout))
-    above = (
-        score_blocks(gold, passages, CountAbove(negative_scale, ties=False), **layout)
-        .groupBy("question_id").agg(F.sum("above").alias("_above"))
-    )
+    negatives = merge_mass(
+        score_blocks(gold, passages, NegativeMass(negative_scale, temperature), **layout))
     positive = F.col("gold_score") / temperature
     high = F.greatest(positive, F.col("log_sum"))
     log_total = high + F.log(F.exp(positive - high) + F.exp(F.col("log_sum") - high))
     return (
         gold.select("question_id", "gold_score").join(negatives, "question_id")
-        .join(above, "question_id")
         .select("question_id", (log_total - positive).alias("loss"),
-                F.col("n").alias("n_negatives"), (F.col("_above") + 1).alias("positive_rank"))
+                F.col("n").alias("n_negatives"), (F.col("above") + 1).alias("positive_rank"))
     )
 
 
@@ -142,27 +137,26 @@ def queue_loss(pairs: DataFrame, queue_size: int, batch_size: int,
                         F.explode(F.sequence(stripe, F.least(stripe + 1, last))).alias("stripe"))
     schema = "seq bigint, loss double, positive_rank bigint, n_negatives bigint"
 
+    fold = NegativeMass(temperature=temperature)
+
     def run(asked: pa.Table, stored: pa.Table) -> pa.Table:
         asked, stored = asked.sort_by("seq"), stored.sort_by("key_seq")
         seq, key_seq = asked["seq"].to_numpy(), stored["key_seq"].to_numpy()
         q, own, keys_ = (_matrix(asked["question_vector"]), _matrix(asked["passage_vector"]),
                          _matrix(stored["key_vector"]))
-        positive = np.round((q * own).sum(axis=1), SCORE_DIGITS)
-        columns = [[], [], [], []]
+        gold = np.round((q * own).sum(axis=1), SCORE_DIGITS)
+        parts = []
         for batch in np.unique(seq // batch_size):
-            rows = np.nonzero(seq // batch_size == batch)[0]
-            first = (batch - depth) * batch_size
-            seen = slice(*np.searchsorted(key_seq, [first, batch * batch_size]))
-            scores = np.round(q[rows] @ keys_[seen].T, SCORE_DIGITS)
-            own_score = positive[rows]
-            rank = 1 + (scores > own_score[:, None]).sum(axis=1)
-            logits = np.concatenate([own_score[:, None], scores], axis=1) / temperature
-            peak = logits.max(axis=1)
-            total = peak + np.log(np.exp(logits - peak[:, None]).sum(axis=1))
-            for column, values in zip(columns, (seq[rows], total - logits[:, 0], rank,
-                                                np.full(len(rows), scores.shape[1]))):
-                column.append(values)
+            rows = slice(*np.searchsorted(seq, [batch * batch_size, (batch + 1) * batch_size]))
+            seen = slice(*np.searchsorted(key_seq, [(batch - depth) * batch_size,
+                                                    batch * batch_size]))
+            peak, mass, n, above = fold.fold_arrays(
+                q[rows], gold[rows], [(key_seq[seen], keys_[seen])])
+            positive = gold[rows] / temperature
+            high = np.maximum(peak, positive)
+            loss = high + np.log(mass * np.exp(peak - high) + np.exp(positive - high)) - positive
+            parts.append([seq[rows], loss, above + 1, n])
         names = ["seq", "loss", "positive_rank", "n_negatives"]
-        return pa.table({n: np.concatenate(c) for n, c in zip(names, columns)})
+        return pa.table({name: np.concatenate(c) for name, c in zip(names, zip(*parts))})
 
     return questions.groupBy("stripe").cogroup(keys.groupBy("stripe")).applyInArrow(run, schema)

@@ -49,6 +49,31 @@ def _tiles(questions: np.ndarray, ids: np.ndarray, passages: np.ndarray):
         yield ids[at:at + step], np.round(questions @ passages[at:at + step].T, SCORE_DIGITS)
 
 
+class BestK:
+    """Running best ``k`` of several rows of scores, ties to the smaller id."""
+
+    def __init__(self, rows: int, k: int, lowest: float = -np.inf):
+        self.k, self.bound = k, np.full(rows, lowest)
+        self.row, self.pid = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.score = np.empty(0)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        """``scores`` is rows x passages; only those reaching the bound are sorted."""
+        k, floor = self.k, self.bound
+        if scores.shape[1] > k:
+            floor = np.maximum(floor, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
+        new_row, new_col = np.nonzero(scores >= floor[:, None])
+        row = np.concatenate([self.row, new_row])
+        pid = np.concatenate([self.pid, ids[new_col]])
+        score = np.concatenate([self.score, scores[new_row, new_col]])
+        order = np.lexsort((pid, -score, row))
+        row, pid, score = row[order], pid[order], score[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+        kth, keep = rank == k - 1, rank < k
+        self.bound[row[kth]] = score[kth]
+        self.row, self.pid, self.score = row[keep], pid[keep], score[keep]
+
+
 class TopK:
     """Best ``k`` passages of every question."""
 
@@ -60,62 +85,50 @@ class TopK:
     def fold(self, table: pa.Table, blocks: Iterator[tuple[np.ndarray, np.ndarray]]):
         qids = table["question_id"].to_numpy()
         questions = _matrix(table["vector"])
-        row, pid, score = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        bound = np.full(len(qids), -np.inf)
+        best = BestK(len(qids), self.k)
         for ids, passages in blocks:
             for tile_ids, scores in _tiles(questions, ids, passages):
-                floor = bound
-                if scores.shape[1] > self.k:
-                    floor = np.maximum(bound, np.partition(
-                        scores, scores.shape[1] - self.k, axis=1)[:, -self.k])
-                new_row, new_col = np.nonzero(scores >= floor[:, None])
-                row = np.concatenate([row, new_row])
-                pid = np.concatenate([pid, tile_ids[new_col]])
-                score = np.concatenate([score, scores[new_row, new_col]])
-                order = np.lexsort((pid, -score, row))
-                row, pid, score = row[order], pid[order], score[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row, side="left")
-                keep = rank < self.k
-                kth = rank == self.k - 1
-                bound[row[kth]] = score[kth]
-                row, pid, score = row[keep], pid[keep], score[keep]
-        return [qids[row], pid, score]
-
-
-class LogSumExp:
-    """Running maximum and scaled exponential sum over all passages."""
-
-    schema = "question_id bigint, peak double, mass double, n bigint"
+                best.add(tile_ids, scores)
+        return [qids[best.row], best.pid, best.score]
+
+
+class NegativeMass:
+    """Log-sum-exp of all passages as negatives, and how many beat the positive.
+
+    Scores are multiplied by ``scale``, logits are scores over ``temperature``; the
+    exponential sum is carried as (peak, mass) so that parts can be merged.
+    """
+
+    schema = "question_id bigint, peak double, mass double, n bigint, above bigint"
 
     def __init__(self, scale: float = 1.0, temperature: float = 1.0):
-        self.factor = scale / temperature
+        self.scale, self.temperature = scale, temperature
 
     def fold(self, table: pa.Table, blocks: Iterator[tuple[np.ndarray, np.ndarray]]):
-        qids = table["question_id"].to_numpy()
-        questions = _matrix(table["vector"])
-        peak, mass, n = np.full(len(qids), -np.inf), np.zeros(len(qids)), 0
+        return [table["question_id"].to_numpy(), *self.fold_arrays(
+            _matrix(table["vector"]), table["gold_score"].to_numpy(), blocks)]
+
+    def fold_arrays(self, questions, gold, blocks):
+        gold = np.round(gold, SCORE_DIGITS)[:, None]
+        peak, mass = np.full(len(questions), -np.inf), np.zeros(len(questions))
+        n, above = np.zeros(len(questions), np.int64), np.zeros(len(questions), np.int64)
         for ids, passages in blocks:
             for tile_ids, scores in _tiles(questions, ids, passages):
-                scores = scores * self.factor
-                top = np.maximum(peak, scores.max(axis=1))
-                mass = mass * np.exp(peak - top) + np.exp(scores - top[:, None]).sum(axis=1)
+                if self.scale != 1.0:
+                    scores = np.round(scores * self.scale, SCORE_DIGITS)
+                above += (scores > gold).sum(axis=1)
+                logits = scores / self.temperature
+                top = np.maximum(peak, logits.max(axis=1))
+                mass = mass * np.exp(peak - top) + np.exp(logits - top[:, None]).sum(axis=1)
                 peak, n = top, n + len(tile_ids)
-        if n == 0:
-            return [np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0, np.int64)]
-        return [qids, peak, mass, np.full(len(qids), n, np.int64)]
+        return [peak, mass, n, above]
 
 
 class CountAbove:
-    """How many passages beat a given (gold_score, gold_id); ties go to the smaller id.
-
-    ``ties`` False counts strictly higher scores only.
-    """
+    """How many passages beat (gold_score, gold_id); ties go to the smaller id."""
 
     schema = "question_id bigint, above bigint"
 
-    def __init__(self, scale: float = 1.0, ties: bool = True):
-        self.scale, self.ties = scale, ties
-
     def fold(self, table: pa.Table, blocks: Iterator[tuple[np.ndarray, np.ndarray]]):
         qids = table["question_id"].to_numpy()
         questions = _matrix(table["vector"])
@@ -124,11 +137,7 @@ class CountAbove:
         above = np.zeros(len(qids), np.int64)
         for ids, passages in blocks:
             for tile_ids, scores in _tiles(questions, ids, passages):
-                if self.scale != 1.0:
-                    scores = np.round(scores * self.scale, SCORE_DIGITS)
-                beats = scores > gold
-                if self.ties:
-                    beats |= (scores == gold) & (tile_ids[None, :] < gold_id)
+                beats = (scores > gold) | ((scores == gold) & (tile_ids[None, :] < gold_id))
                 above += beats.sum(axis=1)
         return [qids, above]
 
@@ -235,14 +244,19 @@ def top_passages(questions: DataFrame, passages: DataFrame, k: int, **layout) ->
     return rank_top(score_blocks(questions, passages, TopK(k), **layout), k)
 
 
-def merge_log_sum_exp(partials: DataFrame) -> DataFrame:
-    """(question_id, log_sum, n) from partial (peak, mass, n) rows; one exchange."""
+def merge_mass(partials: DataFrame) -> DataFrame:
+    """One (question_id, log_sum, n, above) row per question; a single exchange.
+
+    A part that saw no passage has peak -infinity and mass 0; a question without
+    any negative gets a log_sum of -infinity.
+    """
     peak = F.max("peak").over(Window.partitionBy("question_id"))
+    share = F.when(F.col("mass") > 0, F.col("mass") * F.exp(F.col("peak") - F.col("_peak")))
     return (
         partials.withColumn("_peak", peak)
         .groupBy("question_id")
-        .agg(F.max("_peak").alias("_peak"),
-             F.sum(F.col("mass") * F.exp(F.col("peak") - F.col("_peak"))).alias("_mass"),
-             F.sum("n").alias("n"))
-        .select("question_id", (F.col("_peak") + F.log("_mass")).alias("log_sum"), "n")
+        .agg(F.max("_peak").alias("_peak"), F.sum(share).alias("_mass"), F.sum("n").alias("n"),
+             F.sum("above").alias("above"))
+        .select("question_id", F.coalesce(F.col("_peak") + F.log("_mass"),
+                                          F.lit(float("-inf"))).alias("log_sum"), "n", "above")
     )

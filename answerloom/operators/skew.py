@@ -76,6 +76,15 @@ def use_all_cores(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(cores, *keys)
 
 
+def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later expressions read instead of repeating.
+
+    Catalyst merges projections and copies what they reference; unrolling a
+    one-element array is a node of its own, so ``value`` is evaluated once per row.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def fits(rows: DataFrame, limit: int) -> bool:
     """True when ``rows`` has at most ``limit`` rows; reads no more than it must."""
     return rows.limit(limit + 1).count() <= limit

@@ -2,65 +2,118 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import content_key
 from answerloom.functions.text import words
-from answerloom.operators.scoring import SCORE_DIGITS, rank_top
-from answerloom.operators.skew import broadcast_if_fits, fits, skew_join
+from answerloom.operators.scoring import SCORE_DIGITS, BestK, TopK, rank_top
+from answerloom.operators.skew import computed_once, fits, skew_join
 
 BROADCAST_TERMS = 500_000
+SLICE_SCORES = 250_000  # passages x questions scored at once
 
 
 def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2, b: float = 0.75,
              broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """Top ``k`` passages per question (Robertson and Zaragoza 2009).
 
-    ``questions``: question_id, text; ``passages``: passage_id, text.  Passages
-    are hashed by id once; term counts and per-question sums are then local to a
-    task, because both group by the passage first.  Only terms that some question
-    uses survive the scan, and only the best ``k`` per question and task are
-    shuffled, so frequent words cost time but never one task.
+    ``questions``: question_id, text; ``passages``: passage_id, text, best a stored
+    table, since it is read for the term statistics and again for the scores.
+
+    Up to ``broadcast_terms`` question terms are broadcast with their weights and
+    every scan task scores its own passages; no text is shuffled.  Beyond that
+    terms meet by a join.  Either way a frequent word costs time, never one task,
+    and only the best ``k`` per question and task leave it.
     """
     asked = (
         questions.select("question_id", F.explode(words(F.col("text"))).alias("term"))
         .groupBy("question_id", "term").agg(F.count("*").alias("qtf"))
     )
-    placed = (
-        passages.select("passage_id", "text").repartition("passage_id")
-        .select("passage_id", words(F.col("text")).alias("_words"))
-        .withColumn("length", F.size("_words"))
-    )
-    stats = passages.select(F.size(words(F.col("text"))).alias("n")).agg(
-        F.count("*").alias("n_passages"), F.avg("n").alias("mean_length"))
-    used = broadcast_if_fits(asked.select("term").distinct(), broadcast_terms)
-    postings = (
-        placed.select("passage_id", "length", F.explode("_words").alias("term"))
-        .join(used, "term")
-        .groupBy("passage_id", "length", "term").agg(F.count("*").alias("tf"))
+    split = computed_once(passages.select("passage_id", "text"), "words", words(F.col("text")))
+    stats = split.agg(F.count("*").alias("n_passages"), F.avg(F.size("words")).alias("mean"))
+    small = fits(asked, broadcast_terms)
+    used = asked.select("term").distinct()
+    df = (
+        split.select(F.explode(F.array_distinct("words")).alias("term"))
+        .join(F.broadcast(used) if small else used, "term")
+        .groupBy("term").agg(F.count("*").alias("df"))
     )
     n = stats.select("n_passages").scalar()
-    idf = postings.groupBy("term").agg(F.count("*").alias("df")).select(
-        "term", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    weights = asked.join(idf, "term").select(
-        "term", "question_id", (F.col("qtf") * F.col("idf")).alias("weight"))
-    if fits(asked, broadcast_terms):
-        matched = postings.join(F.broadcast(weights), "term")
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = asked.join(df, "term").select("term", "question_id",
+                                            (F.col("qtf") * idf).alias("weight"))
+    if small:
+        mean = stats.select("mean").first()[0]
+        scored = _score_by_scan(split, weights.toArrow(), mean, k, k1, b)
     else:
-        keyed = weights.withColumn("_key", content_key(F.col("term"))).drop("term")
-        matched = skew_join(postings.withColumn("_key", content_key(F.col("term"))), keyed,
-                            ["_key"], "inner", F.col("passage_id"))
-    mean = stats.select("mean_length").scalar()
-    saturation = F.col("tf") * (k1 + 1) / (
-        F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))
-    scored = (
-        matched.groupBy("passage_id", "question_id")
-        .agg(F.round(F.sum(F.col("weight") * saturation), SCORE_DIGITS).alias("score"))
-    )
+        scored = _score_by_join(passages, weights, stats.select("mean").scalar(), k1, b)
     return rank_top(scored, k)
 
 
+def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1: float,
+                   b: float) -> DataFrame:
+    """Broadcast term weights as rows of a sparse matrix, fold the best ``k``."""
+    weights = weights.sort_by("term")
+    runs = weights["term"].combine_chunks().dictionary_encode()
+    starts = np.searchsorted(runs.indices.to_numpy(), np.arange(len(runs.dictionary) + 1))
+    qids, columns = np.unique(weights["question_id"].to_numpy(), return_inverse=True)
+    shared = split.sparkSession.sparkContext.broadcast(
+        (runs.dictionary, starts, qids, columns, weights["weight"].to_numpy()))
+
+    def run(batches):
+        terms, starts, qids, columns, values = shared.value
+        best = BestK(len(qids), k, lowest=np.nextafter(0, 1))
+        step = max(1, SLICE_SCORES // max(1, len(qids)))
+        for batch in batches:
+            for at in range(0, batch.num_rows if len(qids) else 0, step):
+                part = batch.slice(at, step)
+                sizes = part.column(1).value_lengths().to_numpy()
+                term = pc.index_in(part.column(1).flatten(), value_set=terms)
+                row = np.repeat(np.arange(len(sizes)), sizes)[term.is_valid().to_numpy(False)]
+                cell, tf = np.unique(row * len(terms) + term.drop_null().to_numpy(),
+                                     return_counts=True)
+                row, term = np.divmod(cell, len(terms))
+                gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[row] / mean))
+                fan = starts[term + 1] - starts[term]
+                source = np.repeat(np.arange(len(term)), fan)
+                entry = starts[term][source] + np.arange(len(source)) - np.repeat(
+                    np.cumsum(fan) - fan, fan)
+                scores = np.bincount(row[source] * len(qids) + columns[entry],
+                                     weights=values[entry] * gain[source],
+                                     minlength=len(sizes) * len(qids))
+                scores = np.round(scores, SCORE_DIGITS).reshape(len(sizes), len(qids)).T
+                best.add(part.column(0).to_numpy(), scores)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(qids[best.row]), pa.array(best.pid), pa.array(best.score)],
+            ["question_id", "passage_id", "score"])
+
+    return split.select("passage_id", "words").mapInArrow(run, TopK.schema)
+
+
+def _score_by_join(passages: DataFrame, weights: DataFrame, mean: Column, k1: float,
+                   b: float) -> DataFrame:
+    """Any number of question terms: passages are hashed by id once, so term counts
+    and per-question sums stay local; frequent terms are dealt out in the join."""
+    placed = computed_once(passages.select("passage_id", "text").repartition("passage_id"),
+                           "_words", words(F.col("text")))
+    postings = (
+        placed.select("passage_id", F.size("_words").alias("length"),
+                      F.explode("_words").alias("term"))
+        .groupBy("passage_id", "length", "term").agg(F.count("*").alias("tf"))
+        .withColumn("_key", content_key(F.col("term"))).drop("term")
+    )
+    keyed = weights.withColumn("_key", content_key(F.col("term"))).drop("term")
+    matched = skew_join(postings, keyed, ["_key"], "inner", F.col("passage_id"))
+    gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))
+    return matched.groupBy("passage_id", "question_id").agg(
+        F.round(F.sum(F.col("weight") * gain), SCORE_DIGITS).alias("score")).select(
+        "question_id", "passage_id", "score")
+
+
 def unpack_sparse(results: DataFrame) -> DataFrame:
     """Stored sparse results (parallel ``ids`` and ``scores`` lists) as ranked rows."""
     return (

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.ids import passage_id
 from answerloom.operators import qa
+from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import build_passages, pair_rows
 from answerloom.plans.retrieve import retrieved_passages
 
 
 def question_hits(articles: DataFrame, qa_rows: DataFrame, k: int) -> DataFrame:
     """question_id, rank, passage_id, title, text, score, is_gold."""
-    passages = build_passages(articles)
+    passages = written_once(build_passages(articles))
     pairs = qa.assign_passage_ids(pair_rows(qa_rows, articles), passages)
     gold = pairs.select(
         F.col("qa_id").alias("question_id"), F.col("question").alias("text"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import text as X
 from answerloom.operators import answers, metrics, retrieval, scoring
+from answerloom.operators.skew import use_all_cores
 from answerloom.registry.base import (
     dialogues, history, predictions, query, table, vectors)
 from answerloom.registry.sql import (
@@ -14,8 +15,8 @@ from answerloom.registry.sql import (
 
 @query(f"SELECT doc_id, {normalized('text')} AS normalized FROM documents")
 def normalize_answer(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", X.normalize_answer(F.col("text")).alias("normalized"))
+    rows = use_all_cores(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return rows.select("doc_id", X.normalize_answer(F.col("text")).alias("normalized"))
 
 
 @query(with_(PREDICTIONS, f"SELECT dialog_id, CAST({normalized('prediction')} = "

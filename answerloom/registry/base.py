@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from answerloom.functions.ids import hash_number, in_test_split
 from answerloom.functions.text import SENTENCE_GAP, SENTENCE_MARK
 from answerloom.operators.skew import use_all_cores
+from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import build_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,11 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_passages(articles(spark, sf_dir))
 
 
+def passage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same passages, written once for queries that read them several times."""
+    return written_once(passages(spark, sf_dir))
+
+
 def qa_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per document: its first sentence asks for a middle sentence."""
     parts = F.split(F.regexp_replace("text", SENTENCE_GAP, "$1" + SENTENCE_MARK),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from answerloom.functions import ids as I
 from answerloom.functions import text as X
 from answerloom.operators import chunking, dedup, qa
+from answerloom.operators.skew import use_all_cores
 from answerloom.plans.corpus import clean_articles
 from answerloom.registry.base import (
     articles, dialogues, passages, qa_rows, query, table, validation_questions, wide_articles)
@@ -61,7 +62,8 @@ _WS = r"[\x09-\x0D\x1C-\x1F\x{85}\p{Z}]+"
        f"trim(regexp_replace(regexp_replace(lower(text), '{_WORDS}', ' ', 'g'), '{_WS}', ' ', 'g')) "
        "AS words_only FROM documents")
 def clean_whitelist(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    rows = use_all_cores(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return rows.select(
         "doc_id", X.clean_whitelist(F.col("text")).alias("with_punctuation"),
         X.clean_whitelist(F.col("text"), keep_punctuation=False).alias("words_only"))
 

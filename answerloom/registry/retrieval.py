@@ -9,7 +9,7 @@ from answerloom.operators import ann, contrastive, embedding, metrics, retrieval
 from answerloom.plans.corpus import passage_input
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
 from answerloom.registry.base import (
-    benchmark_questions, passages, query, table, vector_pairs, vector_questions, vectors)
+    benchmark_questions, passage_table, passages, query, table, vector_pairs, vector_questions, vectors)
 from answerloom.registry.sql import DENSE, RETRIEVED, SPARSE, VECTORS, with_
 
 
@@ -107,7 +107,7 @@ def topk_accuracy(spark, sf_dir):
 @query(with_(RETRIEVED, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, title, text, "
                         "round(score, 6) AS score FROM retrieved"))
 def retrieved_passages(spark, sf_dir):
-    found = _retrieved(benchmark_questions(spark, sf_dir), passages(spark, sf_dir), 5)
+    found = _retrieved(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 5)
     return found.withColumn("score", F.round("score", 6))
 
 
@@ -116,7 +116,7 @@ def retrieved_passages(spark, sf_dir):
                         "JOIN questions q USING (question_id)"))
 def context_prompts(spark, sf_dir):
     asked = benchmark_questions(spark, sf_dir)
-    return retrieval.context_prompts(_retrieved(asked, passages(spark, sf_dir), 5), asked)
+    return retrieval.context_prompts(_retrieved(asked, passage_table(spark, sf_dir), 5), asked)
 
 
 @query(with_(RETRIEVED, "SELECT question_id, string_agg(text, chr(31) ORDER BY rank) AS texts, "
@@ -124,7 +124,7 @@ def context_prompts(spark, sf_dir):
                         "ORDER BY rank) AS scores FROM retrieved GROUP BY question_id"))
 def retrieval_export(spark, sf_dir):
     lists = retrieval.export_lists(
-        _retrieved(benchmark_questions(spark, sf_dir), passages(spark, sf_dir), 5))
+        _retrieved(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 5))
     return lists.select("question_id", F.array_join("texts", "\x1f").alias("texts"),
                         _micro(F.col("scores")).alias("scores"))
 
@@ -132,7 +132,7 @@ def retrieval_export(spark, sf_dir):
 @query(with_(SPARSE, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, round(score, 6) "
                      "AS score FROM sparse_ranked WHERE rank <= 20"))
 def bm25_topk(spark, sf_dir):
-    found = sparse.bm25_top(benchmark_questions(spark, sf_dir), passages(spark, sf_dir), 20)
+    found = sparse.bm25_top(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 20)
     return found.withColumn("score", F.round("score", 6))
 
 
@@ -157,7 +157,7 @@ def _fused(score):
 
 
 def _both_lists(spark, sf_dir):
-    asked, stored = benchmark_questions(spark, sf_dir), passages(spark, sf_dir)
+    asked, stored = benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir)
     return dense_retrieval(asked, stored, 50), sparse.bm25_top(asked, stored, 50)
 
 

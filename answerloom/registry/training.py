@@ -8,7 +8,7 @@ from answerloom.functions import text as X
 from answerloom.operators import batches, contrastive, numbering, tokens
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
-    benchmark_questions, dialogues, passages, qa_rows, query, table, vector_pairs, vectors)
+    benchmark_questions, dialogues, passage_table, qa_rows, query, table, vector_pairs, vectors)
 from answerloom.registry.sql import (
     BENCHMARK, DIALOGUES, PASSAGES, QA, VECTORS, batches as sql_batches, encoded, tokens as sql_tokens,
     vocabulary, with_)
@@ -94,7 +94,7 @@ _PAIRS = {
              "array_to_string(list_transform(range(256), lambda k: CASE WHEN k >= len(a) + 2 AND "
              "k < len(a) + len(b) + 3 THEN 1 ELSE 0 END), ' ') AS token_type_ids FROM trimmed"))
 def encode_pairs(spark, sf_dir):
-    titled = passages(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
+    titled = passage_table(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
     rows = tokens.encode_pairs(titled, "passage_id", "title", "text",
                                _corpus_vocabulary(spark, sf_dir))
     return rows.select("passage_id", *[_ids(c).alias(c) for c in (
@@ -228,7 +228,7 @@ def queue_loss(spark, sf_dir):
 
 
 def _pair_rows(spark, sf_dir):
-    return passages(spark, sf_dir).select(
+    return passage_table(spark, sf_dir).select(
         F.col("passage_id").alias("row_id"), "article_id", "paragraph_id")
 
 
