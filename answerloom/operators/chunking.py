@@ -109,7 +109,7 @@ def locate_answers(answers: DataFrame, passages: DataFrame,
     last = passages.groupBy("article_id").agg(F.max("start").alias("last_start"))
     clipped = (
         skew_join(answers, last, ["article_id"], "left", F.col("qa_id"), hot_rows)
-        .withColumn("_at", F.least("offset", "last_start"))
+        .withColumn("_at", F.when(F.col("offset").isNotNull(), F.least("offset", "last_start")))
         .withColumn("_bin", F.floor(F.col("_at") / BIN_CHARS).cast("bigint"))
     )
     reach = F.greatest(F.length("text"), F.lit(0))
