@@ -24,8 +24,7 @@ KEEP_WITH_PUNCTUATION = (
     r"[^ \r\nㄱ-ㅎㅏ-ㅣ가-힣a-zA-Z0-9~₩!@#$%^&*()_+|{}:\"<>?`\-=\\\[\];',./]"
 )
 KEEP_WORDS_ONLY = r"[^0-9a-zA-Zㄱ-ㅎㅏ-ㅣ가-힣]"
-SENTENCE_GAP = r"([.!?])[\t\n\x0B\f\r ]+"
-SENTENCE_MARK = "\x1e"
+BREAK = r"[\t\n\x0B\f\r ]+"
 WORD_GAP = r"[^\p{L}\p{N}]+"
 TITLE_TAG, TEXT_TAG, QUESTION_TAG, END_TAG = "제목: ", " 글: ", "질문: ", " </s>"
 # -------------------------------------------------------------------------
@@ -71,14 +70,12 @@ def words(text: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """Cleaned text with every sentence gap cut to one space; offsets live here."""
-    flat = F.translate(clean_newlines(text), SENTENCE_MARK, " ")
-    return F.regexp_replace(flat, SENTENCE_GAP, "$1 ")
+    return F.regexp_replace(clean_newlines(text), "(?<=[.!?])" + BREAK, " ")
 
 
 def sentences(text: Column) -> Column:
     """Sentences of the canonical text; joined by one space they give it back."""
-    flat = F.translate(clean_newlines(text), SENTENCE_MARK, " ")
-    return F.split(F.regexp_replace(flat, SENTENCE_GAP, "$1" + SENTENCE_MARK), SENTENCE_MARK, -1)
+    return F.split(clean_newlines(text), "(?<=[.!?])" + BREAK, -1)
 
 
 def sentence_lines(text: Column) -> Column:

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import content_key
-from answerloom.operators.skew import HOT_ROWS, skew_join
+from answerloom.operators.skew import HOT_ROWS, fits, skew_join
+from answerloom.operators.stored import written_once
+
+# Groups with copies that may be broadcast: 32-byte key and id, some 200 MB at most.
+BROADCAST_GROUPS = 1_000_000
 
 
 def _keyed(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -68,12 +72,38 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def dedup_articles(articles: DataFrame) -> DataFrame:
-    return keep_first(articles, ["title", "text"], ["article_id"])
+def drop_copies(rows: DataFrame, key: list[str], id_col: str,
+                broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+    """Rows whose (unique) id is the smallest of their group, without moving texts.
+
+    For tables that are cheap to scan twice.  The first scan shuffles key and id
+    only and stores the groups that have copies; while those fit the broadcast
+    limit, the second scan looks its rows up in them.  A group is one entry however
+    many copies it has.  Beyond the limit this is :func:`keep_first`.
+    """
+    groups = written_once(
+        _keyed(rows, key).groupBy("_key")
+        .agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
+        .where(F.col("_first") < F.col("_last")).select("_key", "_first"))
+    if not fits(groups, broadcast_groups):
+        return keep_first(rows, key, [id_col])
+    return (
+        _keyed(rows, key).join(F.broadcast(groups), "_key", "left")
+        .where(F.coalesce("_first", id_col) == F.col(id_col))
+        .drop("_key", "_first")
+    )
+
+
+def dedup_articles(articles: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+    return drop_copies(articles, ["title", "text"], "article_id", broadcast_groups)
 
 
 def dedup_passages(passages: DataFrame) -> DataFrame:
-    """Chunking makes new duplicates; keep the smallest (article_id, paragraph_id)."""
+    """Chunking makes new duplicates; keep the smallest (article_id, paragraph_id).
+
+    Passages come straight out of chunking, which costs more than a shuffle, so they
+    are read once.
+    """
     return keep_first(passages, ["title", "text"], ["article_id", "paragraph_id"])
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +21,17 @@ def embed(rows: DataFrame, id_col: str, text_col: str,
           encoder: Callable[[list[str]], np.ndarray], batch_size: int = ENCODER_BATCH) -> DataFrame:
     """(id, vector array<float>) from ``encoder(list of texts) -> 2-d array``.
 
-    The encoder is sent to the executors once, as a broadcast, and called with
-    ``batch_size`` texts at a time.
+    The encoder is sent to the executors once, as a broadcast, unpacked once per
+    task and called with ``batch_size`` texts at a time.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(encoder)
+    shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(encoder))
 
     def run(batches):
+        encode = pickle.loads(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, batch_size):
                 part = batch.slice(at, batch_size)
-                matrix = np.asarray(shared.value(part.column(1).to_pylist()), dtype=np.float32)
+                matrix = np.asarray(encode(part.column(1).to_pylist()), dtype=np.float32)
                 yield _with_vectors(id_col, part.column(0), matrix)
 
     source = rows.select(id_col, text_col)

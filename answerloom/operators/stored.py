@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, one machine) gets its own folder.
+    Only a session without a checkpoint folder (tests, one machine) gets its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="answerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="answerloom-"))
+    return context.getCheckpointDir()
 
 
 def written_once(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ FIRST_WORD = 8
 # Length limits.
 QUESTION_LENGTH, PAIR_LENGTH, SOURCE_LENGTH, LABEL_LENGTH = 256, 256, 1024, 128
 VOCABULARY_SIZE = 32_000
+BROADCAST_TOKENS = 1_000_000
 # A tag, a run of letters and digits, or one other visible character.
 TOKEN = (r"제목:|글:|질문:|</s>|[\p{L}\p{N}]+"
          r"|[^\p{L}\p{N}\x09-\x0D\x1C-\x20\x{85}\p{Z}]")
@@ -40,27 +44,51 @@ def vocabulary(texts: DataFrame, text_col: str, size: int = VOCABULARY_SIZE) ->
     return reserved.unionByName(learned)
 
 
-def encode(rows: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
-           max_tokens: int) -> DataFrame:
-    """(id, ids array<int>): the first ``max_tokens`` tokens as vocabulary ids.
+def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vocab: DataFrame,
+           broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
+    """(id, name array<int>, ...): the first tokens of each column as vocabulary ids.
 
-    Rows are hashed by id before their tokens are unrolled, so the unrolled rows
-    join the broadcast vocabulary (bounded by its size parameter) and regroup
-    without another exchange.
+    ``columns`` maps an output name to (text column, token limit).  A vocabulary of
+    up to ``broadcast_tokens`` rows is broadcast and looked up batch by batch, so
+    encoding is a narrow step; a larger one meets the tokens in a join.
     """
-    unrolled = (
-        rows.select(id_col, F.slice(token_strings(F.coalesce(text_col, F.lit(""))), 1, max_tokens)
-                    .alias("_tokens"))
-        .repartition(id_col)
-        .select(id_col, F.posexplode_outer("_tokens").alias("_at", "token"))
-        .join(F.broadcast(vocab), "token", "left")
-    )
+    cut = rows.select(id_col, *[
+        F.slice(token_strings(F.coalesce(text, F.lit(""))), 1, limit).alias(name)
+        for name, (text, limit) in columns.items()])
+    head = vocab.select("token", "token_id").limit(broadcast_tokens + 1).toArrow()
+    if head.num_rows > broadcast_tokens:
+        out = cut.select(id_col)
+        for name in columns:
+            out = out.join(_encode_by_join(cut.select(id_col, name), id_col, name, vocab), id_col)
+        return out
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (head["token"].combine_chunks(), head["token_id"].combine_chunks().cast(pa.int32())))
+
+    def run(batches):
+        known, numbers = shared.value
+        for batch in batches:
+            encoded = [batch.column(0)]
+            for lists in batch.columns[1:]:
+                at = pc.index_in(lists.flatten(), value_set=known)
+                ids = pc.fill_null(numbers.take(at), UNKNOWN)
+                ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int32)
+                encoded.append(pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], ends]).astype(np.int32)), ids))
+            yield pa.RecordBatch.from_arrays(encoded, batch.schema.names)
+
+    schema = ", ".join([f"{id_col} bigint", *[f"{name} array<int>" for name in columns]])
+    return cut.mapInArrow(run, schema)
+
+
+def _encode_by_join(cut: DataFrame, id_col: str, name: str, vocab: DataFrame) -> DataFrame:
+    """Unroll, join, regroup; at most the token limit of rows per id."""
+    unrolled = cut.select(id_col, F.posexplode_outer(name).alias("_at", "token")).join(
+        vocab, "token", "left")
     known = F.when(F.col("_at").isNotNull(), F.struct(
         F.col("_at"), F.coalesce("token_id", F.lit(UNKNOWN)).alias("token_id")))
     return (
-        unrolled.groupBy(id_col)
-        .agg(F.array_sort(F.collect_list(known)).alias("_ids"))
-        .select(id_col, F.col("_ids.token_id").alias("ids"))
+        unrolled.groupBy(id_col).agg(F.array_sort(F.collect_list(known)).alias("_ids"))
+        .select(id_col, F.col("_ids.token_id").alias(name))
     )
 
 
@@ -78,7 +106,7 @@ def encode_questions(questions: DataFrame, id_col: str, text_col: str, vocab: Da
     """start + question + separator, truncated and padded to ``length``, with mask."""
     framed = F.concat(F.array(F.lit(START)), F.col("ids"), F.array(F.lit(SEPARATOR)))
     return (
-        encode(questions, id_col, text_col, vocab, length - 2)
+        encode(questions, id_col, {"ids": (text_col, length - 2)}, vocab)
         .withColumn("_framed", framed)
         .select(id_col, pad_to(F.col("_framed"), length).alias("input_ids"),
                 mask_to(F.col("_framed"), length).alias("attention_mask"),
@@ -91,13 +119,11 @@ def encode_pairs(passages: DataFrame, id_col: str, title_col: str, text_col: str
     """start + title + separator + text + separator; the longer part is cut first."""
     room = length - 3
     half = (room + 1) // 2
-    titles = encode(passages, id_col, title_col, vocab, room).withColumnRenamed("ids", "_a")
-    texts = encode(passages, id_col, text_col, vocab, room).withColumnRenamed("ids", "_b")
+    both = encode(passages, id_col, {"_a": (title_col, room), "_b": (text_col, room)}, vocab)
     keep_a = F.least(F.size("_a"), F.greatest(F.lit(room) - F.size("_b"), F.lit(half)))
     one = lambda value: F.array(F.lit(value))
     return (
-        titles.join(texts, id_col)
-        .withColumn("_a", F.slice("_a", F.lit(1), keep_a))
+        both.withColumn("_a", F.slice("_a", F.lit(1), keep_a))
         .withColumn("_b", F.slice("_b", F.lit(1), F.least(F.size("_b"), F.lit(room) - F.size("_a"))))
         .withColumn("_ids", F.concat(one(START), "_a", one(SEPARATOR), "_b", one(SEPARATOR)))
         .withColumn("_types", F.concat(F.array_repeat(F.lit(0), F.size("_a") + 2),
@@ -112,14 +138,11 @@ def encode_seq2seq(rows: DataFrame, id_col: str, source_col: str, target_col: st
                    vocab: DataFrame, source_length: int = SOURCE_LENGTH,
                    label_length: int = LABEL_LENGTH) -> DataFrame:
     """Source ids, mask and labels, truncated, not padded."""
-    sources = encode(rows, id_col, source_col, vocab, source_length)
-    labels = encode(rows, id_col, target_col, vocab, label_length)
-    return (
-        sources.withColumnRenamed("ids", "input_ids")
-        .join(labels.withColumnRenamed("ids", "labels"), id_col)
-        .select(id_col, "input_ids",
-                F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"), "labels")
-    )
+    both = encode(rows, id_col, {"input_ids": (source_col, source_length),
+                                 "labels": (target_col, label_length)}, vocab)
+    return both.select(
+        id_col, "input_ids", F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
+        "labels")
 
 
 def pad_batches(rows: DataFrame, ids_col: str = "ids", value: int = PAD) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import hash_number, in_test_split
-from answerloom.functions.text import SENTENCE_GAP, SENTENCE_MARK
+from answerloom.functions.text import BREAK
 from answerloom.operators.skew import use_all_cores
 from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import build_passages
@@ -54,8 +54,7 @@ def passage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qa_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per document: its first sentence asks for a middle sentence."""
-    parts = F.split(F.regexp_replace("text", SENTENCE_GAP, "$1" + SENTENCE_MARK),
-                    SENTENCE_MARK, -1)
+    parts = F.split("text", "(?<=[.!?])" + BREAK, -1)
     answer = F.get("_parts", F.floor(F.size("_parts") / 2).cast("int"))
     return (
         wide_articles(spark, sf_dir).withColumn("_parts", parts).withColumn("answer", answer)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import vectors as V
 from answerloom.operators import ann, contrastive, embedding, metrics, retrieval, scoring, sparse
+from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
 from answerloom.registry.base import (
@@ -181,7 +182,8 @@ def ann_index(spark, sf_dir):
 def _search(spark, sf_dir, n_probe):
     stored, asked = vectors(spark, sf_dir), vector_questions(spark, sf_dir)
     cells = ann.train_cells(stored)
-    return ann.search(asked, ann.build_index(stored, cells), cells, 20, n_probe)
+    index = written_once(ann.build_index(stored, cells))
+    return ann.search(asked, index, cells, 20, n_probe)
 
 
 @query()

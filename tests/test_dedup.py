@@ -52,7 +52,20 @@ def test_hot_group_of_copies(spark, rows, partitions):
         [(i, first[t, x]) for i, t, x in table], key=repr)
 
 
-def test_group_limit_runs_before_the_exchange(articles):
+def test_both_ways_agree(spark, rows):
+    frame = spark.createDataFrame([(i, "t", f"x{i * i % 50}") for i in range(400)],
+                                  "article_id long, title string, text string")
+    broadcast = rows(dedup.dedup_articles(frame))
+    assert broadcast == rows(dedup.dedup_articles(frame, broadcast_groups=0))
+    assert broadcast == rows(dedup.keep_first(frame, ["title", "text"], ["article_id"]))
+
+
+def test_copies_are_dropped_without_moving_texts(articles):
     plan = dedup.dedup_articles(articles)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_group_limit_runs_before_the_exchange(articles):
+    plan = dedup.keep_first(articles, ["title", "text"], ["article_id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning(_key")
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange hashpartitioning(_key")

@@ -1,3 +1,5 @@
+import types
+
 import pytest
 
 import __spark_entry__ as contract
@@ -51,14 +53,12 @@ def test_answer_coverage(spark, rows):
     assert (got.n_questions, got.top_1, got.top_2) == (3, 0.0, pytest.approx(1 / 3))
 
 
-def test_shared_folder_comes_from_the_session(spark, tmp_path):
-    before = stored.shared_folder(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        frame = stored.written_once(spark.range(5))
-        assert frame.count() == 5 and list(tmp_path.glob("table-*"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_comes_from_the_session(spark):
+    conf = types.SimpleNamespace(get=lambda key, default: f"hdfs://{key}")
+    assert stored.shared_folder(types.SimpleNamespace(conf=conf)) == "hdfs://spark.checkpoint.dir"
+    own = stored.shared_folder(spark)
+    assert own == stored.shared_folder(spark) and own
+    assert stored.written_once(spark.range(5)).count() == 5
 
 
 def test_entry(spark):

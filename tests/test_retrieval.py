@@ -75,7 +75,8 @@ def clustered(spark, n, centres, name, seed):
 
 def test_index_recall_and_storage(spark, rows):
     centres = np.random.default_rng(0).normal(size=(16, 12))
-    passages = clustered(spark, 1500, centres, "passage_id", 1)
+    passages = clustered(spark, 1500, centres, "passage_id", 1).selectExpr(
+        "passage_id", "cast(vector as array<float>) as vector")
     questions = clustered(spark, 40, centres, "question_id", 2)
     cells = ann.train_cells(passages, 16)
     folder = tempfile.mkdtemp(prefix="index-")

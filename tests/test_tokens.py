@@ -27,8 +27,10 @@ def ids(frame, key, column):
 def test_encode(spark, vocab, partitions):
     frame = spark.createDataFrame(
         [(1, "a b zzz a 질문: </s>"), (2, ""), (3, None)], "id long, x string").repartition(partitions)
-    assert ids(tokens.encode(frame, "id", "x", vocab, 5), "id", "ids") == {
-        1: [8, 9, 1, 8, 6], 2: [], 3: []}
+    for limit in (100, 3):
+        encoded = tokens.encode(frame, "id", {"ids": ("x", 5), "two": ("x", 2)}, vocab, limit)
+        assert ids(encoded, "id", "ids") == {1: [8, 9, 1, 8, 6], 2: [], 3: []}
+        assert ids(encoded, "id", "two") == {1: [8, 9], 2: [], 3: []}
     got = tokens.encode_questions(frame, "id", "x", vocab, 6)
     assert ids(got, "id", "input_ids") == {1: [2, 8, 9, 1, 8, 3], 2: [2, 3, 0, 0, 0, 0],
                                            3: [2, 3, 0, 0, 0, 0]}
@@ -74,8 +76,7 @@ def test_batch_tokens(spark, rows):
     assert rows(tokens.batch_tokens(frame, "s", "t")) == [(0, 2, 6, 2.0)]
 
 
-def test_encoding_needs_one_exchange(spark, vocab):
+def test_encoding_is_narrow(spark, vocab):
     frame = spark.range(100).select("id", F.lit("a b").alias("x"))
-    plan = tokens.encode(frame, "id", "x", vocab, 9)._jdf.queryExecution().executedPlan().toString()
-    hashed = [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line]
-    assert len(hashed) == 1
+    plan = tokens.encode(frame, "id", {"ids": ("x", 9)}, vocab)._jdf.queryExecution()
+    assert "Exchange" not in plan.executedPlan().toString()
