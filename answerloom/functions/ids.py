@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Paragraphs per article that a packed passage id can hold; 2**24 chunks are more
 # than the longest string Spark can store.
-PARAGRAPHS_PER_ARTICLE = 1 << 24
+PARAGRAPH_BITS = 24
+PARAGRAPHS_PER_ARTICLE = 1 << PARAGRAPH_BITS
 
 
 def content_key(*columns: Column) -> Column:
@@ -28,6 +29,14 @@ def passage_id(article_id: Column, paragraph_id: Column) -> Column:
             + paragraph_id.cast("bigint"))
 
 
+def article_of(packed: Column) -> Column:
+    return F.shiftright(packed, PARAGRAPH_BITS)
+
+
+def paragraph_of(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit(PARAGRAPHS_PER_ARTICLE - 1)).cast("int")
+
+
 def passage_label(article_id: Column, paragraph_id: Column) -> Column:
     """Printable id ``article-paragraph``."""
     return F.concat_ws("-", article_id.cast("string"), paragraph_id.cast("string"))

@@ -13,12 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import content_key
-from answerloom.operators.skew import HOT_ROWS, fits, skew_join
+from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, lookup
 from answerloom.operators.stored import written_once
 
-# Groups with copies that may be broadcast: 32-byte key and id, some 200 MB at most.
-BROADCAST_GROUPS = 1_000_000
-
 
 def _keyed(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.withColumn("_key", content_key(*[F.col(c) for c in key]))
@@ -38,23 +35,25 @@ def duplicate_groups(rows: DataFrame, key: list[str], id_col: str) -> DataFrame:
     )
 
 
+def copied_groups(rows: DataFrame, key: list[str], id_col: str) -> DataFrame:
+    """(_key, first_id) of the groups with more than one id: one row per group."""
+    return (
+        _keyed(rows, key).groupBy("_key")
+        .agg(F.min(id_col).alias("first_id"), F.max(id_col).alias("_last"))
+        .where(F.col("first_id") < F.col("_last")).select("_key", "first_id")
+    )
+
+
 def canonical_map(rows: DataFrame, key: list[str], id_col: str,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  broadcast_groups: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(old_id, new_id) for every row whose id is not the smallest of its group."""
     slim = _keyed(rows, key).select("_key", F.col(id_col).alias("old_id"))
-    groups = (
-        slim.groupBy("_key")
-        .agg(F.min("old_id").alias("new_id"), F.max("old_id").alias("_last"),
-             F.count("*").alias("_rows"))
-        .where(F.col("new_id") < F.col("_last"))
-    )
-    hot = (
-        groups.where(F.col("_rows") > hot_rows)
-        .select("_key", F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+    joined = lookup(slim, copied_groups(rows, key, id_col), ["_key"], "inner", F.col("old_id"),
+                    broadcast_groups, hot_rows)
+    return (
+        joined.where(F.col("old_id") > F.col("first_id"))
+        .select("old_id", F.col("first_id").alias("new_id")).distinct()
     )
-    joined = skew_join(slim, groups.select("_key", "new_id"), ["_key"], "inner",
-                       F.col("old_id"), hot=hot)
-    return joined.where(F.col("old_id") > F.col("new_id")).select("old_id", "new_id").distinct()
 
 
 def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -73,7 +72,7 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def drop_copies(rows: DataFrame, key: list[str], id_col: str,
-                broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+                broadcast_groups: int = BROADCAST_ROWS) -> DataFrame:
     """Rows whose (unique) id is the smallest of their group, without moving texts.
 
     For tables that are cheap to scan twice.  The first scan shuffles key and id
@@ -81,20 +80,17 @@ def drop_copies(rows: DataFrame, key: list[str], id_col: str,
     limit, the second scan looks its rows up in them.  A group is one entry however
     many copies it has.  Beyond the limit this is :func:`keep_first`.
     """
-    groups = written_once(
-        _keyed(rows, key).groupBy("_key")
-        .agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
-        .where(F.col("_first") < F.col("_last")).select("_key", "_first"))
+    groups = written_once(copied_groups(rows, key, id_col))
     if not fits(groups, broadcast_groups):
         return keep_first(rows, key, [id_col])
     return (
         _keyed(rows, key).join(F.broadcast(groups), "_key", "left")
-        .where(F.coalesce("_first", id_col) == F.col(id_col))
-        .drop("_key", "_first")
+        .where(F.coalesce("first_id", id_col) == F.col(id_col))
+        .drop("_key", "first_id")
     )
 
 
-def dedup_articles(articles: DataFrame, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
+def dedup_articles(articles: DataFrame, broadcast_groups: int = BROADCAST_ROWS) -> DataFrame:
     return drop_copies(articles, ["title", "text"], "article_id", broadcast_groups)
 
 
@@ -108,11 +104,11 @@ def dedup_passages(passages: DataFrame) -> DataFrame:
 
 
 def remap_ids(rows: DataFrame, id_map: DataFrame, id_col: str, spread: str,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Replace removed ids by their canonical id; other ids stay."""
     mapping = id_map.select(F.col("old_id").alias(id_col), "new_id")
     return (
-        skew_join(rows, mapping, [id_col], "left", F.col(spread), hot_rows)
+        lookup(rows, mapping, [id_col], "left", F.col(spread), broadcast_rows, hot_rows)
         .withColumn(id_col, F.coalesce("new_id", id_col))
         .drop("new_id")
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.functions.ids import content_key
-from answerloom.operators.skew import HOT_ROWS, skew_join
+from answerloom.functions.ids import article_of, content_key, paragraph_of, passage_id
+from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup
 
 # Largest article id of the encyclopedia part of the corpus (fixed value).
 WIKI_LAST_ARTICLE = 56736
@@ -29,7 +29,7 @@ def _by_content(rows: DataFrame, title: str, text: str) -> DataFrame:
     return rows.withColumn("_key", content_key(F.col(title), F.col(text)))
 
 
-def repair_article_ids(qa: DataFrame, articles: DataFrame,
+def repair_article_ids(qa: DataFrame, articles: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """Look the article id up by (title, context); ``article_id`` is NULL on a miss.
 
@@ -40,21 +40,25 @@ def repair_article_ids(qa: DataFrame, articles: DataFrame,
         _by_content(articles, "title", "text")
         .groupBy("_key").agg(F.min("article_id").alias("article_id"))
     )
-    return skew_join(_by_content(qa, "title", "context"), known, ["_key"], "left",
-                     F.col("qa_id"), hot_rows).drop("_key")
+    return lookup(_by_content(qa, "title", "context"), known, ["_key"], "left", F.col("qa_id"),
+                  broadcast_rows, hot_rows).drop("_key")
 
 
-def assign_passage_ids(pairs: DataFrame, passages: DataFrame,
+def assign_passage_ids(pairs: DataFrame, passages: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give each QA row the smallest passage with its (title, text); NULL on a miss."""
     known = (
         _by_content(passages, "title", "text")
-        .groupBy("_key").agg(F.min(F.struct("article_id", "paragraph_id")).alias("_id"))
-        .select("_key", F.col("_id.article_id").alias("passage_article_id"),
-                F.col("_id.paragraph_id").alias("passage_paragraph_id"))
+        .withColumn("_id", passage_id(F.col("article_id"), F.col("paragraph_id")))
+        .groupBy("_key").agg(F.min("_id").alias("_id"))
+    )
+    found = lookup(_by_content(pairs, "title", "text"), known, ["_key"], "left", F.col("qa_id"),
+                   broadcast_rows, hot_rows)
+    return (
+        found.withColumn("passage_article_id", article_of(F.col("_id")))
+        .withColumn("passage_paragraph_id", paragraph_of(F.col("_id")))
+        .drop("_key", "_id")
     )
-    return skew_join(_by_content(pairs, "title", "text"), known, ["_key"], "left",
-                     F.col("qa_id"), hot_rows).drop("_key")
 
 
 def strict(rows: DataFrame, id_col: str) -> DataFrame:
@@ -67,30 +71,32 @@ def _question_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_key", content_key(F.col("question")))
 
 
+def _held_out(qa: DataFrame, validation: DataFrame, how: str, spread: str, broadcast_rows: int,
+              hot_rows: int) -> DataFrame:
+    keys = _question_key(validation.select("question")).select("_key").distinct()
+    return lookup(_question_key(qa), keys, ["_key"], how, F.col(spread), broadcast_rows,
+                  hot_rows).drop("_key")
+
+
 def train_rows(qa: DataFrame, validation: DataFrame, spread: str,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose question is not a validation question."""
-    held_out = _question_key(validation.select("question")).select("_key").distinct()
-    return skew_join(_question_key(qa), held_out, ["_key"], "left_anti", F.col(spread),
-                     hot_rows).drop("_key")
+    return _held_out(qa, validation, "left_anti", spread, broadcast_rows, hot_rows)
 
 
 def validation_rows(qa: DataFrame, validation: DataFrame, spread: str,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose question is a validation question."""
-    held_out = _question_key(validation.select("question")).select("_key").distinct()
-    return skew_join(_question_key(qa), held_out, ["_key"], "left_semi", F.col(spread),
-                     hot_rows).drop("_key")
+    return _held_out(qa, validation, "left_semi", spread, broadcast_rows, hot_rows)
 
 
-def passages_without_question(passages: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Passages whose (title, text) has no question anywhere.
-
-    ``passages`` is already free of duplicates, so its keys cannot be hot; the
-    other side is reduced to distinct keys first.
-    """
+def passages_without_question(passages: DataFrame, pairs: DataFrame,
+                              broadcast_rows: int = BROADCAST_ROWS,
+                              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Passages (with a ``passage_id``) whose (title, text) has no question anywhere."""
     asked = _by_content(has_question(pairs), "title", "text").select("_key").distinct()
-    return _by_content(passages, "title", "text").join(asked, "_key", "left_anti").drop("_key")
+    return lookup(_by_content(passages, "title", "text"), asked, ["_key"], "left_anti",
+                  F.col("passage_id"), broadcast_rows, hot_rows).drop("_key")
 
 
 def quality_report(qa: DataFrame) -> DataFrame:

@@ -6,13 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import context_prompt
-from answerloom.operators.skew import HOT_ROWS, skew_join
+from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, skew_join
+from answerloom.operators.stored import written_once
 
 
 def attach_passages(ranked: DataFrame, passages: DataFrame,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add title and text; a passage found for very many questions is dealt out."""
+                    broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add title and text.
+
+    The ranked rows are stored; while they fit they are broadcast and the texts are
+    only scanned.  Beyond that the sides are shuffled, and a passage found for very
+    many questions is dealt out.
+    """
+    ranked = written_once(ranked)
     texts = passages.select("passage_id", "title", "text")
+    if fits(ranked, broadcast_rows):
+        return texts.join(F.broadcast(ranked), "passage_id")
     return skew_join(ranked, texts, ["passage_id"], "inner", F.col("question_id"), hot_rows)
 
 

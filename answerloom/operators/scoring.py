@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 SCORE_DIGITS = 9
 BROADCAST_QUESTIONS = 20_000
+BROADCAST_BYTES = 256 << 20
 QUESTION_BLOCK = 32_768
 PASSAGE_BLOCK = 131_072
 TILE_SCORES = 4_000_000  # scores held at once: 32 MB of doubles
@@ -182,9 +183,10 @@ def score_blocks(questions: DataFrame, passages: DataFrame, fold, group: str | N
     """
     scan, meet = _worker_functions(fold)
     if group is None:
-        # Reads at most one row more than may be broadcast.
+        # Reads at most one row more than may be broadcast; long vectors also meet
+        # the byte limit.
         head = questions.limit(broadcast_questions + 1).toArrow()
-        if head.num_rows <= broadcast_questions:
+        if head.num_rows <= broadcast_questions and head.nbytes <= BROADCAST_BYTES:
             shared = questions.sparkSession.sparkContext.broadcast(head)
             return passages.select("passage_id", "vector").mapInArrow(scan(shared), fold.schema)
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.operators.stored import written_once
+
 HOT_ROWS = 1_000_000
+# Rows of fixed width (keys, ids, scores) that may be broadcast: some 200 MB at most.
+BROADCAST_ROWS = 1_000_000
 ROW_GROUP_BYTES = 128 << 20
 
 
@@ -54,6 +58,19 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread
     return dealt.join(repeated, [*on, "_part"], how).drop("_part")
 
 
+def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: Column,
+           broadcast_rows: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join to a table of fixed-width rows without moving ``left`` if possible.
+
+    ``right`` is stored and counted; while it fits it is broadcast and ``left``, with
+    its texts, stays where it is.  Beyond that hot keys are dealt out.
+    """
+    right = written_once(right)
+    if fits(right, broadcast_rows):
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(left, right, on, how, spread, hot_rows)
+
+
 def plan_bytes(rows: DataFrame) -> int | None:
     """Catalyst's size estimate, NULL where the session does not expose it."""
     try:
@@ -66,12 +83,12 @@ def plan_bytes(rows: DataFrame) -> int | None:
 def use_all_cores(rows: DataFrame, *keys: str) -> DataFrame:
     """Redistribute an input too small to give every core a full row group.
 
-    A scan smaller than that runs on a few cores only.  The shuffle this adds is
-    bounded by the same limit; larger scans are already wide and pass through.
+    A scan smaller than that runs on a few cores only.  The shuffle this adds is at
+    most 8 GB; larger scans are wide enough and pass through.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     size = plan_bytes(rows)
-    if size is None or size >= cores * ROW_GROUP_BYTES:
+    if size is None or size >= min(cores, 64) * ROW_GROUP_BYTES:
         return rows
     return rows.repartition(cores, *keys)
 
@@ -88,8 +105,3 @@ def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
 def fits(rows: DataFrame, limit: int) -> bool:
     """True when ``rows`` has at most ``limit`` rows; reads no more than it must."""
     return rows.limit(limit + 1).count() <= limit
-
-
-def broadcast_if_fits(rows: DataFrame, limit: int) -> DataFrame:
-    """Broadcast hint behind a row-count check; beyond it Spark shuffles."""
-    return F.broadcast(rows) if fits(rows, limit) else rows

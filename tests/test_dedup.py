@@ -17,9 +17,10 @@ def test_smallest_article_is_kept(articles, rows):
     assert groups == [("t", "x", 3, 9, 3)]
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
 @pytest.mark.parametrize("hot_rows", [1, 2, 1_000_000])
-def test_canonical_map(articles, rows, hot_rows):
-    got = dedup.canonical_map(articles, ["title", "text"], "article_id", hot_rows)
+def test_canonical_map(articles, rows, limit, hot_rows):
+    got = dedup.canonical_map(articles, ["title", "text"], "article_id", limit, hot_rows)
     assert rows(got) == [(7, 3), (9, 3)]
 
 
@@ -43,11 +44,11 @@ def test_hot_group_of_copies(spark, rows, partitions):
         first.setdefault((t, x), i)
     kept = dedup.dedup_articles(frame)
     assert rows(kept) == sorted([(i, t, x) for (t, x), i in first.items()], key=repr)
-    id_map = dedup.canonical_map(frame, ["title", "text"], "article_id", hot_rows=100)
+    id_map = dedup.canonical_map(frame, ["title", "text"], "article_id", 0, hot_rows=100)
     want = sorted([(i, first[t, x]) for i, t, x in table if first[t, x] != i], key=repr)
     assert rows(id_map) == want
     stale = frame.selectExpr("article_id as row_id", "article_id")
-    remapped = dedup.remap_ids(stale, id_map, "article_id", "row_id", hot_rows=100)
+    remapped = dedup.remap_ids(stale, id_map, "article_id", "row_id", 0, hot_rows=100)
     assert rows(remapped, "row_id", "article_id") == sorted(
         [(i, first[t, x]) for i, t, x in table], key=repr)
 

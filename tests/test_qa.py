@@ -18,9 +18,10 @@ def asked(spark):
         "qa_id long, title string, context string")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
-def test_repair(spark, rows, articles, asked, hot_rows):
-    got = qa.repair_article_ids(asked, articles, hot_rows=max(hot_rows, 1))
+@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_repair(spark, rows, articles, asked, limit, hot_rows):
+    got = qa.repair_article_ids(asked, articles, limit, hot_rows)
     assert rows(got, "qa_id", "article_id") == [(1, 4), (2, 5), (3, None), (4, None)]
 
 
@@ -32,23 +33,25 @@ def test_strict_raises_on_a_miss(articles, asked):
                      "article_id").count() == 2
 
 
-def test_assign_passage_ids(spark, rows):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_assign_passage_ids(spark, rows, limit):
     passages = spark.createDataFrame(
         [(9, 2, "t", "x"), (9, 1, "t", "x"), (10, 0, "t", "x")],
         "article_id long, paragraph_id int, title string, text string")
     pairs = spark.createDataFrame([(1, "t", "x"), (2, "t", "y")],
                                   "qa_id long, title string, text string")
-    got = qa.assign_passage_ids(pairs, passages)
+    got = qa.assign_passage_ids(pairs, passages, limit)
     assert rows(got, "qa_id", "passage_article_id", "passage_paragraph_id") == [
         (1, 9, 1), (2, None, None)]
 
 
-def test_split_by_validation_questions(spark, rows):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_split_by_validation_questions(spark, rows, limit):
     table = [(i, "hot" if i % 3 else f"q{i % 7}") for i in range(300)]
     frame = spark.createDataFrame(table, "qa_id long, question string")
     held_out = spark.createDataFrame([("hot",), ("hot",), ("q3",)], "question string")
-    train = rows(qa.train_rows(frame, held_out, "qa_id", hot_rows=10), "qa_id")
-    test = rows(qa.validation_rows(frame, held_out, "qa_id", hot_rows=10), "qa_id")
+    train = rows(qa.train_rows(frame, held_out, "qa_id", limit, hot_rows=10), "qa_id")
+    test = rows(qa.validation_rows(frame, held_out, "qa_id", limit, hot_rows=10), "qa_id")
     want = {i for i, q in table if q in ("hot", "q3")}
     assert {r[0] for r in test} == want and len(test) == len(want)
     assert {r[0] for r in train} == {i for i, _ in table} - want
@@ -63,12 +66,13 @@ def test_has_question_and_quality(spark, rows):
         qa.require_complete(frame).collect()
 
 
-def test_passages_without_question(spark, rows):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_passages_without_question(spark, rows, limit):
     passages = spark.createDataFrame([(1, "t", "x"), (2, "t", "y")],
                                      "passage_id long, title string, text string")
     pairs = spark.createDataFrame([("t", "x", None), ("t", "x", "q"), ("t", "y", "")],
                                   "title string, text string, question string")
-    assert rows(qa.passages_without_question(passages, pairs), "passage_id") == [(2,)]
+    assert rows(qa.passages_without_question(passages, pairs, limit), "passage_id") == [(2,)]
 
 
 def test_threshold(spark, rows):

@@ -91,12 +91,13 @@ def test_index_recall_and_storage(spark, rows):
     assert "PartitionFilters: [isnotnull(cell" in plan
 
 
-def test_attach_and_export(spark, rows):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_attach_and_export(spark, rows, limit):
     ranked = spark.createDataFrame([(1, 2, 20, 0.5), (1, 1, 10, 0.9), (2, 1, 10, 0.8)],
                                    "question_id long, rank int, passage_id long, score double")
     passages = spark.createDataFrame([(10, "t", "x"), (20, "u", "y")],
                                      "passage_id long, title string, text string")
-    got = retrieval.attach_passages(ranked, passages, hot_rows=1)
+    got = retrieval.attach_passages(ranked, passages, limit, hot_rows=1)
     assert rows(retrieval.export_lists(got)) == [(1, ["x", "y"], [0.9, 0.5]), (2, ["x"], [0.8])]
     asked = spark.createDataFrame([(1, "q1"), (2, "q2")], "question_id long, text string")
     prompts = rows(retrieval.context_prompts(got, asked), "question_id", "rank", "prompt")
