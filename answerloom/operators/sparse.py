@@ -5,13 +5,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import content_key
 from answerloom.functions.text import words
 from answerloom.operators.scoring import SCORE_DIGITS, BestK, TopK, rank_top
 from answerloom.operators.skew import computed_once, fits, skew_join
+from answerloom.operators.stored import written_once
 
 BROADCAST_TERMS = 500_000
 SLICE_SCORES = 250_000  # passages x questions scored at once
@@ -34,23 +35,26 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
         .groupBy("question_id", "term").agg(F.count("*").alias("qtf"))
     )
     split = computed_once(passages.select("passage_id", "text"), "words", words(F.col("text")))
-    stats = split.agg(F.count("*").alias("n_passages"), F.avg(F.size("words")).alias("mean"))
     small = fits(asked, broadcast_terms)
-    used = asked.select("term").distinct()
-    df = (
-        split.select(F.explode(F.array_distinct("words")).alias("term"))
-        .join(F.broadcast(used) if small else used, "term")
-        .groupBy("term").agg(F.count("*").alias("df"))
-    )
-    n = stats.select("n_passages").scalar()
+    # The empty term stands for the whole passage: its document frequency is the
+    # number of passages and its length sum the corpus length, all from one scan.
+    terms = split.select(F.explode(F.concat(F.array_distinct("words"), F.array(F.lit(""))))
+                         .alias("term"), F.size("words").alias("length"))
+    if small:
+        used = asked.select("term").distinct().unionByName(
+            asked.sparkSession.sql("SELECT '' AS term"))
+        terms = terms.join(F.broadcast(used), "term")
+    counts = written_once(terms.groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("length").alias("words")))
+    whole = counts.where(F.col("term") == "").first()
+    n, mean = (whole["df"], whole["words"] / whole["df"]) if whole else (0, 0.0)
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(df, "term").select("term", "question_id",
-                                            (F.col("qtf") * idf).alias("weight"))
+    weights = asked.join(counts, "term").select("term", "question_id",
+                                                (F.col("qtf") * idf).alias("weight"))
     if small:
-        mean = stats.select("mean").first()[0]
         scored = _score_by_scan(split, weights.toArrow(), mean, k, k1, b)
     else:
-        scored = _score_by_join(passages, weights, stats.select("mean").scalar(), k1, b)
+        scored = _score_by_join(passages, weights, mean, k1, b)
     return rank_top(scored, k)
 
 
@@ -94,7 +98,7 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
     return split.select("passage_id", "words").mapInArrow(run, TopK.schema)
 
 
-def _score_by_join(passages: DataFrame, weights: DataFrame, mean: Column, k1: float,
+def _score_by_join(passages: DataFrame, weights: DataFrame, mean: float, k1: float,
                    b: float) -> DataFrame:
     """Any number of question terms: passages are hashed by id once, so term counts
     and per-question sums stay local; frequent terms are dealt out in the join."""

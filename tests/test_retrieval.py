@@ -119,3 +119,11 @@ def test_encoders(spark):
 
     own = embedding.embed(frame, "passage_id", "text", lengths, batch_size=2).collect()
     assert sorted(tuple(r.vector) for r in own) == [(0.0, 1.0), (0.0, 1.0), (5.0, 1.0)]
+
+
+@pytest.mark.parametrize("terms", [10_000, 0])
+def test_bm25_without_a_match(spark, terms):
+    asked = spark.createDataFrame([(1, "nothing here")], "question_id long, text string")
+    stored = spark.createDataFrame([(1, "some words"), (2, "")], "passage_id long, text string")
+    assert sparse.bm25_top(asked, stored, 5, broadcast_terms=terms).count() == 0
+    assert sparse.bm25_top(asked, stored.where("false"), 5, broadcast_terms=terms).count() == 0
