@@ -8,6 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from answerloom.operators.skew import skew_join
+
 # Reserved ids in front of the learned vocabulary.
 PAD, UNKNOWN, START, SEPARATOR = 0, 1, 2, 3
 TAGS = {"제목:": 4, "글:": 5, "질문:": 6, "</s>": 7}
@@ -45,19 +47,20 @@ def vocabulary(texts: DataFrame, text_col: str, size: int = VOCABULARY_SIZE) ->
 
 
 def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vocab: DataFrame,
-           broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
-    """(id, name array<int>, ...): the first tokens of each column as vocabulary ids.
+           broadcast_tokens: int = BROADCAST_TOKENS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, keep ..., name array<int>, ...): tokens of each column as vocabulary ids.
 
-    ``columns`` maps an output name to (text column, token limit).  A vocabulary of
+    ``columns`` maps an output name to (text column, token limit), ``keep`` names
+    columns that are passed through.  A vocabulary of
     up to ``broadcast_tokens`` rows is broadcast and looked up batch by batch, so
     encoding is a narrow step; a larger one meets the tokens in a join.
     """
-    cut = rows.select(id_col, *[
+    cut = rows.select(id_col, *keep, *[
         F.slice(token_strings(F.coalesce(text, F.lit(""))), 1, limit).alias(name)
         for name, (text, limit) in columns.items()])
     head = vocab.select("token", "token_id").limit(broadcast_tokens + 1).toArrow()
     if head.num_rows > broadcast_tokens:
-        out = cut.select(id_col)
+        out = cut.select(id_col, *keep)
         for name in columns:
             out = out.join(_encode_by_join(cut.select(id_col, name), id_col, name, vocab), id_col)
         return out
@@ -67,8 +70,8 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
     def run(batches):
         known, numbers = shared.value
         for batch in batches:
-            encoded = [batch.column(0)]
-            for lists in batch.columns[1:]:
+            encoded = batch.columns[:1 + len(keep)]
+            for lists in batch.columns[1 + len(keep):]:
                 at = pc.index_in(lists.flatten(), value_set=known)
                 ids = pc.fill_null(numbers.take(at), UNKNOWN)
                 ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int32)
@@ -76,14 +79,15 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
                     pa.array(np.concatenate([[0], ends]).astype(np.int32)), ids))
             yield pa.RecordBatch.from_arrays(encoded, batch.schema.names)
 
-    schema = ", ".join([f"{id_col} bigint", *[f"{name} array<int>" for name in columns]])
-    return cut.mapInArrow(run, schema)
+    schema = [f"{name} {cut.schema[name].dataType.simpleString()}" for name in (id_col, *keep)]
+    return cut.mapInArrow(run, ", ".join(schema + [f"{name} array<int>" for name in columns]))
 
 
 def _encode_by_join(cut: DataFrame, id_col: str, name: str, vocab: DataFrame) -> DataFrame:
-    """Unroll, join, regroup; at most the token limit of rows per id."""
-    unrolled = cut.select(id_col, F.posexplode_outer(name).alias("_at", "token")).join(
-        vocab, "token", "left")
+    """Unroll, join with frequent tokens dealt out, regroup: at most the token limit
+    of rows per id."""
+    unrolled = skew_join(cut.select(id_col, F.posexplode_outer(name).alias("_at", "token")),
+                         vocab, ["token"], "left", F.col(id_col))
     known = F.when(F.col("_at").isNotNull(), F.struct(
         F.col("_at"), F.coalesce("token_id", F.lit(UNKNOWN)).alias("token_id")))
     return (
@@ -101,37 +105,64 @@ def mask_to(ids: Column, length: int) -> Column:
                     F.array_repeat(F.lit(0), F.lit(length) - F.size(ids)))
 
 
+def _one(value: int) -> Column:
+    return F.array(F.lit(value))
+
+
+def _question_inputs(ids: str, length: int, prefix: str = "") -> list[Column]:
+    """start + question + separator: ids, mask and types, padded."""
+    framed = F.concat(_one(START), F.col(ids), _one(SEPARATOR))
+    return [pad_to(framed, length).alias(prefix + "input_ids"),
+            mask_to(framed, length).alias(prefix + "attention_mask"),
+            F.array_repeat(F.lit(0), length).alias(prefix + "token_type_ids")]
+
+
+def _with_cut_pair(rows: DataFrame, first: str, second: str, room: int) -> DataFrame:
+    """Cut tokens from the longer part until both fit; the first keeps the odd one."""
+    keep = F.least(F.size(first), F.greatest(F.lit(room) - F.size(second), F.lit((room + 1) // 2)))
+    return rows.withColumn(first, F.slice(first, F.lit(1), keep)).withColumn(
+        second, F.slice(second, F.lit(1), F.least(F.size(second), F.lit(room) - F.size(first))))
+
+
+def _pair_inputs(first: str, second: str, length: int, prefix: str = "") -> list[Column]:
+    """start + first + separator + second + separator: ids, mask and types, padded."""
+    framed = F.concat(_one(START), first, _one(SEPARATOR), second, _one(SEPARATOR))
+    types = F.concat(F.array_repeat(F.lit(0), F.size(first) + 2),
+                     F.array_repeat(F.lit(1), F.size(second) + 1))
+    return [pad_to(framed, length).alias(prefix + "input_ids"),
+            mask_to(framed, length).alias(prefix + "attention_mask"),
+            pad_to(types, length, 0).alias(prefix + "token_type_ids")]
+
+
 def encode_questions(questions: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                      length: int = QUESTION_LENGTH) -> DataFrame:
-    """start + question + separator, truncated and padded to ``length``, with mask."""
-    framed = F.concat(F.array(F.lit(START)), F.col("ids"), F.array(F.lit(SEPARATOR)))
-    return (
-        encode(questions, id_col, {"ids": (text_col, length - 2)}, vocab)
-        .withColumn("_framed", framed)
-        .select(id_col, pad_to(F.col("_framed"), length).alias("input_ids"),
-                mask_to(F.col("_framed"), length).alias("attention_mask"),
-                F.array_repeat(F.lit(0), length).alias("token_type_ids"))
-    )
+    """Questions truncated and padded to ``length``, with mask and types."""
+    ids = encode(questions, id_col, {"_ids": (text_col, length - 2)}, vocab)
+    return ids.select(id_col, *_question_inputs("_ids", length))
 
 
 def encode_pairs(passages: DataFrame, id_col: str, title_col: str, text_col: str,
                  vocab: DataFrame, length: int = PAIR_LENGTH) -> DataFrame:
-    """start + title + separator + text + separator; the longer part is cut first."""
+    """(title, text) pairs in one sequence; the longer part is cut first."""
     room = length - 3
-    half = (room + 1) // 2
     both = encode(passages, id_col, {"_a": (title_col, room), "_b": (text_col, room)}, vocab)
-    keep_a = F.least(F.size("_a"), F.greatest(F.lit(room) - F.size("_b"), F.lit(half)))
-    one = lambda value: F.array(F.lit(value))
-    return (
-        both.withColumn("_a", F.slice("_a", F.lit(1), keep_a))
-        .withColumn("_b", F.slice("_b", F.lit(1), F.least(F.size("_b"), F.lit(room) - F.size("_a"))))
-        .withColumn("_ids", F.concat(one(START), "_a", one(SEPARATOR), "_b", one(SEPARATOR)))
-        .withColumn("_types", F.concat(F.array_repeat(F.lit(0), F.size("_a") + 2),
-                                       F.array_repeat(F.lit(1), F.size("_b") + 1)))
-        .select(id_col, pad_to(F.col("_ids"), length).alias("input_ids"),
-                mask_to(F.col("_ids"), length).alias("attention_mask"),
-                pad_to(F.col("_types"), length, 0).alias("token_type_ids"))
-    )
+    return _with_cut_pair(both, "_a", "_b", room).select(id_col, *_pair_inputs("_a", "_b", length))
+
+
+def encode_training_pairs(pairs: DataFrame, id_col: str, vocab: DataFrame,
+                          question_length: int = QUESTION_LENGTH,
+                          pair_length: int = PAIR_LENGTH) -> DataFrame:
+    """One row per question and its passage: both token sets and the passage's ids.
+
+    Expects question, title, text, article_id and paragraph_id; everything is
+    encoded in one narrow step, aligned by row.
+    """
+    room = pair_length - 3
+    ids = encode(pairs, id_col, {"_q": ("question", question_length - 2), "_a": ("title", room),
+                                 "_b": ("text", room)}, vocab, keep=("article_id", "paragraph_id"))
+    return _with_cut_pair(ids, "_a", "_b", room).select(
+        id_col, "article_id", "paragraph_id", *_question_inputs("_q", question_length, "question_"),
+        *_pair_inputs("_a", "_b", pair_length, "context_"))
 
 
 def encode_seq2seq(rows: DataFrame, id_col: str, source_col: str, target_col: str,

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from answerloom.functions import text as X
-from answerloom.operators import batches, contrastive, numbering, tokens
+from answerloom.operators import batches, chunking, contrastive, numbering, qa, tokens
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
     benchmark_questions, dialogues, passage_table, qa_rows, query, table, vector_pairs, vectors)
+from answerloom.registry.corpus import CHUNKED_QA
 from answerloom.registry.sql import (
     BENCHMARK, DIALOGUES, PASSAGES, QA, VECTORS, batches as sql_batches, encoded, tokens as sql_tokens,
     vocabulary, with_)
@@ -101,6 +102,38 @@ def encode_pairs(spark, sf_dir):
         "input_ids", "attention_mask", "token_type_ids")])
 
 
+_TRAINING = {
+    **_VOCAB, **CHUNKED_QA,
+    "asked": "SELECT qa_id, article_id, paragraph_id, question, '제목: ' || title || ' 글: ' AS "
+             "title, text FROM chunked_qa WHERE coalesce(question, '') <> ''",
+    **encoded("tq", "asked", "qa_id", "question", 254),
+    **encoded("ta", "asked", "qa_id", "title", 253),
+    **encoded("tb", "asked", "qa_id", "text", 253),
+    "long": "SELECT qa_id, ta.ids[1:greatest(127, 253 - len(tb.ids))] AS a, tb.ids AS b FROM ta "
+            "JOIN tb USING (qa_id)",
+    "trimmed": "SELECT qa_id, a, b[1:253 - len(a)] AS b FROM long",
+}
+
+
+@query(with_(_TRAINING, "SELECT qa_id, article_id, paragraph_id, "
+             f"{_joined(_padded('list_concat([2], q.ids, [3])', 256))} AS question_input_ids, "
+             f"{_joined(_padded('list_concat([2], a, [3], b, [3])', 256))} AS context_input_ids, "
+             "len(q.ids) + 2 AS question_tokens, len(a) + len(b) + 3 AS context_tokens, "
+             "len(b) + 1 AS text_tokens FROM trimmed JOIN tq q USING (qa_id) "
+             "JOIN asked USING (qa_id)"))
+def training_pairs(spark, sf_dir):
+    pairs = qa.has_question(chunking.chunk_qa(qa_rows(spark, sf_dir))).withColumn(
+        "title", X.decorate_title(F.col("title")))
+    rows = tokens.encode_training_pairs(pairs, "qa_id", _corpus_vocabulary(spark, sf_dir))
+    ones = lambda name: F.aggregate(name, F.lit(0), lambda acc, x: acc + x)
+    return rows.select(
+        "qa_id", "article_id", "paragraph_id", _ids("question_input_ids").alias("question_input_ids"),
+        _ids("context_input_ids").alias("context_input_ids"),
+        ones("question_attention_mask").alias("question_tokens"),
+        ones("context_attention_mask").alias("context_tokens"),
+        ones("context_token_type_ids").alias("text_tokens"))
+
+
 _SEQ = {
     **_VOCAB, **DIALOGUES,
     "prompted": "SELECT dialog_id, conv_id, turn, '질문: ' || question || ' </s>' AS source, "

@@ -80,3 +80,18 @@ def test_encoding_is_narrow(spark, vocab):
     frame = spark.range(100).select("id", F.lit("a b").alias("x"))
     plan = tokens.encode(frame, "id", {"ids": ("x", 9)}, vocab)._jdf.queryExecution()
     assert "Exchange" not in plan.executedPlan().toString()
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_training_pairs_stay_aligned(spark, vocab, partitions):
+    frame = spark.createDataFrame(
+        [(i, "a" if i % 2 else "b", "a", "b b", 10 + i, i % 3) for i in range(20)],
+        "id long, question string, title string, text string, article_id long, paragraph_id int")
+    got = tokens.encode_training_pairs(frame.repartition(partitions), "id", vocab, 4, 8).collect()
+    assert len(got) == 20
+    for r in got:
+        assert (r.article_id, r.paragraph_id) == (10 + r.id, r.id % 3)
+        assert r.question_input_ids == [2, 8 if r.id % 2 else 9, 3, 0]
+        assert r.context_input_ids == [2, 8, 3, 9, 9, 3, 0, 0]
+        assert r.context_token_type_ids == [0, 0, 0, 1, 1, 1, 0, 0]
+        assert (r.question_attention_mask, sum(r.context_attention_mask)) == ([1, 1, 1, 0], 6)
