@@ -106,7 +106,7 @@ def _neighbours(spark, sf_dir, k):
     return others.join(label, "passage_id").join(target, "question_id")
 
 
-@query(with_(_DRAFTS, "SELECT question_id, answer, round(logprob, 6) AS logprob FROM joint QUALIFY "
+@query(with_(_DRAFTS, "SELECT question_id, answer, logprob FROM joint QUALIFY "
                       "row_number() OVER (PARTITION BY question_id ORDER BY logprob DESC, answer) "
                       "= 1"))
 def marginalize_answers(spark, sf_dir):
@@ -118,7 +118,7 @@ def marginalize_answers(spark, sf_dir):
                 .alias("answer"),
                 (-(1.0 + F.col("passage_id") % 7 / 10.0 + F.col("d"))).alias("logprob"))
     )
-    return answers.marginalize_answers(drafts).withColumn("logprob", F.round("logprob", 6))
+    return answers.marginalize_answers(drafts)
 
 
 _EVENTS = {

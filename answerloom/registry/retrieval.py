@@ -1,4 +1,8 @@
-"""Vectors, exact and approximate search, BM25, fusion."""
+"""Vectors, exact and approximate search, BM25, fusion.
+
+Scores come out as they were ranked, rounded once to SCORE_DIGITS: rounding a second
+time would turn exact halves into differences between engines.
+"""
 
 from __future__ import annotations
 
@@ -14,11 +18,11 @@ from answerloom.registry.base import (
 from answerloom.registry.sql import DENSE, RETRIEVED, SPARSE, VECTORS, with_
 
 
-@query(with_(VECTORS, "SELECT passage_id AS pair_id, round(score, 6) AS score FROM scored "
+@query(with_(VECTORS, "SELECT passage_id AS pair_id, score FROM scored "
                       "WHERE question_id = passage_id"))
 def inner_product(spark, sf_dir):
     product = V.inner_product(F.col("question_vector"), F.col("passage_vector"))
-    return vector_pairs(spark, sf_dir).select("pair_id", F.round(product, 6).alias("score"))
+    return vector_pairs(spark, sf_dir).select("pair_id", F.round(product, scoring.SCORE_DIGITS).alias("score"))
 
 
 def _micro(vector):
@@ -62,32 +66,30 @@ _TOP = ("QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC
         "<= 20")
 _TOPK_SQL = with_({**VECTORS, "top": f"SELECT * FROM scored {_TOP}"},
                   "SELECT question_id, CAST(row_number() OVER (PARTITION BY question_id ORDER BY "
-                  "score DESC, passage_id) AS INT) AS rank, passage_id, round(score, 6) AS score "
+                  "score DESC, passage_id) AS INT) AS rank, passage_id, score "
                   "FROM top")
 
 
 @query(_TOPK_SQL)
 def topk_retrieval(spark, sf_dir):
-    found = scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
-    return found.withColumn("score", F.round("score", 6))
+    return scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
 
 
 @query(_TOPK_SQL)
 def topk_retrieval_blocks(spark, sf_dir):
     """The layout for question sets too large to broadcast."""
-    found = scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20,
-                                 broadcast_questions=0, question_block=300, passage_block=400)
-    return found.withColumn("score", F.round("score", 6))
+    return scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20,
+                                broadcast_questions=0, question_block=300, passage_block=400)
 
 
 def _ranks(spark, sf_dir):
     return contrastive.gold_ranks(vector_pairs(spark, sf_dir), vectors(spark, sf_dir))
 
 
-@query(with_(VECTORS, "SELECT question_id, round(gold_score, 6) AS gold_score, gold_rank "
+@query(with_(VECTORS, "SELECT question_id, gold_score, gold_rank "
                       "FROM ranks"))
 def gold_rank(spark, sf_dir):
-    return _ranks(spark, sf_dir).withColumn("gold_score", F.round("gold_score", 6))
+    return _ranks(spark, sf_dir)
 
 
 @query(with_(VECTORS, "SELECT k, round(100 * avg(CAST(gold_rank <= k AS INT)), 6) AS precision "
@@ -106,10 +108,9 @@ def topk_accuracy(spark, sf_dir):
 
 
 @query(with_(RETRIEVED, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, title, text, "
-                        "round(score, 6) AS score FROM retrieved"))
+                        "score FROM retrieved"))
 def retrieved_passages(spark, sf_dir):
-    found = _retrieved(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 5)
-    return found.withColumn("score", F.round("score", 6))
+    return _retrieved(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 5)
 
 
 @query(with_(RETRIEVED, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, title || "
@@ -130,11 +131,10 @@ def retrieval_export(spark, sf_dir):
                         _micro(F.col("scores")).alias("scores"))
 
 
-@query(with_(SPARSE, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, round(score, 6) "
-                     "AS score FROM sparse_ranked WHERE rank <= 20"))
+@query(with_(SPARSE, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, score "
+                     "FROM sparse_ranked WHERE rank <= 20"))
 def bm25_topk(spark, sf_dir):
-    found = sparse.bm25_top(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 20)
-    return found.withColumn("score", F.round("score", 6))
+    return sparse.bm25_top(benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir), 20)
 
 
 def _scaled(name, source):
@@ -153,7 +153,7 @@ def _fused(score):
                                     "FROM d FULL JOIN s USING (question_id, passage_id)"},
                  "SELECT question_id, CAST(row_number() OVER (PARTITION BY question_id ORDER BY "
                  "fused.score DESC, passage_id) AS INT) AS rank, passage_id, "
-                 "round(fused.score, 6) AS score FROM fused QUALIFY row_number() OVER (PARTITION "
+                 "fused.score AS score FROM fused QUALIFY row_number() OVER (PARTITION "
                  "BY question_id ORDER BY fused.score DESC, passage_id) <= 20")
 
 
@@ -164,13 +164,12 @@ def _both_lists(spark, sf_dir):
 
 @query(_fused("0.5 * coalesce(d.x, 0.0) + 0.5 * coalesce(s.x, 0.0)"))
 def hybrid_rerank(spark, sf_dir):
-    return sparse.fuse(*_both_lists(spark, sf_dir), 20).withColumn("score", F.round("score", 6))
+    return sparse.fuse(*_both_lists(spark, sf_dir), 20)
 
 
 @query(_fused("coalesce(1 / (60 + d.rank), 0.0) + coalesce(1 / (60 + s.rank), 0.0)"))
 def hybrid_rank_fusion(spark, sf_dir):
-    return sparse.fuse_ranks(*_both_lists(spark, sf_dir), 20).withColumn(
-        "score", F.round("score", 6))
+    return sparse.fuse_ranks(*_both_lists(spark, sf_dir), 20)
 
 
 @query()
@@ -188,13 +187,13 @@ def _search(spark, sf_dir, n_probe):
 
 @query()
 def ann_retrieval(spark, sf_dir):
-    return _search(spark, sf_dir, 8).withColumn("score", F.round("score", 6))
+    return _search(spark, sf_dir, 8)
 
 
 @query(_TOPK_SQL)
 def ann_all_cells(spark, sf_dir):
     """With every cell probed the index gives the exact answer."""
-    return _search(spark, sf_dir, ann.CELLS).withColumn("score", F.round("score", 6))
+    return _search(spark, sf_dir, ann.CELLS)
 
 
 @query()
