@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import minhash, mixing, pieces, pii, quality
+from answerloom.llm import chat, curves, kdtree, licences, minhash, mixing, pieces, pii, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,31 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+@_query
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.near_top(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(turns.unionByName(extra)))
+
+
+@_query
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -44,6 +69,11 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+@_query
+def op9_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.exact_top(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
