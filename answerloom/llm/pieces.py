@@ -22,6 +22,7 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -236,7 +237,7 @@ def _encoder(model_file: str, with_ids: bool) -> Callable:
                 rows[1].append(hashlib.sha256(_little_endian(ids)).hexdigest())
                 rows[2].append(hashlib.sha256(coder.decode(ids.tolist()).encode()).hexdigest())
                 if with_ids:
-                    rows[3].append(pa.array(memoryview(ids).cast("B").cast("i")))
+                    rows[3].append(np.frombuffer(ids, np.int32))
             columns = [batch.column(0), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()),
                        pa.array(rows[2], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -244,7 +245,7 @@ def _encoder(model_file: str, with_ids: bool) -> Callable:
                 offsets = [0]
                 for n in rows[0]:
                     offsets.append(offsets[-1] + n)
-                flat = pa.concat_arrays([pa.array([], pa.int32()), *rows[3]])
+                flat = pa.array(np.concatenate([np.zeros(0, np.int32), *rows[3]]), pa.int32())
                 columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)

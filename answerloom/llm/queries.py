@@ -14,6 +14,99 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 WEIGHTS = [1, 2, 3]
 
+#: Every source's target, the slots it gets and what they take of each document.
+_MIX_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+    FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM docs GROUP BY source),
+weighed AS (
+    SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS no,
+           1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS w FROM totals),
+filled AS (
+    SELECT *, row_number() OVER o AS k, 3 * s AS cap,
+           CAST(sum(s) OVER () - coalesce(sum(3 * s) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS BIGINT) AS rest,
+           CAST(sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                AS BIGINT) AS weight
+    FROM weighed WINDOW o AS (ORDER BY 3.0 * s / w, no)),
+level AS (SELECT k, rest, weight FROM filled WHERE rest * w <= cap * weight ORDER BY k LIMIT 1),
+shares AS (
+    SELECT f.no, f.source, f.s,
+           CASE WHEN f.k < l.k THEN CAST(f.cap AS DOUBLE) ELSE CAST(l.rest * f.w AS DOUBLE) / l.weight END AS target
+    FROM filled f, level l),
+whole AS (
+    SELECT sum(target) AS whole,
+           greatest(1, least(4096, CAST(round(sum(target)) AS BIGINT) // 65536)) AS block FROM shares),
+bounds AS (
+    SELECT s.*, w.block, CAST(round(w.whole / w.block) AS BIGINT) AS slots,
+           round(4294967296 * (sum(target) OVER (ORDER BY no) - target) / w.whole) AS low,
+           round(4294967296 * sum(target) OVER (ORDER BY no) / w.whole) AS high
+    FROM shares s, whole w),
+points AS (
+    SELECT (j * 2654435769) % 4294967296 AS point
+    FROM (SELECT unnest(range((SELECT max(slots) FROM bounds))) AS j)),
+won AS (
+    SELECT b.no, count(p.point) * any_value(b.block) AS tokens
+    FROM bounds b LEFT JOIN points p ON p.point >= b.low AND p.point < b.high GROUP BY b.no),
+begun AS (
+    SELECT d.doc_id, d.size, b.s, b.target, w.tokens,
+           sum(d.size) OVER (PARTITION BY b.no ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id) - d.size AS start
+    FROM docs d JOIN bounds b ON b.source IS NOT DISTINCT FROM d.source JOIN won w ON w.no = b.no)
+SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
+       CAST(greatest(0, least(start + size, tokens) - start)
+            + greatest(0, least(s + start + size, tokens) - s - start)
+            + greatest(0, least(2 * s + start + size, tokens) - 2 * s - start) AS BIGINT) AS taken
+FROM begun
+"""
+
+_EXACT_SQL = """
+WITH grid AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS g
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.g, c.g), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM grid q JOIN grid c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+"""
+
+#: Similar pairs over an inverted index of shingles, components by repeated minima.
+_NEAR_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                                  lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
+    FROM texts WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(doc_id, other) AS (
+    SELECT a, b FROM both_ways
+    UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles,
+       least(t.doc_id, coalesce(r.low, t.doc_id)) AS component_id,
+       t.doc_id = least(t.doc_id, coalesce(r.low, t.doc_id)) AS kept
+FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS low FROM reached GROUP BY doc_id) r ON r.doc_id = t.doc_id
+"""
+
+ORACLES["op2_source_mix"] = _MIX_SQL
+ORACLES["op9_exact_top"] = _EXACT_SQL
+ORACLES["op10_near_duplicates"] = _NEAR_SQL
+
 
 def _query(function: Query) -> Query:
     QUERIES[function.__name__] = function
