@@ -27,22 +27,25 @@ from answerloom.operators.stored import written_once
 
 PERMUTATIONS, BANDS, ROWS = 60, 24, 5
 WIDTH, SHARE = 5, 85
-# A pair of similarity 0.85 agrees in fewer than 0.6 of 120 entries with probability 1e-11.
-AGREE = 0.6
+# Before texts meet, sketches of one byte an entry do: 120 entries of the signature, then 1,024
+# of further permutations.  A pair of similarity 0.85 agrees in less than these shares of them with
+# probability 1e-6 each.
+WIDE = 512
+AGREE, WIDE_AGREE = 0.68, 0.79
 BLOCK = 1000
 CHUNK = 1 << 19
 
 _generator = np.random.Generator(np.random.PCG64(20))
-_ODD = _generator.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _generator.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
+_ODD = _generator.integers(0, 1 << 63, PERMUTATIONS + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _generator.integers(0, 1 << 63, PERMUTATIONS + WIDE, dtype=np.uint64)
 
 
-def min_max(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def min_max(flat: np.ndarray, starts: np.ndarray, first: int = 0, count: int = PERMUTATIONS) -> np.ndarray:
     """Signatures (sets x 2 P) of the sets that begin at ``starts`` in ``flat``."""
-    out = np.empty((len(starts), 2 * PERMUTATIONS), np.uint64)
+    out = np.empty((len(starts), 2 * count), np.uint64)
     with np.errstate(over="ignore"):
-        for p in range(PERMUTATIONS):
-            image = flat * _ODD[p] + _ADD[p]
+        for p, own in enumerate(range(first, first + count)):
+            image = flat * _ODD[own] + _ADD[own]
             out[:, 2 * p] = np.minimum.reduceat(image, starts)
             out[:, 2 * p + 1] = np.maximum.reduceat(image, starts)
     return out
@@ -85,7 +88,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes = np.array(counts)[filled]
                 signatures = min_max(np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)[:-1])))
                 keyed = band_hashes(signatures).view(np.int64)
-                short = (mixed(signatures) >> np.uint64(56)).astype(np.uint8)
+                short = _short(signatures)
                 for i, row in enumerate(np.flatnonzero(filled)):
                     bands[row], sketches[row] = keyed[i], short[i].tobytes()
             yield pa.RecordBatch.from_arrays(
@@ -135,27 +138,46 @@ def _similar_length(m: str, n: str):
     return (100 * F.least(m, n) >= SHARE * F.greatest(m, n))
 
 
+def _short(signatures: np.ndarray) -> np.ndarray:
+    return (mixed(signatures) >> np.uint64(56)).astype(np.uint8)
+
+
+def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in batches:
+        wide = []
+        for text in batch.column(1).cast(pa.binary()):
+            found = np.unique(shingle_hashes(hashes.of(words_of(text.as_py())), WIDTH))
+            wide.append(_short(min_max(found, np.zeros(1, int), PERMUTATIONS, WIDE)).tobytes() if len(found) else b"")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wide, pa.binary())], ["wide_id", "wide"])
+
+
 def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within each run of (bucket, i, j) whose sketches agree.
 
-    A run holds at most two blocks of a bucket; only survivors leave the task.
+    A run holds at most two blocks of a bucket; only survivors leave the task, and of the
+    buckets that two sets share only the first one reports the pair.
     """
     held: list = []
     run = None
 
     def pairs(rows: list) -> pa.RecordBatch:
-        i, j = rows[0][1], rows[0][2]
-        part = np.array([r[3] for r in rows])
-        rep, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
-        sketch = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
+        bucket, i, j = rows[0][:3]
+        part, rep, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
+        sketch, wide = (np.frombuffer(b"".join(r[k] for r in rows), np.uint8).reshape(len(rows), -1) for k in (7, 8))
+        bands = np.array([r[9] for r in rows], np.int64)
         out: list = []
         for x in range(len(rows)) if i == j else np.flatnonzero(part == i):
             others = np.flatnonzero((comp != comp[x]) & (rep > rep[x] if i == j else part == j)
                                     & (100 * np.minimum(n, n[x]) >= SHARE * np.maximum(n, n[x])))
             if len(others):
-                same = (sketch[others] == sketch[x]).sum(axis=1)
-                out += [(min(rep[x], rep[y]), max(rep[x], rep[y]))
-                        for y in others[same >= AGREE * sketch.shape[1]]]
+                others = others[(sketch[others] == sketch[x]).sum(axis=1) >= AGREE * sketch.shape[1]]
+            if len(others):
+                shared = bands[others] == bands[x]
+                others = others[bands[x][shared.argmax(axis=1)] == bucket]
+            if len(others):
+                others = others[(wide[others] == wide[x]).sum(axis=1) >= WIDE_AGREE * wide.shape[1]]
+                out += [(min(rep[x], rep[y]), max(rep[x], rep[y])) for y in others]
         return pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())],
             ["a", "b"])
@@ -183,8 +205,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         components.
     3.  Where a bucket still holds several components, its rows are dealt into blocks
         of about 1,000 and blocks meet in pairs; pairs inside a component need no
-        confirmation, the others pass when sizes and sketches allow the
-        similarity, and are confirmed as well.  No link between components is lost.
+        confirmation, the others leave the task only when sizes and sketches allow
+        the similarity, and are confirmed as well.
 
     Null or blank texts have no shingles and stand alone.  A null doc_id belongs to
     the class of its words when that has an id, and otherwise stands alone with a
@@ -228,12 +250,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .where(F.col("low") != F.col("high"))
         .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     )
+    unsettled = written_once(placed.join(open_buckets, "bucket"))
+    wide = written_once(
+        texts.join(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        .mapInArrow(_widen, "wide_id bigint, wide binary"))
     meeting = (
-        placed.join(open_buckets, "bucket").join(reps.select("rep", "sketch"), "rep")
+        unsettled.join(reps.select("rep", "sketch", "bands"), "rep")
+        .join(wide, F.col("rep") == F.col("wide_id"))
         .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("bucket", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"),
-                "part", "rep", "n", "comp", "sketch")
+                "part", "rep", "n", "comp", "sketch", "wide", "bands")
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     )
     rest = written_once(
