@@ -156,8 +156,8 @@ def _variants(notice: str) -> list[str]:
     """The notice, parts of it, and it among other words."""
     words = notice.split(" ")
     half = max(3, len(words) // 2)
-    return [notice, " ".join(words[:-1]) if len(words) > 4 else notice, " ".join(words[-half:]),
-            f"Note: {notice}", f"Copyright 2020 the authors. {notice}"]
+    return [notice, " ".join(words[:half]), " ".join(words[-half:]), " ".join(words[:-1]),
+            f"Copyright 2020 the authors. {notice}"]
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, text_column: str) -> tuple[list[tuple], list[str], list[str]]:
@@ -218,7 +218,7 @@ def trained(spark: SparkSession, docs: DataFrame, text_column: str
     counter.setBinary(True)
     seen = table(spark, [(float(r[0]), r[1], r[2]) for r in rows if not r[3]],
                  "label double, weight double, pairs array<string>")
-    model = LogisticRegression(family="multinomial", regParam=0.001, elasticNetParam=0.2, maxIter=60,
+    model = LogisticRegression(family="multinomial", regParam=0.0005, maxIter=60,
                                weightCol="weight").fit(counter.transform(seen))
     matrix = model.coefficientMatrix.toArray()
     weights = {p: [float(x) for x in matrix[:, j]] for j, p in enumerate(vocabulary) if matrix[:, j].any()}
