@@ -69,6 +69,11 @@ def hash_number(seed: int, *ids: Column) -> Column:
     return F.conv(F.substring(shuffle_key(seed, *ids), 1, 7), 16, 10).cast("bigint")
 
 
+def draw_number(seed: int, *ids: Column) -> Column:
+    """60-bit integer drawn from the ids; its remainders are as good as even."""
+    return F.conv(F.substring(shuffle_key(seed, *ids), 1, 15), 16, 10).cast("bigint")
+
+
 def in_test_split(fraction: float, seed: int, *ids: Column) -> Column:
     """True for about ``fraction`` of the ids, whatever the partitioning."""
     return hash_number(seed, *ids) < F.lit(int(round(fraction * (1 << 28))))

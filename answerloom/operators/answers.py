@@ -17,8 +17,9 @@ def exact_match(rows: DataFrame) -> DataFrame:
 def token_f1(rows: DataFrame, ids: list[str]) -> DataFrame:
     """(ids, n_same, n_prediction, n_gold, f1) with repeated tokens counted.
 
-    ``ids`` identify a row.  Rows are hashed by them once; token counts of both
-    sides are then grouped in place.  No overlap gives 0, two empty texts too.
+    ``ids`` identify a row, and may hold further columns that depend on them.  Rows are
+    hashed by them once; token counts of both sides are then grouped in place.  No overlap
+    gives 0, two empty texts too.
     """
     def tagged(name: str, prediction: int, gold: int):
         return F.transform(answer_tokens(F.coalesce(name, F.lit(""))), lambda t: F.struct(
@@ -49,10 +50,8 @@ def corpus_exact_match(rows: DataFrame) -> DataFrame:
 
 def squad_scores(rows: DataFrame, id_col: str, gold_no: str) -> DataFrame:
     """Corpus EM and F1 in percent, best gold answer per question."""
-    f1 = token_f1(rows, [id_col, gold_no]).select(id_col, gold_no, "f1")
-    matched = exact_match(rows).select(id_col, gold_no, "exact_match")
-    best = matched.join(f1, [id_col, gold_no]).groupBy(id_col).agg(
-        F.max("exact_match").alias("em"), F.max("f1").alias("f1"))
+    scored = token_f1(exact_match(rows), [id_col, gold_no, "exact_match"])
+    best = scored.groupBy(id_col).agg(F.max("exact_match").alias("em"), F.max("f1").alias("f1"))
     return best.agg(F.count("*").alias("n_questions"),
                     (100 * F.coalesce(F.avg("em"), F.lit(0.0))).alias("exact_match"),
                     (100 * F.coalesce(F.avg("f1"), F.lit(0.0))).alias("f1"))

@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.functions.ids import hash_number
+from answerloom.functions.ids import draw_number
 from answerloom.operators.numbering import numbered_within
 
 
 def _draw(seed: int, salt: int, size: Column, *ids: Column) -> Column:
-    return F.pmod(hash_number(seed * 31 + salt, *ids), size)
+    return F.pmod(draw_number(seed * 31 + salt, *ids), size)
 
 
 def _article_slots(rows: DataFrame, articles: DataFrame, batch_size: int, seed: int) -> DataFrame:

@@ -35,8 +35,8 @@ def gold_ranks(pairs: DataFrame, passages: DataFrame, **layout) -> DataFrame:
         score_blocks(gold, passages, CountAbove(), **layout)
         .groupBy("question_id").agg(F.sum("above").alias("_above"))
     )
-    return gold.select("question_id", "gold_score").join(above, "question_id").select(
-        "question_id", "gold_score", (F.col("_above") + 1).alias("gold_rank"))
+    return gold.select("question_id", "gold_score").join(above, "question_id", "left").select(
+        "question_id", "gold_score", (F.coalesce("_above", F.lit(0)) + 1).alias("gold_rank"))
 
 
 def precision_at(ranks: DataFrame, ks: tuple[int, ...]) -> DataFrame:
@@ -60,12 +60,14 @@ def corpus_loss(pairs: DataFrame, passages: DataFrame, temperature: float = 1.0,
     negatives = merge_mass(
         score_blocks(gold, passages, NegativeMass(negative_scale, temperature), **layout))
     positive = F.col("gold_score") / temperature
-    high = F.greatest(positive, F.col("log_sum"))
-    log_total = high + F.log(F.exp(positive - high) + F.exp(F.col("log_sum") - high))
+    mass = F.coalesce("log_sum", F.lit(float("-inf")))
+    high = F.greatest(positive, mass)
+    log_total = high + F.log(F.exp(positive - high) + F.exp(mass - high))
     return (
-        gold.select("question_id", "gold_score").join(negatives, "question_id")
+        gold.select("question_id", "gold_score").join(negatives, "question_id", "left")
         .select("question_id", (log_total - positive).alias("loss"),
-                F.col("n").alias("n_negatives"), (F.col("above") + 1).alias("positive_rank"))
+                F.coalesce("n", F.lit(0)).alias("n_negatives"),
+                (F.coalesce("above", F.lit(0)) + 1).alias("positive_rank"))
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import content_key
-from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, lookup
+from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, lookup, skew_join
 from answerloom.operators.stored import written_once
 
 
@@ -24,23 +24,37 @@ def _keyed(rows: DataFrame, key: list[str]) -> DataFrame:
 def duplicate_groups(rows: DataFrame, key: list[str], id_col: str) -> DataFrame:
     """Groups with more than one distinct id: the key, size, first and last id.
 
-    Ids themselves are listed by :func:`canonical_map`, one row each, rather than
-    collected into one array per group.
+    Grouped by content key; the key's own columns are fetched for groups with copies
+    only, from their first row.  Ids themselves are listed by :func:`canonical_map`, one
+    row each, rather than collected into one array per group.
     """
-    return (
-        rows.groupBy(*key)
-        .agg(F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"),
+    keyed = _keyed(rows, key).select("_key", F.col(id_col).alias("_id"), *key)
+    groups = (
+        keyed.groupBy("_key")
+        .agg(F.min("_id").alias("first_id"), F.max("_id").alias("last_id"),
              F.count("*").alias("n_rows"))
         .where(F.col("first_id") < F.col("last_id"))
     )
+    named = lookup(keyed, groups, ["_key"], "inner", F.col("_id"))
+    return (
+        named.where(F.col("_id") == F.col("first_id")).dropDuplicates(["_key"])
+        .select(*key, "first_id", "last_id", "n_rows")
+    )
 
 
 def copied_groups(rows: DataFrame, key: list[str], id_col: str) -> DataFrame:
-    """(_key, first_id) of the groups with more than one id: one row per group."""
+    """(_key, first_id) of the groups with more than one id: one row per group.
+
+    A missing id is smaller than none: it counts as a further id of a group that has one,
+    and a group of missing ids only has no copies.
+    """
     return (
         _keyed(rows, key).groupBy("_key")
-        .agg(F.min(id_col).alias("first_id"), F.max(id_col).alias("_last"))
-        .where(F.col("first_id") < F.col("_last")).select("_key", "first_id")
+        .agg(F.min(id_col).alias("first_id"), F.max(id_col).alias("_last"),
+             F.count_if(F.col(id_col).isNull()).alias("_missing"))
+        .where((F.col("first_id") < F.col("_last"))
+               | (F.col("first_id").isNotNull() & (F.col("_missing") > 0)))
+        .select("_key", "first_id")
     )
 
 
@@ -62,7 +76,7 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     ``row_number() = 1`` plans a group limit in front of the exchange, so each
     task ships at most one row per key and a group of copies never gathers.
     """
-    first = Window.partitionBy("_key").orderBy(*order)
+    first = Window.partitionBy("_key").orderBy(*[F.asc_nulls_last(c) for c in order])
     return (
         _keyed(rows, key)
         .withColumn("_rank", F.row_number().over(first))
@@ -73,21 +87,24 @@ def keep_first(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 def drop_copies(rows: DataFrame, key: list[str], id_col: str,
                 broadcast_groups: int = BROADCAST_ROWS) -> DataFrame:
-    """Rows whose (unique) id is the smallest of their group, without moving texts.
+    """Rows whose id is the smallest of their group, without moving texts.
 
     For tables that are cheap to scan twice.  The first scan shuffles key and id
     only and stores the groups that have copies; while those fit the broadcast
     limit, the second scan looks its rows up in them.  A group is one entry however
-    many copies it has.  Beyond the limit this is :func:`keep_first`.
+    many copies it has.  Beyond the limit the same rule meets its rows by a join.
+
+    A row without id gives way to any row with one and stays in a group of such rows;
+    rows that repeat the smallest id all stay.
     """
     groups = written_once(copied_groups(rows, key, id_col))
-    if not fits(groups, broadcast_groups):
-        return keep_first(rows, key, [id_col])
-    return (
-        _keyed(rows, key).join(F.broadcast(groups), "_key", "left")
-        .where(F.coalesce("first_id", id_col) == F.col(id_col))
-        .drop("_key", "first_id")
-    )
+    keyed = _keyed(rows, key)
+    if fits(groups, broadcast_groups):
+        joined = keyed.join(F.broadcast(groups), "_key", "left")
+    else:
+        joined = skew_join(keyed, groups, ["_key"], "left", F.col(id_col))
+    return joined.where(F.col("first_id").isNull() | F.col("first_id").eqNullSafe(F.col(id_col))).select(
+        *rows.columns)
 
 
 def dedup_articles(articles: DataFrame, broadcast_groups: int = BROADCAST_ROWS) -> DataFrame:
@@ -110,5 +127,5 @@ def remap_ids(rows: DataFrame, id_map: DataFrame, id_col: str, spread: str,
     return (
         lookup(rows, mapping, [id_col], "left", F.col(spread), broadcast_rows, hot_rows)
         .withColumn(id_col, F.coalesce("new_id", id_col))
-        .drop("new_id")
+        .select(*rows.columns)
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import shuffle_key
+from answerloom.operators.stored import written_once
 
 BUCKET_DIGITS = 3  # hex digits, 4096 buckets
 
@@ -43,6 +44,25 @@ def numbered(rows: DataFrame, ids: list[str], seed: int = 0,
     )
 
 
+def numbered_in_order(rows: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """Add a 0-based ``name`` in the given order, which must be total.
+
+    Spark range-partitions and sorts the rows and numbers them inside their partitions;
+    the stored partitions are counted, and the running sum over these counts, one row
+    for each partition, is broadcast.
+    """
+    laid = written_once(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumns({"_part": F.shiftright("_row", 33),
+                      "_within": F.col("_row").bitwiseAND((1 << 33) - 1)}).drop("_row"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return laid.join(F.broadcast(starts), "_part").withColumn(
+        name, F.col("_start") + F.col("_within")).select(*rows.columns, name)
+
+
 def numbered_within(rows: DataFrame, group: list[str], ids: list[str], seed: int = 0,
                     parts: int = 256, name: str = "index") -> DataFrame:
     """Add a 0-based ``name`` inside each group and the group size ``<name>_size``.

@@ -21,8 +21,10 @@ def attach_passages(ranked: DataFrame, passages: DataFrame,
     ranked = written_once(ranked)
     texts = passages.select("passage_id", "title", "text")
     if fits(ranked, broadcast_rows):
-        return texts.join(F.broadcast(ranked), "passage_id")
-    return skew_join(ranked, texts, ["passage_id"], "inner", F.col("question_id"), hot_rows)
+        joined = texts.join(F.broadcast(ranked), "passage_id")
+    else:
+        joined = skew_join(ranked, texts, ["passage_id"], "inner", F.col("question_id"), hot_rows)
+    return joined.select("passage_id", "title", "text", *[c for c in ranked.columns if c != "passage_id"])
 
 
 def context_prompts(retrieved: DataFrame, questions: DataFrame) -> DataFrame:

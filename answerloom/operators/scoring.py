@@ -31,6 +31,7 @@ BROADCAST_QUESTIONS = 20_000
 BROADCAST_BYTES = 256 << 20
 QUESTION_BLOCK = 32_768
 PASSAGE_BLOCK = 131_072
+MERGE_PARTS = 32
 TILE_SCORES = 4_000_000  # scores held at once: 32 MB of doubles
 
 
@@ -40,6 +41,10 @@ def _matrix(column) -> np.ndarray:
         column = column.combine_chunks()
     if len(column) == 0:
         return np.empty((0, 0))
+    lengths = column.value_lengths()
+    if column.null_count or lengths.to_numpy(zero_copy_only=False).min() != lengths.to_numpy(
+            zero_copy_only=False).max() or column.flatten().null_count:
+        raise ValueError("vectors must not be NULL, hold NULLs or differ in length")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
@@ -64,9 +69,18 @@ class BestK:
         if scores.shape[1] > k:
             floor = np.maximum(floor, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
         new_row, new_col = np.nonzero(scores >= floor[:, None])
+        self._merge(new_row, ids[new_col], scores[new_row, new_col])
+
+    def add_cells(self, row: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Single scores of (row, passage); those below the row's bound are left out."""
+        keep = scores >= self.bound[row]
+        self._merge(row[keep], ids[keep], scores[keep])
+
+    def _merge(self, new_row: np.ndarray, new_pid: np.ndarray, new_score: np.ndarray) -> None:
+        k = self.k
         row = np.concatenate([self.row, new_row])
-        pid = np.concatenate([self.pid, ids[new_col]])
-        score = np.concatenate([self.score, scores[new_row, new_col]])
+        pid = np.concatenate([self.pid, new_pid])
+        score = np.concatenate([self.score, new_score])
         order = np.lexsort((pid, -score, row))
         row, pid, score = row[order], pid[order], score[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row, side="left")
@@ -231,11 +245,18 @@ def _with_sizes(rows: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame
 def rank_top(scored: DataFrame, k: int) -> DataFrame:
     """Global top ``k`` per question from partial results; adds ``rank``.
 
-    The rank filter is planned as a group limit on both sides of the exchange.
+    Partial rows meet in two levels, by question and a hash of the passage first, so few
+    questions with very many partial rows do not gather in few tasks.  The rank filters are
+    planned as group limits on both sides of their exchanges.
     """
-    best = Window.partitionBy("question_id").orderBy(F.desc("score"), "passage_id")
+    order = [F.desc("score"), "passage_id"]
+    part = F.pmod(F.xxhash64("passage_id"), F.lit(MERGE_PARTS))
+    near = Window.partitionBy("question_id", "_part").orderBy(*order)
+    best = Window.partitionBy("question_id").orderBy(*order)
     return (
-        scored.withColumn("rank", F.row_number().over(best))
+        scored.withColumn("_part", part).withColumn("_near", F.row_number().over(near))
+        .where(F.col("_near") <= k).drop("_part", "_near")
+        .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("question_id", "rank", "passage_id", "score")
     )
@@ -247,18 +268,24 @@ def top_passages(questions: DataFrame, passages: DataFrame, k: int, **layout) ->
 
 
 def merge_mass(partials: DataFrame) -> DataFrame:
-    """One (question_id, log_sum, n, above) row per question; a single exchange.
+    """One (question_id, log_sum, n, above) row per question.
 
-    A part that saw no passage has peak -infinity and mass 0; a question without
-    any negative gets a log_sum of -infinity.
+    Sums combine before the exchange: the mass of every whole number of its peak is summed
+    on its own, which leaves a few rows per question and task, then those are brought to the
+    question's peak.  A part that saw no passage has peak -infinity and mass 0; a question
+    without any negative gets a log_sum of -infinity.
     """
-    peak = F.max("peak").over(Window.partitionBy("question_id"))
-    share = F.when(F.col("mass") > 0, F.col("mass") * F.exp(F.col("peak") - F.col("_peak")))
+    level = F.when(F.col("mass") > 0, F.floor("peak")).alias("_level")
+    steps = partials.groupBy("question_id", level).agg(
+        F.sum(F.when(F.col("mass") > 0, F.col("mass") * F.exp(F.col("peak") - F.floor("peak")))).alias("_mass"),
+        F.sum("n").alias("n"), F.sum("above").alias("above"))
+    peak = F.max("_level").over(Window.partitionBy("question_id"))
+    share = F.col("_mass") * F.exp((F.col("_level") - F.col("_peak")).cast("double"))
     return (
-        partials.withColumn("_peak", peak)
+        steps.withColumn("_peak", peak)
         .groupBy("question_id")
-        .agg(F.max("_peak").alias("_peak"), F.sum(share).alias("_mass"), F.sum("n").alias("n"),
+        .agg(F.max("_peak").alias("_peak"), F.sum(share).alias("_total"), F.sum("n").alias("n"),
              F.sum("above").alias("above"))
-        .select("question_id", F.coalesce(F.col("_peak") + F.log("_mass"),
+        .select("question_id", F.coalesce(F.col("_peak") + F.log("_total"),
                                           F.lit(float("-inf"))).alias("log_sum"), "n", "above")
     )

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from answerloom.functions.ids import content_key
 from answerloom.functions.text import words
 from answerloom.operators.scoring import SCORE_DIGITS, BestK, TopK, rank_top
-from answerloom.operators.skew import computed_once, fits, skew_join
+from answerloom.operators.skew import computed_once, fits
 from answerloom.operators.stored import written_once
 
 BROADCAST_TERMS = 500_000
-SLICE_SCORES = 250_000  # passages x questions scored at once
+SLICE_SCORES = 1_000_000  # pairs of a passage's and a question's term held at once
 
 
 def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2, b: float = 0.75,
@@ -25,22 +26,23 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
     ``questions``: question_id, text; ``passages``: passage_id, text, best a stored
     table, since it is read for the term statistics and again for the scores.
 
-    Up to ``broadcast_terms`` question terms are broadcast with their weights and
-    every scan task scores its own passages; no text is shuffled.  Beyond that
-    terms meet by a join.  Either way a frequent word costs time, never one task,
-    and only the best ``k`` per question and task leave it.
+    Question terms are broadcast with their weights and every scan task scores its own
+    passages; no text is shuffled, a frequent word costs time, never one task, and only the
+    best ``k`` per question and task leave it.  More than ``broadcast_terms`` question terms
+    are dealt into blocks of whole questions, and each block is one scan.  Every passage
+    that shares a word with the question has a score, however small it is when rounded.
     """
     asked = (
         questions.select("question_id", F.explode(words(F.col("text"))).alias("term"))
         .groupBy("question_id", "term").agg(F.count("*").alias("qtf"))
     )
     split = computed_once(passages.select("passage_id", "text"), "words", words(F.col("text")))
-    small = fits(asked, broadcast_terms)
+    blocks = 1 if fits(asked, broadcast_terms) else -(-asked.count() // broadcast_terms)
     # The empty term stands for the whole passage: its document frequency is the
     # number of passages and its length sum the corpus length, all from one scan.
     terms = split.select(F.explode(F.concat(F.array_distinct("words"), F.array(F.lit(""))))
                          .alias("term"), F.size("words").alias("length"))
-    if small:
+    if blocks == 1:
         used = asked.select("term").distinct().unionByName(
             asked.sparkSession.sql("SELECT '' AS term"))
         terms = terms.join(F.broadcast(used), "term")
@@ -51,16 +53,20 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = asked.join(counts, "term").select("term", "question_id",
                                                 (F.col("qtf") * idf).alias("weight"))
-    if small:
-        scored = _score_by_scan(split, weights.toArrow(), mean, k, k1, b)
-    else:
-        scored = _score_by_join(passages, weights, mean, k1, b)
-    return rank_top(scored, k)
+    if blocks > 1:
+        weights = written_once(weights)
+    block = F.pmod(F.xxhash64("question_id"), F.lit(blocks))
+    scored = [_score_by_scan(split, weights.where(block == i).toArrow(), mean, k, k1, b)
+              for i in range(blocks)]
+    return rank_top(reduce(DataFrame.unionByName, scored), k)
 
 
 def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1: float,
                    b: float) -> DataFrame:
-    """Broadcast term weights as rows of a sparse matrix, fold the best ``k``."""
+    """Broadcast term weights as rows of a sparse matrix, fold the best ``k``.
+
+    Only pairs that share a term are ever held, at most about SLICE_SCORES at once.
+    """
     weights = weights.sort_by("term")
     runs = weights["term"].combine_chunks().dictionary_encode()
     starts = np.searchsorted(runs.indices.to_numpy(), np.arange(len(runs.dictionary) + 1))
@@ -70,27 +76,29 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
 
     def run(batches):
         terms, starts, qids, columns, values = shared.value
-        best = BestK(len(qids), k, lowest=np.nextafter(0, 1))
-        step = max(1, SLICE_SCORES // max(1, len(qids)))
-        for batch in batches:
-            for at in range(0, batch.num_rows if len(qids) else 0, step):
-                part = batch.slice(at, step)
-                sizes = part.column(1).value_lengths().to_numpy()
-                term = pc.index_in(part.column(1).flatten(), value_set=terms)
-                row = np.repeat(np.arange(len(sizes)), sizes)[term.is_valid().to_numpy(False)]
-                cell, tf = np.unique(row * len(terms) + term.drop_null().to_numpy(),
-                                     return_counts=True)
-                row, term = np.divmod(cell, len(terms))
-                gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[row] / mean))
-                fan = starts[term + 1] - starts[term]
-                source = np.repeat(np.arange(len(term)), fan)
+        known = pd.Index(terms.to_pandas())  # one hash table for the whole task
+        fans = np.diff(starts)
+        best = BestK(len(qids), k)
+        for batch in batches if len(qids) else ():
+            pids = batch.column(0).to_numpy()
+            sizes = batch.column(1).value_lengths().to_numpy()
+            term = known.get_indexer(batch.column(1).flatten().to_pandas())
+            row = np.repeat(np.arange(len(sizes)), sizes)[term >= 0]
+            cell, tf = np.unique(row * len(terms) + term[term >= 0], return_counts=True)
+            row, term = np.divmod(cell, len(terms))
+            gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[row] / mean))
+            fan = fans[term]
+            # Cut where a row begins and the entries so far fill a slice.
+            full = np.cumsum(np.bincount(row, fan, len(sizes))) // SLICE_SCORES
+            for cells in np.split(np.arange(len(row)), np.flatnonzero(np.diff(full[row])) + 1):
+                many = fan[cells]
+                source = np.repeat(cells, many)
                 entry = starts[term][source] + np.arange(len(source)) - np.repeat(
-                    np.cumsum(fan) - fan, fan)
-                scores = np.bincount(row[source] * len(qids) + columns[entry],
-                                     weights=values[entry] * gain[source],
-                                     minlength=len(sizes) * len(qids))
-                scores = np.round(scores, SCORE_DIGITS).reshape(len(sizes), len(qids)).T
-                best.add(part.column(0).to_numpy(), scores)
+                    np.cumsum(many) - many, many)
+                pair, at = np.unique(row[source] * len(qids) + columns[entry], return_inverse=True)
+                score = np.bincount(at, weights=values[entry] * gain[source], minlength=len(pair))
+                passage, question = np.divmod(pair, len(qids))
+                best.add_cells(question, pids[passage], np.round(score, SCORE_DIGITS))
         yield pa.RecordBatch.from_arrays(
             [pa.array(qids[best.row]), pa.array(best.pid), pa.array(best.score)],
             ["question_id", "passage_id", "score"])
@@ -98,26 +106,6 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
     return split.select("passage_id", "words").mapInArrow(run, TopK.schema)
 
 
-def _score_by_join(passages: DataFrame, weights: DataFrame, mean: float, k1: float,
-                   b: float) -> DataFrame:
-    """Any number of question terms: passages are hashed by id once, so term counts
-    and per-question sums stay local; frequent terms are dealt out in the join."""
-    placed = computed_once(passages.select("passage_id", "text").repartition("passage_id"),
-                           "_words", words(F.col("text")))
-    postings = (
-        placed.select("passage_id", F.size("_words").alias("length"),
-                      F.explode("_words").alias("term"))
-        .groupBy("passage_id", "length", "term").agg(F.count("*").alias("tf"))
-        .withColumn("_key", content_key(F.col("term"))).drop("term")
-    )
-    keyed = weights.withColumn("_key", content_key(F.col("term"))).drop("term")
-    matched = skew_join(postings, keyed, ["_key"], "inner", F.col("passage_id"))
-    gain = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / mean))
-    return matched.groupBy("passage_id", "question_id").agg(
-        F.round(F.sum(F.col("weight") * gain), SCORE_DIGITS).alias("score")).select(
-        "question_id", "passage_id", "score")
-
-
 def unpack_sparse(results: DataFrame) -> DataFrame:
     """Stored sparse results (parallel ``ids`` and ``scores`` lists) as ranked rows."""
     return (

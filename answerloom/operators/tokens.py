@@ -8,7 +8,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from answerloom.operators.skew import skew_join
+from answerloom.functions.text import strip
+from answerloom.operators.numbering import numbered_in_order
+from answerloom.operators.skew import lookup, skew_join
+from answerloom.operators.stored import written_once
 
 # Reserved ids in front of the learned vocabulary.
 PAD, UNKNOWN, START, SEPARATOR = 0, 1, 2, 3
@@ -16,7 +19,6 @@ TAGS = {"제목:": 4, "글:": 5, "질문:": 6, "</s>": 7}
 FIRST_WORD = 8
 # Length limits.
 QUESTION_LENGTH, PAIR_LENGTH, SOURCE_LENGTH, LABEL_LENGTH = 256, 256, 1024, 128
-VOCABULARY_SIZE = 32_000
 BROADCAST_TOKENS = 1_000_000
 # A tag, a run of letters and digits, or one other visible character.
 TOKEN = (r"제목:|글:|질문:|</s>|[\p{L}\p{N}]+"
@@ -27,20 +29,22 @@ def token_strings(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
-def vocabulary(texts: DataFrame, text_col: str, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """(token, token_id): tags first, then the ``size`` most frequent tokens.
+def vocabulary(texts: DataFrame, text_col: str, size: int | None = None) -> DataFrame:
+    """(token, token_id): tags first, then all tokens, the most frequent first.
 
-    Counts combine before the shuffle and the ordered limit keeps ``size`` rows
-    per task, so numbering them in one task is bounded by the parameter.
+    Counts combine before the shuffle and tokens are numbered by ranges of (count,
+    token), so any number of them is spread over tasks.  ``size`` keeps the most
+    frequent ones only.
     """
     counted = (
         texts.select(F.explode(token_strings(F.col(text_col))).alias("token"))
         .where(~F.col("token").isin(list(TAGS)))
         .groupBy("token").agg(F.count("*").alias("_n"))
     )
-    order = [F.desc("_n"), F.asc("token")]
-    learned = counted.orderBy(*order).limit(size).select(
-        "token", (F.row_number().over(Window.orderBy(*order)) + FIRST_WORD - 1).alias("token_id"))
+    placed = numbered_in_order(counted, F.desc("_n"), F.asc("token"))
+    if size is not None:
+        placed = placed.where(F.col("position") < size)
+    learned = placed.select("token", (F.col("position") + FIRST_WORD).cast("int").alias("token_id"))
     tags = ", ".join(f"('{token}', {number})" for token, number in TAGS.items())
     reserved = texts.sparkSession.sql(f"SELECT * FROM VALUES {tags} AS t(token, token_id)")
     return reserved.unionByName(learned)
@@ -60,10 +64,12 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
         for name, (text, limit) in columns.items()])
     head = vocab.select("token", "token_id").limit(broadcast_tokens + 1).toArrow()
     if head.num_rows > broadcast_tokens:
-        out = cut.select(id_col, *keep)
+        # Rows are told apart by a key of their own: ids may repeat or be missing.
+        cut = written_once(cut.withColumn("_row", F.monotonically_increasing_id()))
+        out = cut.select("_row", id_col, *keep)
         for name in columns:
-            out = out.join(_encode_by_join(cut.select(id_col, name), id_col, name, vocab), id_col)
-        return out
+            out = out.join(_encode_by_join(cut.select("_row", name), "_row", name, vocab), "_row")
+        return out.select(id_col, *keep, *columns)
     shared = rows.sparkSession.sparkContext.broadcast(
         (head["token"].combine_chunks(), head["token_id"].combine_chunks().cast(pa.int32())))
 
@@ -96,6 +102,23 @@ def _encode_by_join(cut: DataFrame, id_col: str, name: str, vocab: DataFrame) ->
     )
 
 
+def decode(rows: DataFrame, id_col: str, ids_col: str, vocab: DataFrame, **sizes: int) -> DataFrame:
+    """(id, text): the tokens of ``ids_col`` joined by spaces, stripped.
+
+    Reserved ids (padding, marks, tags) give nothing.  A missing list gives a missing text;
+    ids may repeat or be missing.
+    """
+    placed = written_once(rows.select(id_col, F.col(ids_col).alias("_ids")).withColumn(
+        "_row", F.monotonically_increasing_id()))
+    unrolled = placed.select("_row", F.posexplode("_ids").alias("_at", "token_id")).where(
+        F.col("token_id") >= FIRST_WORD)
+    known = lookup(unrolled, vocab.select("token_id", "token"), ["token_id"], "inner", F.col("_row"), **sizes)
+    texts = known.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "token"))).alias("_tokens"))
+    joined = placed.join(texts, "_row", "left")
+    text = strip(F.array_join(F.col("_tokens.token"), " "))
+    return joined.select(id_col, F.when(F.col("_ids").isNotNull(), F.coalesce(text, F.lit(""))).alias("text"))
+
+
 def pad_to(ids: Column, length: int | Column, value: int = PAD) -> Column:
     return F.concat(ids, F.array_repeat(F.lit(value), (F.lit(length) - F.size(ids)).cast("int")))
 
@@ -191,16 +214,16 @@ def trim_batches(rows: DataFrame, columns: list[str], ids_col: str = "ids",
                  value: int = PAD) -> DataFrame:
     """Drop positions that are padding in every row of the batch, inner ones too.
 
-    The positions are decided on ``ids_col`` and cut from all ``columns``.
+    The positions are decided on ``ids_col`` and cut from all ``columns``.  A batch is a
+    bounded group, so a window gathers its rows' used positions; the input is read once.
     """
-    used = (
-        rows.select("batch_id", F.posexplode(ids_col).alias("_at", "_id"))
-        .where(F.col("_id") != value)
-        .groupBy("batch_id").agg(F.array_sort(F.collect_set("_at")).alias("_kept"))
-    )
-    out = rows.join(used, "batch_id", "left").withColumn(
-        "_kept", F.coalesce("_kept", F.expr("cast(array() as array<int>)")))
-    return out.withColumns({name: _at(name, "_kept") for name in columns}).drop("_kept")
+    places = F.transform(ids_col, lambda x, i: F.when(x != value, i))
+    used = F.filter(places, lambda i: i.isNotNull())
+    kept = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_used").over(
+        Window.partitionBy("batch_id")))))
+    out = rows.withColumn("_used", F.coalesce(used, F.expr("cast(array() as array<int>)"))).withColumn(
+        "_kept", kept)
+    return out.withColumns({name: _at(name, "_kept") for name in columns}).drop("_used", "_kept")
 
 
 def _at(array: str, positions: str) -> Column:

@@ -18,6 +18,8 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 VALIDATION_SEED, VALIDATION_SHARE = 1, 0.1
+# Turns a packed dialogue id can tell apart; longer conversations are refused, not mixed up.
+DIALOG_TURNS = 1_000_000
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -73,8 +75,9 @@ def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", F.col("text").alias("question"))
     said = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    return asked.join(said, ["conv_id", "turn"]).withColumn(
-        "dialog_id", F.col("conv_id") * 1000000 + F.col("turn"))
+    packed = F.when(F.col("turn") < DIALOG_TURNS, F.col("conv_id") * DIALOG_TURNS + F.col("turn")).otherwise(
+        F.raise_error(F.lit("a conversation is too long for packed ids")).cast("bigint"))
+    return asked.join(said, ["conv_id", "turn"]).withColumn("dialog_id", packed)
 
 
 def validation_questions(spark: SparkSession, sf_dir: str) -> DataFrame:

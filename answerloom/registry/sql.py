@@ -197,11 +197,11 @@ def tokens(x: str) -> str:
     return f"regexp_extract_all(lower({x}), '{TOKEN}')"
 
 
-def vocabulary(source: str, text: str, size: int) -> dict[str, str]:
+def vocabulary(source: str, text: str) -> dict[str, str]:
     return {
         "learned": f"SELECT token, count(*) AS n FROM (SELECT unnest({tokens(text)}) AS token "
                    f"FROM {source}) WHERE token NOT IN ('제목:', '글:', '질문:', '</s>') "
-                   f"GROUP BY token ORDER BY n DESC, token LIMIT {size}",
+                   f"GROUP BY token",
         "vocab": "SELECT token, 7 + row_number() OVER (ORDER BY n DESC, token) AS token_id "
                  "FROM learned UNION ALL VALUES ('제목:', 4), ('글:', 5), ('질문:', 6), "
                  "('</s>', 7)",

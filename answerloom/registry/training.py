@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from answerloom.functions import text as X
-from answerloom.operators import batches, chunking, contrastive, numbering, qa, tokens
+from answerloom.operators import answers, batches, chunking, contrastive, numbering, qa, tokens
+from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
-    benchmark_questions, dialogues, passage_table, qa_rows, query, table, vector_pairs, vectors)
+    benchmark_questions, dialogues, passage_table, predictions, qa_rows, query, table, vector_pairs, vectors)
 from answerloom.registry.corpus import CHUNKED_QA
 from answerloom.registry.sql import (
-    BENCHMARK, DIALOGUES, PASSAGES, QA, VECTORS, batches as sql_batches, encoded, tokens as sql_tokens,
-    vocabulary, with_)
+    BENCHMARK, DIALOGUES, PASSAGES, PREDICTIONS, QA, VECTORS, batches as sql_batches, encoded, normalized,
+    tokens as sql_tokens, vocabulary, with_)
 
-VOCABULARY = 2000
 BATCH = 16
 
 
@@ -39,10 +39,17 @@ def qa_prompts_untitled(spark, sf_dir):
 
 
 def _corpus_vocabulary(spark, sf_dir):
-    return tokens.vocabulary(table(spark, sf_dir, "conversations"), "text", VOCABULARY)
+    return tokens.vocabulary(table(spark, sf_dir, "conversations"), "text")
 
 
-_VOCAB = vocabulary("conversations", "text", VOCABULARY)
+def _document_vocabulary(spark, sf_dir):
+    """Learned from the texts and titles that the pairs are made of."""
+    texts = table(spark, sf_dir, "documents").select(F.concat_ws(" ", "lang", "text").alias("text"))
+    return tokens.vocabulary(texts, "text")
+
+
+_VOCAB = vocabulary("conversations", "text")
+_PAIR_VOCAB = vocabulary("documents", "concat_ws(' ', lang, text)")
 
 
 @query(with_(_VOCAB, "SELECT token, CAST(token_id AS INT) AS token_id FROM vocab"))
@@ -77,7 +84,7 @@ def encode_questions(spark, sf_dir):
 
 
 _PAIRS = {
-    **_VOCAB, **PASSAGES,
+    **_PAIR_VOCAB, **PASSAGES,
     "titled": "SELECT passage_id, '제목: ' || title || ' 글: ' AS title, text FROM passages",
     **encoded("ta", "titled", "passage_id", "title", 253),
     **encoded("tb", "titled", "passage_id", "text", 253),
@@ -97,13 +104,13 @@ _PAIRS = {
 def encode_pairs(spark, sf_dir):
     titled = passage_table(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
     rows = tokens.encode_pairs(titled, "passage_id", "title", "text",
-                               _corpus_vocabulary(spark, sf_dir))
+                               _document_vocabulary(spark, sf_dir))
     return rows.select("passage_id", *[_ids(c).alias(c) for c in (
         "input_ids", "attention_mask", "token_type_ids")])
 
 
 _TRAINING = {
-    **_VOCAB, **CHUNKED_QA,
+    **_PAIR_VOCAB, **CHUNKED_QA,
     "asked": "SELECT qa_id, article_id, paragraph_id, question, '제목: ' || title || ' 글: ' AS "
              "title, text FROM chunked_qa WHERE coalesce(question, '') <> ''",
     **encoded("tq", "asked", "qa_id", "question", 254),
@@ -124,7 +131,7 @@ _TRAINING = {
 def training_pairs(spark, sf_dir):
     pairs = qa.has_question(chunking.chunk_qa(qa_rows(spark, sf_dir))).withColumn(
         "title", X.decorate_title(F.col("title")))
-    rows = tokens.encode_training_pairs(pairs, "qa_id", _corpus_vocabulary(spark, sf_dir))
+    rows = tokens.encode_training_pairs(pairs, "qa_id", _document_vocabulary(spark, sf_dir))
     ones = lambda name: F.aggregate(name, F.lit(0), lambda acc, x: acc + x)
     return rows.select(
         "qa_id", "article_id", "paragraph_id", _ids("question_input_ids").alias("question_input_ids"),
@@ -159,6 +166,31 @@ def encode_seq2seq(spark, sf_dir):
         "input_ids", "attention_mask", "labels")])
 
 
+_DECODED = (r"array_to_string(list_filter({0}[1:{1}], lambda t: t NOT IN ('제목:', '글:', '질문:', '</s>')), ' ')")
+
+
+@query(with_(DIALOGUES, "SELECT dialog_id, " + _DECODED.format(sql_tokens("answer || ' </s>'"), 128)
+             + " AS text FROM dialogues"))
+def decode_answers(spark, sf_dir):
+    """Answers encoded as labels and read back."""
+    return tokens.decode(_sequences(spark, sf_dir), "dialog_id", "labels", _corpus_vocabulary(spark, sf_dir))
+
+
+_SIDES = {name: normalized(_DECODED.format(sql_tokens(name), 1024)) for name in ("prediction", "gold")}
+
+
+@query(with_(PREDICTIONS, f"SELECT count(*) AS n_rows, round(avg(CAST({_SIDES['prediction']} = {_SIDES['gold']} "
+                          "AS INT)), 6) AS em FROM predictions"))
+def decoded_em(spark, sf_dir):
+    """Exact match of predictions and answers that went through token ids."""
+    vocab = written_once(_corpus_vocabulary(spark, sf_dir))
+    ids = tokens.encode(predictions(spark, sf_dir), "dialog_id", {"p": ("prediction", 1024), "g": ("gold", 1024)}, vocab)
+    ids = written_once(ids)
+    said = tokens.decode(ids, "dialog_id", "p", vocab).withColumnRenamed("text", "prediction")
+    meant = tokens.decode(ids, "dialog_id", "g", vocab).withColumnRenamed("text", "gold")
+    return answers.corpus_exact_match(said.join(meant, "dialog_id")).withColumn("em", F.round("em", 6))
+
+
 _BATCHED = {**_SEQ, **sql_batches("bt", "prompted", ["dialog_id"], BATCH),
             "rows_": "SELECT dialog_id, batch_id, src.ids AS ids, tgt.ids AS labels FROM bt "
                      "JOIN src USING (dialog_id) JOIN tgt USING (dialog_id)"}
@@ -222,13 +254,15 @@ def inbatch_loss(spark, sf_dir):
         {c: F.round(c, 6) for c in ("loss", "accuracy")})
 
 
-@query(with_({**VECTORS,
-              "neg": "SELECT question_id, ln(sum(exp(0.999 * score / 0.5))) AS lse, count(*) AS n, "
-                     "count(*) FILTER (round(0.999 * score, 9) > gold_score) AS above FROM scored "
-                     "JOIN gold USING (question_id) GROUP BY question_id"},
-             "SELECT question_id, round(ln(exp(gold_score / 0.5) + exp(lse)) - gold_score / 0.5, 6) "
-             "AS loss, n AS n_negatives, above + 1 AS positive_rank FROM neg "
-             "JOIN gold USING (question_id)"))
+_WITH_GOLD = ("SELECT *, max(score) FILTER (question_id = passage_id) OVER (PARTITION BY question_id) "
+              "AS gold_score FROM scored")
+
+
+@query(with_({**VECTORS, "w": _WITH_GOLD},
+             "SELECT question_id, round(ln(exp(any_value(gold_score) / 0.5) + sum(exp(0.999 * score / 0.5))) "
+             "- any_value(gold_score) / 0.5, 6) AS loss, count(*) AS n_negatives, "
+             "count(*) FILTER (round(0.999 * score, 9) > gold_score) + 1 AS positive_rank "
+             "FROM w GROUP BY question_id"))
 def corpus_contrastive_loss(spark, sf_dir):
     return contrastive.corpus_loss(vector_pairs(spark, sf_dir), vectors(spark, sf_dir),
                                    temperature=0.5).withColumn("loss", F.round("loss", 6))
@@ -247,14 +281,20 @@ def queue_negatives(spark, sf_dir):
     return contrastive.queue_negatives(keys, 64, BATCH)
 
 
-@query(with_({**VECTORS,
-              "neg": "SELECT question_id AS seq, sum(exp(score / 0.5)) AS mass, count(*) AS n, "
-                     "count(*) FILTER (score > gold_score) AS above FROM scored JOIN gold "
-                     f"USING (question_id) WHERE passage_id BETWEEN question_id // {BATCH} * {BATCH}"
-                     f" - 64 AND question_id // {BATCH} * {BATCH} - 1 GROUP BY question_id"},
-             "SELECT question_id AS seq, round(ln(exp(gold_score / 0.5) + coalesce(mass, 0.0)) - "
-             "gold_score / 0.5, 6) AS loss, coalesce(above, 0) + 1 AS positive_rank, "
-             "coalesce(n, 0) AS n_negatives FROM gold LEFT JOIN neg ON neg.seq = question_id"))
+_QUEUED = {
+    **{name: text for name, text in VECTORS.items() if name in ("vec", "vlong", "qlong", "qv")},
+    "near": "SELECT question_id AS seq, passage_id, round(list_dot_product(qv.v, vec.v), 9) AS score FROM qv "
+            f"JOIN vec ON passage_id BETWEEN question_id // {BATCH} * {BATCH} - 64 AND question_id",
+    "queued": "SELECT *, max(score) FILTER (seq = passage_id) OVER (PARTITION BY seq) AS gold_score, "
+              f"passage_id < seq // {BATCH} * {BATCH} AS negative FROM near",
+}
+
+
+@query(with_(_QUEUED,
+             "SELECT seq, round(ln(exp(any_value(gold_score) / 0.5) + coalesce(sum(exp(score / 0.5)) FILTER "
+             "(negative), 0.0)) - any_value(gold_score) / 0.5, 6) AS loss, count(*) FILTER (negative AND "
+             "score > gold_score) + 1 AS positive_rank, count(*) FILTER (negative) AS n_negatives "
+             "FROM queued GROUP BY seq"))
 def queue_loss(spark, sf_dir):
     return contrastive.queue_loss(_sequence(spark, sf_dir), 64, BATCH, 0.5).withColumn(
         "loss", F.round("loss", 6))
@@ -277,7 +317,34 @@ def hard_batches(spark, sf_dir):
 
 @query()
 def epoch_batches(spark, sf_dir):
-    return batches.epoch_batches(_pair_rows(spark, sf_dir), BATCH, 7)
+    """An odd and an even epoch: easy batches, then hard ones."""
+    rows = _pair_rows(spark, sf_dir)
+    return batches.epoch_batches(rows, BATCH, 7).withColumn("seed", F.lit(7)).unionByName(
+        batches.epoch_batches(rows, BATCH, 8).withColumn("seed", F.lit(8)))
+
+
+_NEGATIVE_RANKS = {
+    **_QUEUED,
+    "corpus": "SELECT qv.question_id AS seq, passage_id, round(list_dot_product(qv.v, vec.v), 9) AS score "
+              "FROM qv CROSS JOIN vec",
+    "ranked": "SELECT 'corpus' AS negatives, seq, count(*) FILTER (round(0.999 * score, 9) > gold_score) + 1 AS r "
+              "FROM (SELECT *, max(score) FILTER (seq = passage_id) OVER (PARTITION BY seq) AS gold_score "
+              "FROM corpus) GROUP BY seq UNION ALL SELECT 'queue', seq, count(*) FILTER (negative AND "
+              "score > gold_score) + 1 FROM queued GROUP BY seq",
+}
+
+
+@query(with_(_NEGATIVE_RANKS, "SELECT negatives, k, round(100 * avg(CAST(r <= k AS INT)), 6) AS precision "
+                              "FROM ranked, (VALUES (1), (5), (10)) t(k) GROUP BY ALL"))
+def negatives_accuracy(spark, sf_dir):
+    """Accuracy@k of the positive against the scaled corpus and against the queue."""
+    corpus = contrastive.corpus_loss(vector_pairs(spark, sf_dir), vectors(spark, sf_dir), temperature=0.5)
+    queued = contrastive.queue_loss(_sequence(spark, sf_dir), 64, BATCH, 0.5)
+    parts = [
+        contrastive.precision_at(losses.withColumnRenamed("positive_rank", "gold_rank"), (1, 5, 10)).select(
+            F.lit(name).alias("negatives"), "k", F.round("precision", 6).alias("precision"))
+        for name, losses in (("corpus", corpus), ("queue", queued))]
+    return parts[0].unionByName(parts[1])
 
 
 @query(with_({**PASSAGES, "n": f"SELECT count(*) // {BATCH} AS b FROM passages"},
