@@ -36,7 +36,8 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
         questions.select("question_id", F.explode(words(F.col("text"))).alias("term"))
         .groupBy("question_id", "term").agg(F.count("*").alias("qtf"))
     )
-    split = computed_once(passages.select("passage_id", "text"), "words", words(F.col("text")))
+    split = computed_once(passages.select("passage_id", "text"), "words",
+                          words(F.coalesce("text", F.lit(""))))
     blocks = 1 if fits(asked, broadcast_terms) else -(-asked.count() // broadcast_terms)
     # The empty term stands for the whole passage: its document frequency is the
     # number of passages and its length sum the corpus length, all from one scan.
