@@ -32,6 +32,7 @@ TITLE_TAG, TEXT_TAG, QUESTION_TAG, END_TAG = "제목: ", " 글: ", "질문: ", "
 
 def clean_newlines(text: Column) -> Column:
     """Written and real line breaks become one space, doubled ones first."""
+    # The breaks, in this order.
     for mark in ("\\n\\n", "\n\n", "\\n", "\n"):
         text = F.replace(text, F.lit(mark), F.lit(" "))
     return text

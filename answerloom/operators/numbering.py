@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import shuffle_key
 from answerloom.operators.stored import written_once
 
-BUCKET_DIGITS = 3  # hex digits, 4096 buckets
+BUCKET_ROWS = 65_536
+
+
+def bucket_digits(n_rows: int) -> int:
+    """Hex digits that cut ``n_rows`` hashes into buckets of about BUCKET_ROWS rows; at most 6."""
+    return min(6, max(1, math.ceil(math.log(max(n_rows / BUCKET_ROWS, 1), 16))))
 
 
-def numbered(rows: DataFrame, ids: list[str], seed: int = 0,
-             digits: int = BUCKET_DIGITS) -> DataFrame:
+def numbered(rows: DataFrame, ids: list[str], seed: int = 0, digits: int | None = None) -> DataFrame:
     """Add ``position`` (0-based, seeded shuffle order) and ``total``.
 
     Order is the hash of the (unique) ids.  Hashes are uniform, so their leading
     digits cut the order into equal buckets whatever the data looks like: rows
     are counted per bucket, the running sum over the ``16**digits`` counts is
-    broadcast, and only rows inside one bucket are sorted.
+    broadcast, and only rows inside one bucket are sorted.  The digits follow the
+    number of rows.
     """
+    if digits is None:
+        digits = bucket_digits(rows.count())
     hashed = rows.withColumn("_order", shuffle_key(seed, *[F.col(c) for c in ids]))
     bucket = F.substring("_order", 1, digits)
     # At most 16**digits rows: the window over them may run in one task.

@@ -44,6 +44,11 @@ def repair_article_ids(qa: DataFrame, articles: DataFrame, broadcast_rows: int =
                   broadcast_rows, hot_rows).drop("_key")
 
 
+def missed(repaired: DataFrame) -> DataFrame:
+    """The miss report: rows for which no article was found."""
+    return repaired.where(F.col("article_id").isNull())
+
+
 def assign_passage_ids(pairs: DataFrame, passages: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give each QA row the smallest passage with its (title, text); NULL on a miss."""

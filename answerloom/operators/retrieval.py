@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import context_prompt
+from answerloom.functions.vectors import inner_product
+from answerloom.operators.scoring import SCORE_DIGITS, rank_top
 from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, skew_join
 from answerloom.operators.stored import written_once
 
@@ -27,6 +29,21 @@ def attach_passages(ranked: DataFrame, passages: DataFrame,
     return joined.select("passage_id", "title", "text", *[c for c in ranked.columns if c != "passage_id"])
 
 
+def rescore(found: DataFrame, questions: DataFrame, passages: DataFrame, k: int,
+            **sizes: int) -> DataFrame:
+    """Exact scores of returned (question_id, passage_id) pairs, ranked anew.
+
+    ``questions`` and ``passages`` carry a ``vector``.  Only ids and vectors move.
+    """
+    pairs = found.select("question_id", "passage_id").distinct()
+    asked = questions.select("question_id", F.col("vector").alias("_q"))
+    stored = passages.select("passage_id", F.col("vector").alias("_p"))
+    with_p = skew_join(pairs, stored, ["passage_id"], "inner", F.col("question_id"), **sizes)
+    both = with_p.join(asked, "question_id")
+    return rank_top(both.select("question_id", "passage_id", F.round(
+        inner_product(F.col("_q"), F.col("_p")), SCORE_DIGITS).alias("score")), k)
+
+
 def context_prompts(retrieved: DataFrame, questions: DataFrame) -> DataFrame:
     """One generator prompt per retrieved passage."""
     asked = questions.select("question_id", F.col("text").alias("question"))

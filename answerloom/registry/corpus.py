@@ -51,6 +51,7 @@ def clean_newlines(spark, sf_dir):
         "doc_id", X.clean_newlines(F.col("text")).alias("text"))
 
 
+# The white lists of functions/text.py, spelt for SQL strings.
 _KEEP = "[^ \\r\\nㄱ-ㅎㅏ-ㅣ가-힣a-zA-Z0-9~₩!@#$%^&*()_+|{}:\"<>?`\\-=\\\\\\[\\];'',./]"
 _WORDS = "[^0-9a-zA-Zㄱ-ㅎㅏ-ㅣ가-힣]"
 _WS = r"[\x09-\x0D\x1C-\x1F\x{85}\p{Z}]+"

@@ -6,11 +6,13 @@ time would turn exact halves into differences between engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from answerloom.functions import vectors as V
 from answerloom.operators import ann, contrastive, embedding, metrics, retrieval, scoring, sparse
-from answerloom.operators.stored import written_once
+from answerloom.operators.stored import shared_folder, written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
 from answerloom.registry.base import (
@@ -172,6 +174,66 @@ def hybrid_rank_fusion(spark, sf_dir):
     return sparse.fuse_ranks(*_both_lists(spark, sf_dir), 20)
 
 
+# Cells fixed by rule: every 50th vector is the centre of one.
+_CELLS = {
+    **VECTORS,
+    "centres": "SELECT v AS c, row_number() OVER (ORDER BY passage_id) - 1 AS cell FROM vec WHERE passage_id % 50 = 0",
+    "placed": "SELECT passage_id, v, CAST(arg_min(cell, (round(list_dot_product(c, c) - 2 * list_dot_product(v, c), "
+              "9), cell)) AS INT) AS cell FROM vec CROSS JOIN centres GROUP BY passage_id, v",
+    "probes": "SELECT question_id, cell FROM qv CROSS JOIN centres QUALIFY row_number() OVER (PARTITION BY question_id "
+              "ORDER BY round(list_dot_product(c, c) - 2 * list_dot_product(v, c), 9), cell) <= 2",
+    "probed": "SELECT s.* FROM scored s JOIN placed p USING (passage_id) JOIN probes r ON r.question_id = "
+              "s.question_id AND r.cell = p.cell",
+}
+_PROBED_SQL = ("SELECT question_id, CAST(row_number() OVER w AS INT) AS rank, passage_id, score FROM probed WINDOW w "
+               "AS (PARTITION BY question_id ORDER BY score DESC, passage_id) QUALIFY row_number() OVER w <= 20")
+
+
+def _fixed_cells(spark, sf_dir):
+    """Centres (a bounded sample by rule), and the index in a table stored by cell."""
+    stored = vectors(spark, sf_dir)
+    chosen = stored.where(F.col("passage_id") % 50 == 0).orderBy("passage_id").limit(ann.MOST_CELLS).toArrow()
+    centres = scoring._matrix(chosen["vector"])
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    ann.write_index(ann.build_index(stored, centres), path)
+    return centres, ann.read_index(spark, path)
+
+
+@query(with_(_CELLS, "SELECT passage_id, cell FROM placed"))
+def ann_fixed_cells(spark, sf_dir):
+    """Cell of every passage, read back from the stored index."""
+    return _fixed_cells(spark, sf_dir)[1].select("passage_id", "cell")
+
+
+@query(with_(_CELLS, _PROBED_SQL))
+def ann_fixed_search(spark, sf_dir):
+    """The two nearest cells of a stored index, probed."""
+    centres, index = _fixed_cells(spark, sf_dir)
+    return ann.search(vector_questions(spark, sf_dir), index, centres, 20, 2)
+
+
+@query(with_(_CELLS, _PROBED_SQL))
+def rescored_passages(spark, sf_dir):
+    """Returned ids, scored anew from the vectors."""
+    found = ann_fixed_search(spark, sf_dir).select("question_id", "passage_id")
+    return retrieval.rescore(found, vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
+
+
+@query(with_({**SPARSE, "stored": "SELECT * FROM sparse_ranked WHERE rank <= 50",
+              **{k: v for k, v in DENSE.items() if k not in SPARSE},
+              "fused": "SELECT question_id, passage_id, round(coalesce(1 / (60 + d.rank), 0.0) + coalesce(1 / (60 + "
+                       "s.rank), 0.0), 9) AS score FROM (SELECT * FROM dense_ranked WHERE rank <= 50) d FULL JOIN "
+                       "stored s USING (question_id, passage_id)"},
+             "SELECT question_id, CAST(row_number() OVER w AS INT) AS rank, passage_id, score FROM fused WINDOW w AS "
+             "(PARTITION BY question_id ORDER BY score DESC, passage_id) QUALIFY row_number() OVER w <= 20"))
+def sparse_table_rerank(spark, sf_dir):
+    """Sparse results come from a stored table of id and score lists, then meet the dense ones."""
+    dense, ranked = _both_lists(spark, sf_dir)
+    lists = ranked.groupBy("question_id").agg(F.array_sort(F.collect_list(F.struct("rank", "passage_id", "score"))).alias("h"))
+    table_ = written_once(lists.select("question_id", F.col("h.passage_id").alias("ids"), F.col("h.score").alias("scores")))
+    return sparse.fuse_ranks(dense, sparse.unpack_sparse(table_), 20)
+
+
 @query()
 def ann_index(spark, sf_dir):
     stored = vectors(spark, sf_dir)
@@ -182,7 +244,7 @@ def _search(spark, sf_dir, n_probe):
     stored, asked = vectors(spark, sf_dir), vector_questions(spark, sf_dir)
     cells = ann.train_cells(stored)
     index = written_once(ann.build_index(stored, cells))
-    return ann.search(asked, index, cells, 20, n_probe)
+    return ann.search(asked, index, cells, 20, n_probe or len(cells))
 
 
 @query()
@@ -193,7 +255,7 @@ def ann_retrieval(spark, sf_dir):
 @query(_TOPK_SQL)
 def ann_all_cells(spark, sf_dir):
     """With every cell probed the index gives the exact answer."""
-    return _search(spark, sf_dir, ann.CELLS)
+    return _search(spark, sf_dir, None)
 
 
 @query()

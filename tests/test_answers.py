@@ -1,26 +1,27 @@
-import collections
 import math
-import re
-import string
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from answerloom.operators import answers, metrics
+from test_text import scanned
 
 PAIR = "id long, prediction string, gold string"
 
 
-def python_f1(prediction, gold):
-    def tokens(text):
-        kept = "".join(c for c in text.lower() if c not in set(string.punctuation))
-        return re.sub(r"\b(a|an|the)\b", " ", kept).split()
-    p, g = tokens(prediction), tokens(gold)
-    same = sum((collections.Counter(p) & collections.Counter(g)).values())
-    if same == 0:
-        return 0.0
-    return 2 * (same / len(p)) * (same / len(g)) / (same / len(p) + same / len(g))
+def merged_f1(prediction, gold):
+    """Both sorted word lists are walked side by side; equal heads are a match."""
+    p, g = (sorted(scanned(text).split(" ")) if scanned(text) else [] for text in (prediction, gold))
+    i = j = same = 0
+    while i < len(p) and j < len(g):
+        if p[i] == g[j]:
+            i, j, same = i + 1, j + 1, same + 1
+        elif p[i] < g[j]:
+            i += 1
+        else:
+            j += 1
+    return 2 * same / (len(p) + len(g)) if same else 0.0
 
 
 def test_f1_fixtures(spark):
@@ -40,7 +41,7 @@ def test_f1_fixtures(spark):
 def test_f1_matches_the_definition(spark, pairs):
     frame = spark.createDataFrame([(i, p, g) for i, (p, g) in enumerate(pairs)], PAIR)
     for row in answers.token_f1(frame.repartition(3), ["id"]).collect():
-        assert row.f1 == pytest.approx(python_f1(*pairs[row.id]))
+        assert row.f1 == pytest.approx(merged_f1(*pairs[row.id]))
 
 
 def test_corpus_scores(spark):

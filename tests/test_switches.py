@@ -2,9 +2,11 @@
 
 import types
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from answerloom.operators import dedup, retrieval, skew, sparse, stored, tokens
+from answerloom.operators import ann, contrastive, dedup, retrieval, scoring, skew, sparse, stored, tokens
 
 
 def shown(frame):
@@ -113,3 +115,29 @@ def test_stored_tables_need_a_shared_folder(spark):
     assert stored.written_once(spark.range(3)).count() == 3
     assert spark.sparkContext.getCheckpointDir() == before
     assert stored.drop_stored(spark) >= 1 and stored.drop_stored(spark) == 0
+
+
+def test_a_probe_reads_its_cell_only(spark, tmp_path):
+    vectors = spark.createDataFrame([(i, [float(i % 8), float(i % 3)]) for i in range(200)],
+                                    "passage_id bigint, vector array<double>")
+    centres = np.array([[float(i), 1.0] for i in range(8)])
+    ann.write_index(ann.build_index(vectors, centres), str(tmp_path / "index"))
+    index = ann.read_index(spark, str(tmp_path / "index"))
+    probes = ann.nearest_cells(spark.createDataFrame([(1, [3.0, 1.0])], "question_id bigint, vector array<double>"),
+                               "question_id", centres, 1)
+    files = ann.probed(index, probes).inputFiles()
+    assert files and all("cell=3" in f for f in files) and len(index.inputFiles()) > len(files)
+
+
+def test_vectors_that_are_missing_or_uneven_are_refused():
+    for column in ([[1.0, 2.0], None], [[1.0], [1.0, 2.0]], [[1.0, None], [1.0, 2.0]], [[1.0] * 4, [1.0] * 2, None]):
+        with pytest.raises(ValueError):
+            scoring._matrix(pa.array(column, pa.list_(pa.float64())))
+
+
+def test_empty_corpus_loses_no_question(spark):
+    pairs = spark.createDataFrame([(1, [1.0], [2.0]), (2, [1.0], [3.0])],
+                                  "pair_id bigint, question_vector array<double>, passage_vector array<double>")
+    nothing = spark.createDataFrame([], "passage_id bigint, vector array<double>")
+    assert {tuple(r) for r in contrastive.gold_ranks(pairs, nothing).collect()} == {(1, 2.0, 1), (2, 3.0, 1)}
+    assert {tuple(r) for r in contrastive.corpus_loss(pairs, nothing).collect()} == {(1, 0.0, 0, 1), (2, 0.0, 0, 1)}
