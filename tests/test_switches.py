@@ -1,5 +1,6 @@
 """Both sides of every size switch give the same rows and the same columns."""
 
+import re
 import types
 
 import numpy as np
@@ -117,7 +118,7 @@ def test_stored_tables_need_a_shared_folder(spark):
     assert stored.drop_stored(spark) >= 1 and stored.drop_stored(spark) == 0
 
 
-def test_a_probe_reads_its_cell_only(spark, tmp_path):
+def test_a_probe_reads_its_cell_only(spark, tmp_path, capsys):
     vectors = spark.createDataFrame([(i, [float(i % 8), float(i % 3)]) for i in range(200)],
                                     "passage_id bigint, vector array<double>")
     centres = np.array([[float(i), 1.0] for i in range(8)])
@@ -125,8 +126,12 @@ def test_a_probe_reads_its_cell_only(spark, tmp_path):
     index = ann.read_index(spark, str(tmp_path / "index"))
     probes = ann.nearest_cells(spark.createDataFrame([(1, [3.0, 1.0])], "question_id bigint, vector array<double>"),
                                "question_id", centres, 1)
-    files = ann.probed(index, probes).inputFiles()
-    assert files and all("cell=3" in f for f in files) and len(index.inputFiles()) > len(files)
+    part = ann.probed(index, probes)
+    capsys.readouterr()
+    part.explain("formatted")
+    filters = [line for line in capsys.readouterr().out.splitlines() if "PartitionFilters" in line]
+    assert len(filters) == 1 and re.search(r"cell#\d+ = 3\)|cell#\d+ IN \(3\)", filters[0])
+    assert {r["cell"] for r in part.collect()} == {3} and index.count() > part.count() > 0
 
 
 def test_vectors_that_are_missing_or_uneven_are_refused():
