@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from answerloom.llm.words import WordHashes, mixed, words_of
 
 FEATURES = 1 << 20
-FOLDS, SAMPLE, ROUNDS = 3, 6000, 60
-RARE = 3
+FOLDS, SAMPLE = 3, 6000
+# A feature needs three documents; a model keeps the 400 that set its class apart most.
+RARE, KEPT = 3, 400
+ROUNDS, RATE, PENALTY = 150, 0.03, 0.3
+PREFIXES = (4, 5)
 THRESHOLD = 0.5
 #: Weak labels of the inner categories: a toxic document belongs to those whose words it uses.
 CATEGORIES = {
@@ -32,11 +35,17 @@ _STRIP = b".,;:!?\"'()[]{}*#$%&-"
 
 
 def word_features(data: bytes | None, hashes: WordHashes) -> np.ndarray:
-    """Distinct hash numbers of the document's words, without punctuation at their ends."""
+    """Distinct hash numbers of the document's words and of the beginnings of longer ones.
+
+    Punctuation at a word's ends is left out.  Beginnings tell inflected and compound
+    forms that are rare one by one.
+    """
     words = {w.strip(_STRIP) for w in words_of(data)}
     words.discard(b"")
     if not words:
         return np.zeros(0, np.int64)
+    for size in PREFIXES:
+        words |= {w[:size] + b"~" for w in words if len(w) > size and w[-1:] != b"~"}
     return np.unique((mixed(hashes.of(list(words))) >> np.uint64(44)).astype(np.int64))
 
 
@@ -49,25 +58,42 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Linear:
-    """Logistic regression on binary features and a few dense ones, by adaptive gradient steps."""
+    """Logistic regression on binary features and a few dense ones.
+
+    Only the KEPT features that differ most between the classes (by the z-score of their
+    counts) get a weight; words of single documents would be learned by heart.
+    """
 
     def __init__(self, size: int, dense: int):
         self.weights, self.dense, self.bias = np.zeros(size), np.zeros(dense), 0.0
 
     def fit(self, rows: np.ndarray, columns: np.ndarray, extra: np.ndarray, y: np.ndarray) -> Linear:
-        share = max(y.mean(), 1e-4) if len(y) else 0.5
-        self.bias = float(np.log(share / (1 - min(share, 0.9999))))
-        seen, seen_dense, seen_bias = np.full(len(self.weights), 1e-8), np.full(len(self.dense), 1e-8), 1e-8
-        for _ in range(ROUNDS if len(y) else 0):
-            error = self.probability(rows, columns, extra, len(y)) - y
-            step = np.bincount(columns, error[rows], len(self.weights)) + 0.05 * self.weights
-            step_dense, step_bias = extra.T @ error + 0.05 * self.dense, error.sum()
-            seen += step * step
-            seen_dense += step_dense * step_dense
-            seen_bias += step_bias * step_bias
-            self.weights -= 0.3 * step / np.sqrt(seen)
-            self.dense -= 0.3 * step_dense / np.sqrt(seen_dense)
-            self.bias -= 0.1 * step_bias / np.sqrt(seen_bias)
+        n = len(y)
+        if n == 0:
+            return self
+        share = min(max(y.mean(), 0.5 / n), 1 - 0.5 / n)
+        spread = share * (1 - share)
+        held = np.bincount(columns, minlength=len(self.weights)).astype(float)
+        positive = np.bincount(columns, y[rows], len(self.weights))
+        z = (positive - held * share) / np.sqrt(np.maximum(held * (1 - held / n), 0.5) * spread)
+        used = np.argsort(-np.where(held >= RARE, np.abs(z), 0), kind="stable")[:KEPT]
+        place = np.full(len(self.weights), -1)
+        place[used] = np.arange(len(used))
+        column = place[columns]
+        row, column = rows[column >= 0], column[column >= 0]
+        weights, dense, bias = np.zeros(len(used)), self.dense.copy(), float(np.log(share / (1 - share)))
+        scale, scale_dense = held[used] * spread + PENALTY, (extra * extra).sum(axis=0) * spread + PENALTY
+        push, push_dense, push_bias = np.zeros(len(used)), np.zeros(len(dense)), 0.0
+        for _ in range(ROUNDS):
+            logit = np.bincount(row, weights[column], n) + extra @ dense + bias
+            error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y
+            push = 0.9 * push + (np.bincount(column, error[row], len(used)) + PENALTY * weights) / scale
+            push_dense = 0.9 * push_dense + (extra.T @ error + PENALTY * dense) / scale_dense
+            push_bias = 0.9 * push_bias + error.sum() / (n * spread)
+            weights -= RATE * push
+            dense -= RATE * push_dense
+            bias -= RATE * push_bias
+        self.weights[used], self.dense, self.bias = weights, dense, bias
         return self
 
     def probability(self, rows: np.ndarray, columns: np.ndarray, extra: np.ndarray, n: int) -> np.ndarray:
@@ -99,7 +125,7 @@ def fit_chain(documents: list[np.ndarray], fold: np.ndarray, labels: np.ndarray,
     """A chain over ``labels`` (documents x categories); words of fewer than three documents are left out."""
     counts = np.bincount(np.concatenate([np.zeros(0, np.int64), *documents]).astype(np.int64), minlength=FEATURES)
     used = np.flatnonzero(counts >= RARE)
-    place = np.full(FEATURES, -1, np.int64)
+    place = np.full(FEATURES, -1, np.int32)
     place[used] = np.arange(len(used))
     columns = [place[d] for d in documents]
     columns = [c[c >= 0] for c in columns]
