@@ -23,15 +23,16 @@ from pyspark.sql import functions as F
 
 from answerloom.llm.components import components
 from answerloom.llm.words import WordHashes, mixed, shingle_hashes, words_of
+from answerloom.operators.skew import lookup
 from answerloom.operators.stored import written_once
 
 PERMUTATIONS, BANDS, ROWS = 60, 24, 5
 WIDTH, SHARE = 5, 85
-# Before texts meet, sketches of one byte an entry do: 120 entries of the signature, then 1,024
+# Before texts meet, sketches of one byte an entry do: 120 entries of the signature, then 512
 # of further permutations.  A pair of similarity 0.85 agrees in less than these shares of them with
 # probability 1e-6 each.
-WIDE = 512
-AGREE, WIDE_AGREE = 0.68, 0.79
+WIDE = 256
+AGREE, WIDE_AGREE = 0.68, 0.77
 BLOCK = 1000
 CHUNK = 1 << 19
 
@@ -52,13 +53,13 @@ def min_max(flat: np.ndarray, starts: np.ndarray, first: int = 0, count: int = P
 
 
 def band_hashes(signatures: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band, the band's number included."""
+    """One 64-bit key per band; its low five bits are the band's number."""
     with np.errstate(over="ignore"):
         bands = signatures.reshape(len(signatures), BANDS, ROWS)
         key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2])
         for r in range(ROWS):
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, r])
-    return key
+    return key & ~np.uint64(31) | np.arange(BANDS, dtype=np.uint64)
 
 
 _SIGNED = "doc_id bigint, text_key binary, n_shingles bigint, bands array<bigint>, sketch binary"
@@ -156,7 +157,8 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within each run of (bucket, i, j) whose sketches agree.
 
     A run holds at most two blocks of a bucket; only survivors leave the task, and of the
-    buckets that two sets share only the first one reports the pair.
+    buckets that two sets share only the first one reports the pair (of buckets with the same
+    members only the one of the first band is here).
     """
     held: list = []
     run = None
@@ -231,29 +233,38 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     star = written_once(
         crowded.where((F.col("rep") != F.col("hub")) & _similar_length("n", "hub_n"))
         .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    # Texts are read again for members of crowded buckets only; the ids that say which are looked
+    # up in place while a million of them suffices.
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
                         F.col(text_column).cast("string").alias("text"))
+    crowd = crowded.select(F.col("rep").alias("doc_id")).distinct()
+    met = written_once(lookup(texts, crowd, ["doc_id"], "left_semi", F.col("doc_id")))
 
     def links_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        met = written_once(texts.join(ends, "doc_id", "left_semi"))
-        return written_once(confirmed(pairs, met).distinct())
+        part = lookup(met, ends, ["doc_id"], "left_semi", F.col("doc_id"))
+        return written_once(confirmed(pairs, part).distinct())
 
     links = links_of(star)
     labels = components(links)
     placed = written_once(
         crowded.join(labels, F.col("rep") == F.col("node"), "left")
         .select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp")))
+    # Similar sets meet in many buckets; of buckets with the same members one is enough.
     open_buckets = (
         placed.groupBy("bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"),
+             F.min("rep").alias("first"), F.max("rep").alias("last"),
+             F.bit_xor(F.xxhash64("rep")).alias("mark"))
         .where(F.col("low") != F.col("high"))
+        .groupBy("members", "first", "last", "mark")
+        .agg(F.min_by("bucket", F.col("bucket").bitwiseAND(31)).alias("bucket"))
         .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     )
     unsettled = written_once(placed.join(open_buckets, "bucket"))
-    wide = written_once(
-        texts.join(unsettled.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(_widen, "wide_id bigint, wide binary"))
+    unknown = unsettled.select(F.col("rep").alias("doc_id")).distinct()
+    wide = written_once(lookup(met, unknown, ["doc_id"], "left_semi", F.col("doc_id"))
+                        .mapInArrow(_widen, "wide_id bigint, wide binary"))
     meeting = (
         unsettled.join(reps.select("rep", "sketch", "bands"), "rep")
         .join(wide, F.col("rep") == F.col("wide_id"))
