@@ -21,6 +21,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from answerloom.llm.sampling import hashed_sample
 from answerloom.operators.stored import written_once
 
 #: Usual wording of licence notices.
@@ -168,7 +169,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, text_column: str) -> tup
     in a hundred of them say nothing about licences and leave the vocabulary.
     """
     texts = docs.select(F.col(text_column).cast("string").alias("text")).where(F.col("text").isNotNull())
-    chosen = texts.orderBy(F.md5("text"), "text").limit(SAMPLE_DOCUMENTS)
+    chosen = hashed_sample(texts, F.col("text"), SAMPLE_DOCUMENTS)
     lines = chosen.select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
     plain = [r["pairs"] for r in lines.orderBy(F.md5("line")).limit(CORPUS_SAMPLE)
              .select(word_pairs(F.col("line")).alias("pairs")).collect()]

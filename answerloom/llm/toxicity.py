@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.llm.sampling import hashed_sample
 from answerloom.llm.words import WordHashes, mixed, words_of
 
 FEATURES = 1 << 20
@@ -152,13 +153,11 @@ def trained(docs: DataFrame, labels: DataFrame, categories: dict[str, tuple[str,
 
     The label itself is the last category.  Without labels of both classes there is no chain.
     """
-    chosen = (
+    chosen = hashed_sample(
         labels.select(F.col(id_column).cast("bigint").alias("label_id"),
                       F.col(label_column).cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & F.col("label_id").isNotNull())
-        .groupBy("label_id").agg(F.max("label").alias("label"))
-        .orderBy(F.md5(F.col("label_id").cast("string"))).limit(sample)
-    )
+        .groupBy("label_id").agg(F.max("label").alias("label")), F.col("label_id"), sample)
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     uses = [text.rlike(r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(words) + r")(?![\p{L}\p{N}])").cast("int").alias(name)
             for name, words in categories.items()]
