@@ -18,6 +18,7 @@ from answerloom.operators.scoring import (
 # Corpus vectors enter the negative queue scaled by this factor (fixed value), so
 # a positive with a positive score beats its own copy among the negatives.
 NEGATIVE_SCALE = 0.999
+QUEUE_QUESTIONS, QUEUE_KEYS = 8192, 16_384
 
 
 def _scored_gold(pairs: DataFrame) -> DataFrame:
@@ -59,6 +60,11 @@ def corpus_loss(pairs: DataFrame, passages: DataFrame, temperature: float = 1.0,
     gold = _scored_gold(pairs)
     negatives = merge_mass(
         score_blocks(gold, passages, NegativeMass(negative_scale, temperature), **layout))
+    return _losses(gold, negatives, temperature)
+
+
+def _losses(gold: DataFrame, negatives: DataFrame, temperature: float) -> DataFrame:
+    """Loss, negatives and the positive's rank; a question without negatives keeps its row."""
     positive = F.col("gold_score") / temperature
     mass = F.coalesce("log_sum", F.lit(float("-inf")))
     high = F.greatest(positive, mass)
@@ -121,44 +127,60 @@ def queue_negatives(keys: DataFrame, queue_size: int, batch_size: int) -> DataFr
     )
 
 
-def queue_loss(pairs: DataFrame, queue_size: int, batch_size: int,
-               temperature: float = 1.0) -> DataFrame:
+def queue_ranges(keys: DataFrame, queue_size: int, batch_size: int) -> DataFrame:
+    """(batch_id, first_seq, last_seq): the same queues as ranges, one row per batch."""
+    depth = _check_queue(queue_size, batch_size)
+    own = F.floor(F.col("seq") / batch_size).cast("bigint")
+    return (
+        keys.select(own.alias("batch_id")).distinct().where(F.col("batch_id") > 0)
+        .select("batch_id",
+                F.greatest(F.lit(0), (F.col("batch_id") - depth) * batch_size).cast("bigint").alias("first_seq"),
+                (F.col("batch_id") * batch_size - 1).alias("last_seq"))
+    )
+
+
+def queue_loss(pairs: DataFrame, queue_size: int, batch_size: int, temperature: float = 1.0,
+               question_block: int = QUEUE_QUESTIONS, key_block: int = QUEUE_KEYS) -> DataFrame:
     """Per question: loss and rank of the positive against the queued keys.
 
-    Consecutive batches share most of their queue.  ``depth`` batches form a
-    stripe; a stripe needs the keys of its own and the previous stripe only, so
-    every key is sent twice instead of once per batch, and one task holds at most
-    two queues.
+    Questions and keys are cut into blocks of consecutive numbers; a block of questions
+    meets the blocks of keys that one of its batches still sees.  A task holds one block of
+    either kind, whatever the queue's size, and gives one partial sum per question.
     """
     depth = _check_queue(queue_size, batch_size)
-    stripe = F.floor(F.col("seq") / queue_size).cast("bigint")
-    last = pairs.select(F.floor(F.max("seq") / queue_size)).scalar()
-    questions = pairs.select(stripe.alias("stripe"), "seq",
-                             F.col("question_vector"), F.col("passage_vector"))
-    keys = pairs.select(F.col("seq").alias("key_seq"), F.col("passage_vector").alias("key_vector"),
-                        F.explode(F.sequence(stripe, F.least(stripe + 1, last))).alias("stripe"))
-    schema = "seq bigint, loss double, positive_rank bigint, n_negatives bigint"
-
+    last_key = F.floor(F.lit(pairs.select(F.max("seq")).scalar()) / key_block)
+    block = F.floor(F.col("seq") / question_block).cast("bigint")
+    first = F.greatest(F.lit(0), (F.floor(block * question_block / batch_size) - depth) * batch_size)
+    low = F.floor(first / key_block).cast("bigint")
+    high = F.least(F.floor(((block + 1) * question_block - 1) / key_block), last_key).cast("bigint")
+    gold = _scored_gold(pairs.withColumnRenamed("seq", "pair_id"))
+    asked = gold.select("question_id", "vector", "gold_score", F.col("question_id").alias("seq")).withColumn(
+        "_q", block).withColumn("_k", F.explode(F.sequence(low, high)))
+    # A key is wanted by the question blocks that hold its own batch or one of the ``depth`` after it.
+    own = F.floor(F.col("seq") / key_block).cast("bigint")
+    top = F.least(F.floor(((own + 1) * key_block - 1 + queue_size + batch_size) / question_block),
+                  F.floor(F.lit(pairs.select(F.max("seq")).scalar()) / question_block)).cast("bigint")
+    stored = pairs.select("seq", F.col("passage_vector").alias("key_vector"), own.alias("_k")).withColumn(
+        "_q", F.explode(F.sequence(F.floor(own * key_block / question_block).cast("bigint"), top)))
     fold = NegativeMass(temperature=temperature)
 
-    def run(asked: pa.Table, stored: pa.Table) -> pa.Table:
-        asked, stored = asked.sort_by("seq"), stored.sort_by("key_seq")
-        seq, key_seq = asked["seq"].to_numpy(), stored["key_seq"].to_numpy()
-        q, own, keys_ = (_matrix(asked["question_vector"]), _matrix(asked["passage_vector"]),
-                         _matrix(stored["key_vector"]))
-        gold = np.round((q * own).sum(axis=1), SCORE_DIGITS)
+    def run(questions: pa.Table, keys: pa.Table) -> pa.Table:
+        names = ["question_id", "peak", "mass", "n", "above"]
+        if questions.num_rows == 0 or keys.num_rows == 0:
+            return pa.table({n: pa.array([], t) for n, t in zip(names, [pa.int64(), pa.float64(), pa.float64(),
+                                                                       pa.int64(), pa.int64()])})
+        questions, keys = questions.sort_by("seq"), keys.sort_by("seq")
+        seq, key_seq = questions["seq"].to_numpy(), keys["seq"].to_numpy()
+        q, stored_ = _matrix(questions["vector"]), _matrix(keys["key_vector"])
+        gold_ = questions["gold_score"].to_numpy()
         parts = []
         for batch in np.unique(seq // batch_size):
             rows = slice(*np.searchsorted(seq, [batch * batch_size, (batch + 1) * batch_size]))
-            seen = slice(*np.searchsorted(key_seq, [(batch - depth) * batch_size,
-                                                    batch * batch_size]))
-            peak, mass, n, above = fold.fold_arrays(
-                q[rows], gold[rows], [(key_seq[seen], keys_[seen])])
-            positive = gold[rows] / temperature
-            high = np.maximum(peak, positive)
-            loss = high + np.log(mass * np.exp(peak - high) + np.exp(positive - high)) - positive
-            parts.append([seq[rows], loss, above + 1, n])
-        names = ["seq", "loss", "positive_rank", "n_negatives"]
+            seen = slice(*np.searchsorted(key_seq, [(batch - depth) * batch_size, batch * batch_size]))
+            blocks = [(key_seq[seen], stored_[seen])] if seen.stop > seen.start else []
+            parts.append([questions["question_id"].to_numpy()[rows],
+                          *fold.fold_arrays(q[rows], gold_[rows], blocks)])
         return pa.table({name: np.concatenate(c) for name, c in zip(names, zip(*parts))})
 
-    return questions.groupBy("stripe").cogroup(keys.groupBy("stripe")).applyInArrow(run, schema)
+    partials = asked.groupBy("_q", "_k").cogroup(stored.groupBy("_q", "_k")).applyInArrow(run, NegativeMass.schema)
+    return _losses(gold, merge_mass(partials), temperature).withColumnRenamed("question_id", "seq")

@@ -290,6 +290,14 @@ _QUEUED = {
 }
 
 
+@query(with_({"k": "SELECT DISTINCT vec_id // " + str(BATCH) + " AS batch_id FROM embeddings"},
+             f"SELECT batch_id, greatest(0, batch_id * {BATCH} - 64) AS first_seq, batch_id * {BATCH} - 1 AS last_seq "
+             "FROM k WHERE batch_id > 0"))
+def queue_ranges(spark, sf_dir):
+    keys = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"))
+    return contrastive.queue_ranges(keys, 64, BATCH)
+
+
 @query(with_(_QUEUED,
              "SELECT seq, round(ln(exp(any_value(gold_score) / 0.5) + coalesce(sum(exp(score / 0.5)) FILTER "
              "(negative), 0.0)) - any_value(gold_score) / 0.5, 6) AS loss, count(*) FILTER (negative AND "

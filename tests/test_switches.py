@@ -146,3 +146,15 @@ def test_empty_corpus_loses_no_question(spark):
     nothing = spark.createDataFrame([], "passage_id bigint, vector array<double>")
     assert {tuple(r) for r in contrastive.gold_ranks(pairs, nothing).collect()} == {(1, 2.0, 1), (2, 3.0, 1)}
     assert {tuple(r) for r in contrastive.corpus_loss(pairs, nothing).collect()} == {(1, 0.0, 0, 1), (2, 0.0, 0, 1)}
+
+
+def test_queue_blocks_give_the_same_losses(spark):
+    draw = np.random.Generator(np.random.PCG64(9))
+    rows = [(i, [float(x) for x in draw.normal(size=3)], [float(x) for x in draw.normal(size=3)]) for i in range(41)]
+    pairs = spark.createDataFrame(rows, "seq bigint, question_vector array<double>, passage_vector array<double>")
+    found = []
+    for blocks in ({}, {"question_block": 3, "key_block": 5}, {"question_block": 16, "key_block": 2}):
+        got = contrastive.queue_loss(pairs, 12, 4, 0.5, **blocks).collect()
+        found.append(sorted((r["seq"], round(r["loss"], 9), r["positive_rank"], r["n_negatives"]) for r in got))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 41
+    assert [r[3] for r in found[0]] == [min(12, i // 4 * 4) for i in range(41)]
