@@ -38,7 +38,7 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
     )
     split = computed_once(passages.select("passage_id", "text"), "words",
                           words(F.coalesce("text", F.lit(""))))
-    blocks = 1 if fits(asked, broadcast_terms) else -(-asked.count() // broadcast_terms)
+    blocks = 1 if fits(asked, broadcast_terms) else -(-asked.count() // max(1, broadcast_terms))
     # The empty term stands for the whole passage: its document frequency is the
     # number of passages and its length sum the corpus length, all from one scan.
     terms = split.select(F.explode(F.concat(F.array_distinct("words"), F.array(F.lit(""))))
