@@ -4,7 +4,7 @@ Paragraphs (lines) are cut into word pairs.  A sparse multinomial logistic regre
 licence notices and on paragraphs of the corpus, gives every paragraph the
 probability of each family and of "unknown"; a temperature fitted on rows kept aside calibrates
 it.  A prediction counts only if the paragraph also holds at least half of the word pairs
-of one notice of that family.
+of one notice of that family, and two of them: a notice of two pairs must be there as a whole.
 
 Scoring is a join with the table of weighted word pairs, whose size the notices bound, and a sum
 by paragraph; paragraphs without any weighted pair are unknown and never move.
@@ -96,6 +96,7 @@ NOTICES = {
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "proprietary": [
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without prior written permission.",
         "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
     ],
@@ -114,7 +115,7 @@ PLAIN = [
 UNKNOWN = "unknown"
 CORPUS_SAMPLE, SAMPLE_DOCUMENTS = 2000, 400
 COMMON = 0.01
-SURE, ALIKE = 0.5, 0.5
+SURE, ALIKE, LEAST_PAIRS = 0.5, 0.5, 2
 
 
 def words_of(text: str) -> list[str]:
@@ -174,7 +175,7 @@ def training_rows(spark: SparkSession, docs: DataFrame, text_column: str) -> tup
     plain = [r["pairs"] for r in lines.orderBy(F.md5("line")).limit(CORPUS_SAMPLE)
              .select(word_pairs(F.col("line")).alias("pairs")).collect()]
     held = [set(pairs_of(n)) for notices in NOTICES.values() for n in notices]
-    plain = [p for p in plain if not any(len(h & set(p)) >= ALIKE * len(h) for h in held)]
+    plain = [p for p in plain if not any(len(h & set(p)) >= max(LEAST_PAIRS, ALIKE * len(h)) for h in held)]
     plain = [*plain, *(pairs_of(s) for s in PLAIN)]
     vocabulary = {p for h in held for p in h} | {p for s in PLAIN for p in pairs_of(s)}
     often: dict[str, int] = {}
@@ -187,7 +188,8 @@ def training_rows(spark: SparkSession, docs: DataFrame, text_column: str) -> tup
             for i, p in enumerate(plain)]
     for no, family in enumerate(classes[1:], 1):
         for notice in NOTICES[family]:
-            rows += [(no, 20.0, pairs_of(v), k == 4) for k, v in enumerate(_variants(notice))]
+            rows += [(no, 20.0, pairs_of(v), k == 4) for k, v in enumerate(_variants(notice))
+                     if len(pairs_of(v)) >= LEAST_PAIRS]
     return rows, classes, vocabulary
 
 
@@ -256,7 +258,8 @@ def licence_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column:
     )
     alike = (
         hits.select("doc_id", "paragraph", F.inline("notices"))
-        .groupBy("doc_id", "paragraph", "notice").agg((F.count("*") / F.max("size")).alias("share"))
+        .groupBy("doc_id", "paragraph", "notice").agg((F.count("*") / F.max("size")).alias("share"), F.count("*").alias("n"))
+        .where(F.col("n") >= LEAST_PAIRS)
         .groupBy("doc_id", "paragraph", F.substring_index("notice", "/", 1).alias("family"))
         .agg(F.max("share").alias("similarity")).where(F.col("similarity") >= ALIKE)
     )

@@ -163,6 +163,17 @@ def test_licences(spark, tables):
     assert licences.scan_licences(frame.limit(0)).count() == 0
 
 
+def test_all_rights_reserved_is_a_notice(spark, tables):
+    lines = ["All rights reserved.", "Some words before.\nALL RIGHTS RESERVED\nand after.", "Some rights reserved.",
+             "All rights of way are marked on the map.", "He has all rights and duties of a member."]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0, "x", 1, 2) for i, t in enumerate(lines)], DOCS).unionByName(
+        tables[0].where("doc_id between 10 and 60"))
+    got = {r["doc_id"]: r["licences"] for r in licences.scan_licences(frame).collect()}
+    assert [got[i] for i in range(5)] == ["proprietary", "proprietary", "unknown", "unknown", "unknown"]
+    rows, classes, _ = licences.training_rows(spark, frame, "text")
+    assert not any(r[0] == 0 and "rights reserved" in r[2] and "all rights" in r[2] for r in rows)
+
+
 def test_licence_plan_has_no_python(spark, tables, capsys):
     licences.scan_licences(tables[0].limit(20)).explain()
     assert not any(word in capsys.readouterr().out for word in ("Python", "Arrow", "Pandas"))
