@@ -222,6 +222,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
                                                         F.max("n_shingles").alias("n")))
     reps = written_once(
         full.join(classes.select(F.col("text_key"), F.col("rep").alias("doc_id")), ["text_key", "doc_id"])
+        .dropDuplicates(["text_key", "doc_id"])
         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"))
     banded = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     hubs = (
@@ -250,14 +251,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     placed = written_once(
         crowded.join(labels, F.col("rep") == F.col("node"), "left")
         .select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp")))
-    # Similar sets meet in many buckets; of buckets with the same members one is enough.
+    # Similar sets meet in many buckets; of buckets with the same members one is enough.  An id
+    # that stands for two texts of a bucket cancels in the xor, not in the sum.
     open_buckets = (
         placed.groupBy("bucket")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"),
              F.min("rep").alias("first"), F.max("rep").alias("last"),
-             F.bit_xor(F.xxhash64("rep")).alias("mark"))
+             F.bit_xor(F.xxhash64("rep")).alias("mark"), F.sum(F.shiftright(F.xxhash64("rep"), 32)).alias("sum"))
         .where(F.col("low") != F.col("high"))
-        .groupBy("members", "first", "last", "mark")
+        .groupBy("members", "first", "last", "mark", "sum")
         .agg(F.min_by("bucket", F.col("bucket").bitwiseAND(31)).alias("bucket"))
         .select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
     )

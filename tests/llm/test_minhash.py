@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from answerloom.llm import minhash
 from answerloom.llm.components import components
@@ -77,6 +78,24 @@ def test_star_that_the_hub_does_not_explain(spark):
     assert got == brute(rows) and {r[2] for r in got} == {0}
 
 
+def test_doubled_rows_hide_no_bucket(spark, monkeypatch):
+    """Two buckets with the same ends and other middles, each with a link of its own, all rows twice."""
+    def text(no, changed=None):
+        return " ".join("new" if i == changed else f"t{no}x{i}" for i in range(100))
+
+    rows = [(0, text(0)), (1, text(1)), (2, text(1, 50)), (3, text(3)), (4, text(3, 50)), (9, text(9))]
+    first, second = 32 * 100, 32 * 200 + 1
+    bands = {0: (first, second), 9: (first, second), **{i: (first, 32 * i + 1) for i in (1, 2)},
+             **{i: (32 * i, second) for i in (3, 4)}}
+    real = minhash.signed
+    given = F.create_map(*[x for i, pair in bands.items() for x in (
+        F.lit(i).cast("bigint"), F.array(*[F.lit(b).cast("bigint") for b in pair]))])
+    monkeypatch.setattr(minhash, "signed", lambda *a: real(*a).withColumn("bands", given[F.col("doc_id")]))
+    frame = spark.createDataFrame(rows + rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in near_duplicates(frame).collect()]
+    assert len(got) == 12 and set(got) == brute(rows)
+
+
 def test_null_and_repeated_ids(spark):
     text = " ".join(f"a{i}" for i in range(30))
     rows = [(4, text), (4, text), (None, text), (None, "lonely words here"), (9, text), (None, None)]
