@@ -8,13 +8,16 @@ into bands; sets that agree in a whole band become candidates, and every
 candidate pair is confirmed on the full sets.
 
 With 60 permutations, 24 bands of 5 entries miss a pair of similarity 0.85 with
-probability (1 - 0.85^5)^24 = 8e-7, and more similar pairs less often.
+probability (1 - 0.85^5)^24 = 8e-7, and 30 bands of 4 one of 0.80 with 1.4e-7; more similar
+pairs less often.  ``limits`` derives the bands and the shares of sketches from the similarity.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +29,46 @@ from answerloom.llm.words import WordHashes, mixed, shingle_hashes, words_of
 from answerloom.operators.skew import lookup
 from answerloom.operators.stored import written_once
 
-PERMUTATIONS, BANDS, ROWS = 60, 24, 5
+PERMUTATIONS, MOST_BANDS = 60, 32
 WIDTH, SHARE = 5, 85
 # Before texts meet, sketches of one byte an entry do: 120 entries of the signature, then 512
-# of further permutations.  A pair of similarity 0.85 agrees in less than these shares of them with
-# probability 1e-6 each.
-WIDE = 256
-AGREE, WIDE_AGREE = 0.68, 0.77
+# of further permutations.  Bands and either sketch miss a pair at the threshold with probability
+# MISSED at most.
+WIDE, MISSED = 256, 1e-6
 BLOCK = 1000
 CHUNK = 1 << 19
 
+
+@dataclass(frozen=True)
+class Limits:
+    """What follows from the least similarity, in per cent."""
+
+    share: int
+    rows: int  # entries of a band
+    agree: int  # least number of agreeing entries of the sketch
+    wide_agree: int  # the same of the wide sketch
+
+
+def _least(entries: int, similarity: float) -> int:
+    """The largest number that entries agree in less often than MISSED."""
+    below, k = 0.0, 0
+    while k < entries:
+        below += math.comb(entries, k) * similarity ** k * (1 - similarity) ** (entries - k)
+        if below > MISSED:
+            break
+        k += 1
+    return k
+
+
+def limits(share: int) -> Limits:
+    """The longest bands that miss no more than MISSED; less similar pairs than bands can find are refused."""
+    entries, similarity = 2 * PERMUTATIONS, share / 100
+    fit = [r for r in range(1, entries + 1) if entries % r == 0 and entries // r <= MOST_BANDS
+           and (1 - similarity ** r) ** (entries // r) <= MISSED]
+    if not fit or share > 100:
+        raise ValueError(f"no bands for a similarity of {share} %")
+    return Limits(share, max(fit), _least(entries, similarity), _least(2 * WIDE, similarity))
+
 _generator = np.random.Generator(np.random.PCG64(20))
 _ODD = _generator.integers(0, 1 << 63, PERMUTATIONS + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _generator.integers(0, 1 << 63, PERMUTATIONS + WIDE, dtype=np.uint64)
@@ -52,20 +85,21 @@ def min_max(flat: np.ndarray, starts: np.ndarray, first: int = 0, count: int = P
     return out
 
 
-def band_hashes(signatures: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; its low five bits are the band's number."""
+def band_hashes(signatures: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` entries; its low five bits are the band's number."""
     with np.errstate(over="ignore"):
-        bands = signatures.reshape(len(signatures), BANDS, ROWS)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2])
-        for r in range(ROWS):
+        bands = signatures.reshape(len(signatures), -1, rows)
+        count = bands.shape[1]
+        key = np.broadcast_to(np.arange(1, count + 1, dtype=np.uint64), bands.shape[:2])
+        for r in range(rows):
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, r])
-    return key & ~np.uint64(31) | np.arange(BANDS, dtype=np.uint64)
+    return key & ~np.uint64(31) | np.arange(count, dtype=np.uint64)
 
 
 _SIGNED = "doc_id bigint, text_key binary, n_shingles bigint, bands array<bigint>, sketch binary"
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], band_rows: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         ids = batch.column(0)
@@ -88,7 +122,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if filled.any():
                 sizes = np.array(counts)[filled]
                 signatures = min_max(np.concatenate(sets), np.concatenate(([0], np.cumsum(sizes)[:-1])))
-                keyed = band_hashes(signatures).view(np.int64)
+                keyed = band_hashes(signatures, band_rows).view(np.int64)
                 short = _short(signatures)
                 for i, row in enumerate(np.flatnonzero(filled)):
                     bands[row], sketches[row] = keyed[i], short[i].tobytes()
@@ -98,13 +132,19 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", "text_key", "n_shingles", "bands", "sketch"])
 
 
-def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def _with(function: Callable, value) -> Callable:
+    """A function of batches alone."""
+    return lambda batches: function(batches, value)
+
+
+def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: int = SHARE) -> DataFrame:
     """Per row: doc_id, key of its word sequence, set size, band keys, one-byte sketch."""
     return docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
-                       F.col(text_column).cast("string").alias("text")).mapInArrow(_sign, _SIGNED)
+                       F.col(text_column).cast("string").alias("text")).mapInArrow(
+                           _with(_sign, limits(share).rows), _SIGNED)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     last, known = None, None
     for batch in batches:
@@ -117,14 +157,14 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known = np.unique(shingle_hashes(hashes.of(words_of(left[i].as_py())), WIDTH))
             other = np.unique(shingle_hashes(hashes.of(words_of(right[i].as_py())), WIDTH))
             common = len(np.intersect1d(known, other, assume_unique=True))
-            if common and 100 * common >= SHARE * (len(known) + len(other) - common):
+            if common and 100 * common >= share * (len(known) + len(other) - common):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays(
             [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())],
             ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, share: int = SHARE) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough; texts: doc_id, text.
 
     The rarer end's text travels to the commoner end's, which meets all of its
@@ -132,11 +172,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(
+        _with(_confirm, share), "a bigint, b bigint")
 
 
-def _similar_length(m: str, n: str):
-    return (100 * F.least(m, n) >= SHARE * F.greatest(m, n))
+def _similar_length(m: str, n: str, share: int):
+    return (100 * F.least(m, n) >= share * F.greatest(m, n))
 
 
 def _short(signatures: np.ndarray) -> np.ndarray:
@@ -153,7 +194,7 @@ def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(wide, pa.binary())], ["wide_id", "wide"])
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close_pairs(batches: Iterator[pa.RecordBatch], least: Limits) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within each run of (bucket, i, j) whose sketches agree.
 
     A run holds at most two blocks of a bucket; only survivors leave the task, and of the
@@ -171,14 +212,14 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list = []
         for x in range(len(rows)) if i == j else np.flatnonzero(part == i):
             others = np.flatnonzero((comp != comp[x]) & (rep > rep[x] if i == j else part == j)
-                                    & (100 * np.minimum(n, n[x]) >= SHARE * np.maximum(n, n[x])))
+                                    & (100 * np.minimum(n, n[x]) >= least.share * np.maximum(n, n[x])))
             if len(others):
-                others = others[(sketch[others] == sketch[x]).sum(axis=1) >= AGREE * sketch.shape[1]]
+                others = others[(sketch[others] == sketch[x]).sum(axis=1) >= least.agree]
             if len(others):
                 shared = bands[others] == bands[x]
                 others = others[bands[x][shared.argmax(axis=1)] == bucket]
             if len(others):
-                others = others[(wide[others] == wide[x]).sum(axis=1) >= WIDE_AGREE * wide.shape[1]]
+                others = others[(wide[others] == wide[x]).sum(axis=1) >= least.wide_agree]
                 out += [(min(rep[x], rep[y]), max(rep[x], rep[y])) for y in others]
         return pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())],
@@ -195,8 +236,9 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pairs(held)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Component of every document under "at least 85 % of the shingles in common".
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    share: int = SHARE) -> DataFrame:
+    """Component of every document under "at least ``share`` % of the shingles in common".
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable, itself
     included) and kept (doc_id = component_id), one row per row of ``docs``.
@@ -216,7 +258,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     repeat a doc_id with other words are joined only if those words are the
     class representatives of that id.  No rows give no rows.
     """
-    rows = written_once(signed(docs, id_column, text_column))
+    least = limits(share)
+    rows = written_once(signed(docs, id_column, text_column, share))
     full = rows.where(F.col("text_key").isNotNull())
     classes = written_once(full.groupBy("text_key").agg(F.min("doc_id").alias("rep"),
                                                         F.max("n_shingles").alias("n")))
@@ -232,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     crowded = written_once(banded.join(hubs, "bucket"))
     star = written_once(
-        crowded.where((F.col("rep") != F.col("hub")) & _similar_length("n", "hub_n"))
+        crowded.where((F.col("rep") != F.col("hub")) & _similar_length("n", "hub_n", share))
         .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     # Texts are read again for members of crowded buckets only; the ids that say which are looked
     # up in place while a million of them suffices.
@@ -244,7 +287,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def links_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         part = lookup(met, ends, ["doc_id"], "left_semi", F.col("doc_id"))
-        return written_once(confirmed(pairs, part).distinct())
+        return written_once(confirmed(pairs, part, share).distinct())
 
     links = links_of(star)
     labels = components(links)
@@ -277,7 +320,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     )
     rest = written_once(
-        meeting.mapInArrow(_close_pairs, "a bigint, b bigint").distinct()
+        meeting.mapInArrow(_with(_close_pairs, least), "a bigint, b bigint").distinct()
         .join(star, ["a", "b"], "left_anti"))
     labels = components(links.union(links_of(rest)))
     named = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
@@ -290,13 +333,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                  share: int = SHARE) -> DataFrame:
     """The kept document of every group, with all its columns.
 
     One row stays per kept doc_id: of rows that repeat an id, the one with the
     smallest text.  Rows without an id cannot be named as copies and all stay.
     """
-    found = near_duplicates(docs, id_column, text_column)
+    found = near_duplicates(docs, id_column, text_column, share)
     lost = written_once(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias("lost")).distinct())
     packed = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("bigint").alias("key"),

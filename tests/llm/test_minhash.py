@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from answerloom.llm import minhash
 from answerloom.llm.components import components
 from answerloom.llm.minhash import min_max, near_duplicates, one_per_group
@@ -17,7 +18,7 @@ def shingles(text):
         {tuple(words)} if words else set())
 
 
-def brute(rows):
+def brute(rows, share=85):
     sets = {i: shingles(t) for i, t in rows}
     parent = {i: i for i in sets}
 
@@ -30,7 +31,7 @@ def brute(rows):
     for a in ids:
         for b in ids:
             both = len(sets[a] & sets[b])
-            if a < b and both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            if a < b and both and 100 * both >= share * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {(i, len(sets[i]), root(i), root(i) == i) for i in ids}
@@ -108,6 +109,25 @@ def test_null_and_repeated_ids(spark):
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_pairs_between_the_two_thresholds(spark):
+    """The pipeline's stage joins copies of similarity 0.80 to 0.85, op10 does not."""
+    assert minhash.limits(85).rows == 5 and minhash.limits(80).rows == 4
+    rows = []
+    for no in range(200):
+        words = [f"t{no}x{i}" for i in range(99 + no % 20)]
+        rows.append((2 * no, " ".join(words)))
+        words[20], words[60] = "new", "newer"
+        rows.append((2 * no + 1, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert all(0.8 <= len(a & b) / len(a | b) < 0.85
+               for a, b in ((shingles(x), shingles(y)) for (_, x), (_, y) in zip(rows[::2], rows[1::2])))
+    assert {tuple(r) for r in near_duplicates(frame, share=80).collect()} == brute(rows, 80)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, "")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(0, 400, 2))
+    with pytest.raises(ValueError):
+        minhash.limits(50)
+
+
 def test_signature_is_unbiased():
     draw = np.random.Generator(np.random.PCG64(1))
     common, a, b = (draw.integers(0, 1 << 63, n, dtype=np.uint64) for n in (600, 200, 200))
