@@ -127,8 +127,8 @@ def schedule(spark, shares: list[Share], block: int) -> DataFrame:
         "source_no", (F.col("before") + F.col("within") - 1).alias("rank"))
 
 
-def blocks(sizes: DataFrame, shares: list[Share], block: int, repeats: int = REPEATS) -> DataFrame:
-    """Pieces of documents by block: source_no, rank, doc_id, epoch, first word, words.
+def placed(sizes: DataFrame, shares: list[Share], repeats: int = REPEATS) -> DataFrame:
+    """Where documents begin in their source: source_no, doc_id, size, epoch, at.
 
     A source's documents follow in shuffled order; where they begin is a prefix sum in two
     levels, over hash parts and inside a part, so no source meets in one task: there are
@@ -151,7 +151,14 @@ def blocks(sizes: DataFrame, shares: list[Share], block: int, repeats: int = REP
         "source_no", "doc_id", "size", "total", (F.col("first") + F.col("inside")).alias("start"))
     return (
         begun.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .withColumn("at", F.col("epoch") * F.col("total") + F.col("start"))
+        .select("source_no", "doc_id", "size", "epoch", (F.col("epoch") * F.col("total") + F.col("start")).alias("at"))
+    )
+
+
+def blocks(sizes: DataFrame, shares: list[Share], block: int, repeats: int = REPEATS) -> DataFrame:
+    """Pieces of documents by block: source_no, rank, doc_id, epoch, first word, words."""
+    return (
+        placed(sizes, shares, repeats)
         .withColumn("rank", F.explode(F.sequence(F.expr(f"at div {block}"),
                                                  F.expr(f"(at + size - 1) div {block}"))))
         .withColumn("low", F.greatest("at", F.col("rank") * block))
@@ -169,6 +176,21 @@ def mixed_pieces(sizes: DataFrame, shares: list[Share]) -> DataFrame:
         blocks(sizes, shares, block), ["source_no", "rank"])
 
 
+def target_pieces(sizes: DataFrame, shares: list[Share]) -> DataFrame:
+    """Pieces that give every source its rounded target to the word, however small it is.
+
+    These are the blocks of the first ranks as well, but the last one is taken in part, so no
+    slot has to be as small as the smallest target.
+    """
+    goals = _table(sizes.sparkSession, [(no, int(round(s.target))) for no, s in enumerate(shares)],
+                   "goal_no int, goal bigint")
+    return (
+        placed(sizes, shares).join(F.broadcast(goals), F.col("source_no") == F.col("goal_no")).where("at < goal")
+        .select("source_no", "doc_id", "size", "epoch", F.lit(0).cast("bigint").alias("first_word"),
+                F.least("size", F.col("goal") - F.col("at")).alias("words"))
+    )
+
+
 def planned(sizes: DataFrame, weights: list[int], repeats: int = REPEATS) -> list[Share]:
     """Targets of 100 % of all tokens; weights repeat over the sources in order."""
     totals = source_sizes(sizes)
@@ -208,19 +230,23 @@ def mix(docs: DataFrame, weights: list[int], id_column: str = "doc_id", source_c
 
 def mixed_documents(docs: DataFrame, weights: list[int], id_column: str = "doc_id",
                     source_column: str = "source", text_column: str = "text",
-                    length_column: str = "n_chars") -> DataFrame:
+                    length_column: str = "n_chars", meet_targets: bool = False) -> DataFrame:
     """The documents of the mix: a row for every epoch in which a document is taken.
 
     A document taken as a whole keeps its text; one that the mix cuts (at most one per
     source) keeps the words taken, joined by spaces.  The length column, if there is one,
     follows the text, all other columns pass through.  Documents that are never taken
     are left out.  Rows that share an id, or have none, are repeated alike.
+
+    By default the same words are taken as in ``mix``, in whole slots; with
+    ``meet_targets`` every source gets its rounded target.
     """
     sizes = written_once(sized(docs, id_column, source_column, text_column))
     shares = planned(sizes, weights)
     if not shares:
         return docs
-    taken = mixed_pieces(sizes, shares).groupBy("doc_id", "epoch").agg(
+    pieces = (target_pieces if meet_targets else mixed_pieces)(sizes, shares)
+    taken = pieces.groupBy("doc_id", "epoch").agg(
         F.min("first_word").alias("first_word"), F.sum("words").alias("words"), F.max("size").alias("size"))
     packed = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("bigint").alias("key"))
     both = packed.join(taken, F.col("key").eqNullSafe(F.col("doc_id")))

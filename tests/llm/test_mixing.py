@@ -5,6 +5,8 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
+from answerloom.llm import mixing
 from answerloom.llm.mixing import mix, mixed_documents, schedule, targets
 
 
@@ -61,6 +63,18 @@ def test_mixed_documents_hold_the_taken_words(documents):
     assert found == Counter({k: v for k, v in taken.items() if v})
 
 
+def test_stage_meets_small_targets(spark, monkeypatch):
+    """Sources whose targets are far below a slot get their words in the pipeline's stage."""
+    monkeypatch.setattr(mixing, "LEAST_SLOTS", 4)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "big" if i < 150 else f"s{i:03}", 0) for i in range(180)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    shares = mixing.planned(mixing.sized(frame, "doc_id", "source", "text"), corpus_pipeline.WEIGHTS)
+    found = Counter()
+    for r in corpus_pipeline.mix_sources(spark, frame, "").collect():
+        found[r["source"]] += len(r["text"].split(" "))
+    assert found == {s.source: round(s.target) for s in shares} and len(found) == 31
+
+
 def test_odd_rows(spark):
     schema = "doc_id bigint, text string, source string"
     assert mix(spark.createDataFrame([], schema), [1, 2]).count() == 0
