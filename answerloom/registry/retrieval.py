@@ -190,9 +190,9 @@ _PROBED_SQL = ("SELECT question_id, CAST(row_number() OVER w AS INT) AS rank, pa
 
 
 def _fixed_cells(spark, sf_dir):
-    """Centres (a bounded sample by rule), and the index in a table stored by cell."""
+    """Centres (all vectors of the rule, whatever their number), and the index in a table stored by cell."""
     stored = vectors(spark, sf_dir)
-    chosen = stored.where(F.col("passage_id") % 50 == 0).orderBy("passage_id").limit(ann.MOST_CELLS).toArrow()
+    chosen = stored.where(F.col("passage_id") % 50 == 0).orderBy("passage_id").toArrow()
     centres = scoring._matrix(chosen["vector"])
     path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
     ann.write_index(ann.build_index(stored, centres), path)

@@ -6,6 +6,7 @@ import tempfile
 import numpy as np
 import pytest
 
+from answerloom.registry import retrieval as registry
 from answerloom.operators import ann, embedding, retrieval, scoring, sparse
 
 
@@ -127,3 +128,16 @@ def test_bm25_without_a_match(spark, terms):
     stored = spark.createDataFrame([(1, "some words"), (2, "")], "passage_id long, text string")
     assert sparse.bm25_top(asked, stored, 5, broadcast_terms=terms).count() == 0
     assert sparse.bm25_top(asked, stored.where("false"), 5, broadcast_terms=terms).count() == 0
+
+
+def test_fixed_cells_have_all_centres_of_the_rule(spark, monkeypatch):
+    """The SQL takes every 50th vector: no bound on cells may drop centres."""
+    monkeypatch.setattr(ann, "MOST_CELLS", 2)
+    draw = np.random.default_rng(3).normal(size=(400, 8))
+    stored = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(draw)],
+                                   "passage_id long, vector array<double>")
+    monkeypatch.setattr(registry, "vectors", lambda *a: stored)
+    centres = draw[::50]
+    near = ((centres * centres).sum(axis=1) - 2 * draw @ centres.T).argmin(axis=1)
+    got = {r["passage_id"]: r["cell"] for r in registry.ann_fixed_cells(spark, "").collect()}
+    assert got == dict(enumerate(map(int, near)))
