@@ -141,3 +141,8 @@ def test_fixed_cells_have_all_centres_of_the_rule(spark, monkeypatch):
     near = ((centres * centres).sum(axis=1) - 2 * draw @ centres.T).argmin(axis=1)
     got = {r["passage_id"]: r["cell"] for r in registry.ann_fixed_cells(spark, "").collect()}
     assert got == dict(enumerate(map(int, near)))
+
+
+def test_registered_search_has_its_recall(spark):
+    """Eight probes of 44 cells would find about half of the neighbours."""
+    assert registry.ann_recall(spark, "/root/testdata/sf0.1").first().recall >= 0.9
