@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import chat, curves, kdtree, licences, minhash, mixing, pieces, pii, quality, toxicity
+from answerloom.llm import (
+    chat, curves, decontamination, kdtree, licences, minhash, mixing, negatives, pieces, pii, quality, toxicity, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,9 +104,65 @@ FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id
 LEFT JOIN (SELECT doc_id, min(other) AS low FROM reached GROUP BY doc_id) r ON r.doc_id = t.doc_id
 """
 
+#: Hard negatives by all scores.
+_NEGATIVES_SQL = """
+WITH grid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS g
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, c.vec_id, c.label,
+           CAST(list_sum(list_transform(list_zip(a.g, c.g), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM grid a JOIN grid c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+     AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+#: Windows of items as texts, looked for at every place of every document.
+_LEAKS_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+wanted AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n,
+           unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS t
+    FROM items WHERE len(w) > 0),
+held AS (
+    SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS start,
+           unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS t
+    FROM docs, (SELECT DISTINCT n FROM wanted) WHERE len(w) >= n),
+met AS (SELECT doc_id, start, n, item_id FROM held JOIN wanted USING (n, t)),
+covered AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start, start + n)) AS place FROM met) GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY encode(item_id))) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id = d.doc_id
+"""
+
 ORACLES["op2_source_mix"] = _MIX_SQL
 ORACLES["op9_exact_top"] = _EXACT_SQL
 ORACLES["op10_near_duplicates"] = _NEAR_SQL
+ORACLES["op11_hard_negatives"] = _NEGATIVES_SQL
+ORACLES["op12_decontamination"] = _LEAKS_SQL
 
 
 def _query(function: Query) -> Query:
@@ -170,3 +227,20 @@ def op9_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
+@_query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
