@@ -6,6 +6,10 @@ weights.  A source's slots are ranked, and rank r takes block r of the source's
 they are put in a shuffled order and cut into blocks of the same number of tokens, again
 and again while the source is repeated.
 
+A source takes as many words as its rounded target says: its last block is cut there, ranks that the
+schedule has beyond it stay empty, and blocks beyond its scheduled ranks follow in slots behind
+the schedule.  So a target far below a slot is met like any other.
+
 The points are multiples of an odd number modulo 2^32, exact in 64-bit integers.
 """
 
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from answerloom.llm.literals import table
 from answerloom.operators.stored import written_once
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +42,11 @@ class Share:
     size: int
     target: float
 
+    @property
+    def goal(self) -> int:
+        """The target in whole words."""
+        return math.floor(self.target + 0.5)
+
 
 def targets(sizes: list[tuple[str | None, int]], weights: list[int], total: int,
             repeats: int = REPEATS) -> list[Share]:
@@ -59,13 +69,18 @@ def targets(sizes: list[tuple[str | None, int]], weights: list[int], total: int,
             for i, (source, size) in enumerate(sizes)]
 
 
-def sized(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
-    """doc_id, source, size in words (null text: 0) and the place in the shuffle."""
-    return docs.select(
-        F.col(id_column).cast("bigint").alias("doc_id"), F.col(source_column).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_column).cast("string"), F.lit(WORD)), F.lit(0))
-        .cast("bigint").alias("size"),
-    ).withColumn("shuffle", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+def sized(rows: DataFrame, id_column: str, source_column: str, text_column: str) -> DataFrame:
+    """row, doc_id, source, size in words (null text: 0) and the place in the shuffle, for rows with a ``row`` key.
+
+    The order follows the id, or the text where there is none.
+    """
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    doc_id = F.col(id_column).cast("bigint")
+    return rows.select(
+        "row", doc_id.alias("doc_id"), F.col(source_column).cast("string").alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"),
+        F.md5(F.when(doc_id.isNotNull(), doc_id.cast("string")).otherwise(F.concat(F.lit("text "), F.md5(text))))
+        .alias("shuffle"))
 
 
 def source_sizes(sizes: DataFrame) -> list[tuple[str | None, int]]:
@@ -82,22 +97,19 @@ def source_sizes(sizes: DataFrame) -> list[tuple[str | None, int]]:
     return [(r["source"], r["size"]) for r in [*known, *(r for r in rows if r["source"] is None)]]
 
 
-def _table(spark, rows: list[tuple], schema: str) -> DataFrame:
-    """A small table from literals, read by the JVM alone."""
-    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
-    values = F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)]) for r in rows])
-    return spark.range(1, numPartitions=1).select(F.inline(values))
+def slots_of(shares: list[Share], block: int) -> int:
+    return int(round(sum(s.target for s in shares) / block))
 
 
 def schedule(spark, shares: list[Share], block: int) -> DataFrame:
-    """source_no, rank: for every slot the source it belongs to and the slot's rank there.
+    """slot, source_no, rank: for every slot the source it belongs to and the slot's rank there.
 
     The interval of a point is found by an equi-join on a grid; a slot's rank is the
     number of slots of its source in earlier chunks of the schedule plus those before it in its
     chunk, so no window is longer than a chunk.
     """
     whole = sum(s.target for s in shares)
-    slots = int(round(whole / block))
+    slots = slots_of(shares, block)
     parts, upto = [], 0.0
     for no, share in enumerate(shares):
         low, upto = upto, upto + share.target
@@ -105,9 +117,9 @@ def schedule(spark, shares: list[Share], block: int) -> DataFrame:
         if bounds[1] > bounds[0]:
             parts.append((no, bounds[0], bounds[1]))
     if not parts or not slots:
-        return spark.range(0).select(F.lit(0).alias("source_no"), F.col("id").alias("rank"))
+        return spark.range(0).select(F.col("id").alias("slot"), F.lit(0).alias("source_no"), F.col("id").alias("rank"))
     grid = POINTS // min(1 << 16, 4 * len(parts))
-    cells = _table(spark, [(i, a, b) for i, a, b in parts], "source_no int, low bigint, high bigint").select(
+    cells = table(spark, [(i, a, b) for i, a, b in parts], "source_no int, low bigint, high bigint").select(
         "source_no", "low", "high",
         F.explode(F.sequence(F.expr(f"low div {grid}"), F.expr(f"(high - 1) div {grid}"))).alias("cell"))
     placed = (
@@ -124,19 +136,19 @@ def schedule(spark, shares: list[Share], block: int) -> DataFrame:
     ranked = placed.withColumn("within", F.row_number().over(
         Window.partitionBy("source_no", "chunk").orderBy("slot")))
     return ranked.join(before, ["source_no", "chunk"]).select(
-        "source_no", (F.col("before") + F.col("within") - 1).alias("rank"))
+        "slot", "source_no", (F.col("before") + F.col("within") - 1).alias("rank"))
 
 
 def placed(sizes: DataFrame, shares: list[Share], repeats: int = REPEATS) -> DataFrame:
-    """Where documents begin in their source: source_no, doc_id, size, epoch, at.
+    """Where documents begin in their source: source_no, goal, row, size, epoch, at.
 
     A source's documents follow in shuffled order; where they begin is a prefix sum in two
     levels, over hash parts and inside a part, so no source meets in one task: there are
     as many parts as a part has rows.  The order starts anew in each of ``repeats`` epochs.
     """
     spark = sizes.sparkSession
-    named = _table(spark, [(no, s.source, s.size) for no, s in enumerate(shares)],
-                   "source_no int, name string, total bigint")
+    named = table(spark, [(no, s.source, s.size, s.goal) for no, s in enumerate(shares)],
+                  "source_no int, name string, total bigint, goal bigint")
     rows = sizes.where("size > 0")
     count = max(1, math.isqrt(rows.count()))
     dealt = rows.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).withColumn(
@@ -144,51 +156,45 @@ def placed(sizes: DataFrame, shares: list[Share], repeats: int = REPEATS) -> Dat
     first = dealt.groupBy("source_no", "part").agg(F.sum("size").alias("n")).select(
         "source_no", "part",
         (F.sum("n").over(Window.partitionBy("source_no").orderBy("part")) - F.col("n")).alias("first"))
-    inside = Window.partitionBy("source_no", "part").orderBy("shuffle", "doc_id", "size").rowsBetween(
+    inside = Window.partitionBy("source_no", "part").orderBy("shuffle", "doc_id", "size", "row").rowsBetween(
         Window.unboundedPreceding, -1)
     begun = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
         first, ["source_no", "part"]).select(
-        "source_no", "doc_id", "size", "total", (F.col("first") + F.col("inside")).alias("start"))
+        "source_no", "goal", "row", "size", "total", (F.col("first") + F.col("inside")).alias("start"))
     return (
         begun.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .select("source_no", "doc_id", "size", "epoch", (F.col("epoch") * F.col("total") + F.col("start")).alias("at"))
+        .select("source_no", "goal", "row", "size", "epoch",
+                (F.col("epoch") * F.col("total") + F.col("start")).alias("at"))
     )
 
 
 def blocks(sizes: DataFrame, shares: list[Share], block: int, repeats: int = REPEATS) -> DataFrame:
-    """Pieces of documents by block: source_no, rank, doc_id, epoch, first word, words."""
+    """Pieces of documents by block: source_no, rank, row, size, epoch, first word, words.
+
+    Blocks end where their source has all the words of its rounded target.
+    """
+    end = F.least(F.col("at") + F.col("size"), F.col("goal"))
     return (
-        placed(sizes, shares, repeats)
-        .withColumn("rank", F.explode(F.sequence(F.expr(f"at div {block}"),
-                                                 F.expr(f"(at + size - 1) div {block}"))))
+        placed(sizes, shares, repeats).where("at < goal").withColumn("end", end)
+        .withColumn("rank", F.explode(F.sequence(F.expr(f"at div {block}"), F.expr(f"(end - 1) div {block}"))))
         .withColumn("low", F.greatest("at", F.col("rank") * block))
-        .withColumn("high", F.least(F.col("at") + F.col("size"), (F.col("rank") + 1) * block))
-        .select("source_no", "rank", "doc_id", "size", "epoch", (F.col("low") - F.col("at")).alias("first_word"),
+        .withColumn("high", F.least("end", (F.col("rank") + 1) * block))
+        .select("source_no", "rank", "row", "size", "epoch", (F.col("low") - F.col("at")).alias("first_word"),
                 (F.col("high") - F.col("low")).alias("words"))
     )
 
 
 def mixed_pieces(sizes: DataFrame, shares: list[Share]) -> DataFrame:
-    """The mix: every slot's pieces (doc_id, size, epoch, first_word, words)."""
-    total = int(round(sum(s.target for s in shares)))
-    block = max(1, min(MOST_BLOCK, total // LEAST_SLOTS))
-    return schedule(sizes.sparkSession, shares, block).join(
-        blocks(sizes, shares, block), ["source_no", "rank"])
-
+    """The mix: every slot's pieces (slot, row, size, epoch, first_word, words).
 
-def target_pieces(sizes: DataFrame, shares: list[Share]) -> DataFrame:
-    """Pieces that give every source its rounded target to the word, however small it is.
-
-    These are the blocks of the first ranks as well, but the last one is taken in part, so no
-    slot has to be as small as the smallest target.
+    Blocks that the schedule has no slot for come behind it, in the order of their ranks.
     """
-    goals = _table(sizes.sparkSession, [(no, int(round(s.target))) for no, s in enumerate(shares)],
-                   "goal_no int, goal bigint")
-    return (
-        placed(sizes, shares).join(F.broadcast(goals), F.col("source_no") == F.col("goal_no")).where("at < goal")
-        .select("source_no", "doc_id", "size", "epoch", F.lit(0).cast("bigint").alias("first_word"),
-                F.least("size", F.col("goal") - F.col("at")).alias("words"))
-    )
+    total = int(round(sum(s.target for s in shares)))
+    block = max(1, min(MOST_BLOCK, total // LEAST_SLOTS))
+    behind = slots_of(shares, block) + F.col("rank")
+    return blocks(sizes, shares, block).join(
+        schedule(sizes.sparkSession, shares, block), ["source_no", "rank"], "left").select(
+        F.coalesce("slot", behind).alias("slot"), "row", "size", "epoch", "first_word", "words")
 
 
 def planned(sizes: DataFrame, weights: list[int], repeats: int = REPEATS) -> list[Share]:
@@ -200,63 +206,58 @@ def planned(sizes: DataFrame, weights: list[int], repeats: int = REPEATS) -> lis
 
 def mix(docs: DataFrame, weights: list[int], id_column: str = "doc_id", source_column: str = "source",
         text_column: str = "text") -> DataFrame:
-    """Per row: doc_id, size, source_size, target of its source, taken words, repeats counted.
+    """Per row: doc_id, size, source_size, target of its source, taken words (repeats counted), first_slot.
 
-    A null text has no words, a null source is a source of its own, last in order.  Rows
-    that repeat a doc_id share what the mix takes from them in proportion to their sizes
-    (rounded down).  Documents without words are never taken.  No rows give no rows.
+    Every source's taken words are its target, rounded.  ``first_slot`` is the slot of the schedule that takes the
+    row first, null for rows never taken.  A null text has no words, a null source is a source of
+    its own, last in order.  Rows count one by one, whether they repeat a doc_id or have none.
+    Documents without words are never taken.  No rows give no rows.
     """
-    sizes = written_once(sized(docs, id_column, source_column, text_column))
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), id_column, source_column, text_column)
+    sizes = written_once(sized(keyed, id_column, source_column, text_column))
     shares = planned(sizes, weights)
     if not shares:
-        return sizes.select("doc_id", "size", F.col("size").alias("source_size"),
-                            F.lit(0.0).alias("target"), F.col("size").alias("taken"))
-    taken = mixed_pieces(sizes, shares).groupBy("doc_id", "source_no").agg(F.sum("words").alias("words"))
-    named = _table(sizes.sparkSession, [(no, s.source, s.size, s.target) for no, s in enumerate(shares)],
-                   "source_no int, name string, source_size bigint, target double")
+        return sizes.select("doc_id", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"),
+                            F.col("size").alias("taken"), F.col("size").alias("first_slot"))
+    taken = mixed_pieces(sizes, shares).groupBy("row").agg(
+        F.sum("words").alias("words"), F.min("slot").alias("first_slot"))
+    named = table(sizes.sparkSession, [(s.source, s.size, s.target) for s in shares],
+                  "name string, source_size bigint, target double")
     rows = sizes.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name")))
-    repeated = sizes.groupBy("doc_id", "source").agg(F.sum("size").alias("id_size")).withColumnRenamed(
-        "doc_id", "id").withColumnRenamed("source", "id_source")
-    return (
-        rows.join(repeated, F.col("doc_id").eqNullSafe(F.col("id"))
-                  & F.col("source").eqNullSafe(F.col("id_source")))
-        .join(taken.select(F.col("doc_id").alias("taken_id"), F.col("source_no").alias("taken_no"), "words"),
-              F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.col("source_no") == F.col("taken_no")), "left")
-        .select("doc_id", "size", "source_size", "target",
-                F.when(F.col("id_size") > 0, F.expr("coalesce(words, 0) * size div id_size"))
-                .otherwise(0).cast("bigint").alias("taken"))
-    )
+    return rows.join(taken, "row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("bigint").alias("taken"),
+        "first_slot")
 
 
 def mixed_documents(docs: DataFrame, weights: list[int], id_column: str = "doc_id",
                     source_column: str = "source", text_column: str = "text",
-                    length_column: str = "n_chars", meet_targets: bool = False) -> DataFrame:
-    """The documents of the mix: a row for every epoch in which a document is taken.
-
-    A document taken as a whole keeps its text; one that the mix cuts (at most one per
-    source) keeps the words taken, joined by spaces.  The length column, if there is one,
-    follows the text, all other columns pass through.  Documents that are never taken
-    are left out.  Rows that share an id, or have none, are repeated alike.
-
-    By default the same words are taken as in ``mix``, in whole slots; with
-    ``meet_targets`` every source gets its rounded target.
+                    length_column: str = "n_chars", slot_column: str | None = None) -> DataFrame:
+    """The documents of the mix: a row for every epoch in which a row of ``docs`` is taken.
+
+    The words are those of ``mix``.  A document taken as a whole keeps its text; one that the mix
+    cuts (at most one per source) keeps the words taken, joined by spaces.  The length column,
+    if there is one, follows the text, all other columns pass through; ``slot_column`` names one more for the
+    slot that takes the row, the order of the mix.  Rows that are never taken are left out.  The rows
+    are stored once with a key of their own, so repeated and missing ids play no part.
     """
-    sizes = written_once(sized(docs, id_column, source_column, text_column))
+    keyed = written_once(docs.select(F.struct("*").alias("packed"), F.monotonically_increasing_id().alias("row")))
+    fields = keyed.select("row", *[F.col("packed").getField(c).alias(c) for c in (id_column, source_column, text_column)])
+    sizes = written_once(sized(fields, id_column, source_column, text_column))
     shares = planned(sizes, weights)
     if not shares:
-        return docs
-    pieces = (target_pieces if meet_targets else mixed_pieces)(sizes, shares)
-    taken = pieces.groupBy("doc_id", "epoch").agg(
-        F.min("first_word").alias("first_word"), F.sum("words").alias("words"), F.max("size").alias("size"))
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("bigint").alias("key"))
-    both = packed.join(taken, F.col("key").eqNullSafe(F.col("doc_id")))
+        return docs if slot_column is None else docs.withColumn(slot_column, F.lit(None).cast("bigint"))
+    taken = mixed_pieces(sizes, shares).groupBy("row", "epoch").agg(
+        F.sum("words").alias("words"), F.max("size").alias("size"), F.min("slot").alias("slot"))
+    both = keyed.join(taken, "row")
     whole = F.col("words") >= F.col("size")
-    text = F.when(whole, F.col(f"row.{text_column}")).otherwise(F.array_join(F.slice(
-        F.regexp_extract_all(F.col(f"row.{text_column}"), F.lit(f"({WORD})")),
-        (F.col("first_word") + 1).cast("int"), F.col("words").cast("int")), " "))
-    row = F.col("row").withField(text_column, text)
+    # Only the last document of a source is cut, so what is taken are its first words.
+    text = F.when(whole, F.col("packed").getField(text_column)).otherwise(F.array_join(F.slice(
+        F.regexp_extract_all(F.col("packed").getField(text_column), F.lit(f"({WORD})")),
+        F.lit(1), F.col("words").cast("int")), " "))
+    packed = F.col("packed").withField(text_column, text)
     if length_column in docs.columns:
         kind = docs.schema[length_column].dataType
-        row = row.withField(length_column, F.when(whole, F.col(f"row.{length_column}")).otherwise(
+        packed = packed.withField(length_column, F.when(whole, F.col("packed").getField(length_column)).otherwise(
             F.length(text).cast(kind)))
-    return both.select(row.alias("row")).select("row.*")
+    slot = [] if slot_column is None else [F.col("slot").alias(slot_column)]
+    return both.select(packed.alias("packed"), "slot").select("packed.*", *slot)

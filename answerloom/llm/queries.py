@@ -15,7 +15,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 WEIGHTS = [1, 2, 3]
 
-#: Every source's target, the slots it gets and what they take of each document.
+#: Every source's target, what its rounded target takes of each document, and the slot that takes it first.
 _MIX_SQL = r"""
 WITH docs AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
@@ -45,20 +45,21 @@ bounds AS (
            round(4294967296 * sum(target) OVER (ORDER BY no) / w.whole) AS high
     FROM shares s, whole w),
 points AS (
-    SELECT (j * 2654435769) % 4294967296 AS point
+    SELECT j, (j * 2654435769) % 4294967296 AS point
     FROM (SELECT unnest(range((SELECT max(slots) FROM bounds))) AS j)),
 won AS (
-    SELECT b.no, count(p.point) * any_value(b.block) AS tokens
-    FROM bounds b LEFT JOIN points p ON p.point >= b.low AND p.point < b.high GROUP BY b.no),
+    SELECT b.no, p.j, row_number() OVER (PARTITION BY b.no ORDER BY p.j) - 1 AS rank
+    FROM bounds b JOIN points p ON p.point >= b.low AND p.point < b.high),
 begun AS (
-    SELECT d.doc_id, d.size, b.s, b.target, w.tokens,
+    SELECT d.doc_id, d.size, b.no, b.s, b.target, b.block, b.slots, CAST(floor(b.target + 0.5) AS BIGINT) AS goal,
            sum(d.size) OVER (PARTITION BY b.no ORDER BY md5(CAST(d.doc_id AS VARCHAR)), d.doc_id) - d.size AS start
-    FROM docs d JOIN bounds b ON b.source IS NOT DISTINCT FROM d.source JOIN won w ON w.no = b.no)
+    FROM docs d JOIN bounds b ON b.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
-       CAST(greatest(0, least(start + size, tokens) - start)
-            + greatest(0, least(s + start + size, tokens) - s - start)
-            + greatest(0, least(2 * s + start + size, tokens) - 2 * s - start) AS BIGINT) AS taken
-FROM begun
+       CAST(greatest(0, least(start + size, goal) - start)
+            + greatest(0, least(s + start + size, goal) - s - start)
+            + greatest(0, least(2 * s + start + size, goal) - 2 * s - start) AS BIGINT) AS taken,
+       CAST(CASE WHEN size > 0 AND start < goal THEN coalesce(w.j, b.slots + start // block) END AS BIGINT) AS first_slot
+FROM begun b LEFT JOIN won w ON w.no = b.no AND w.rank = b.start // b.block
 """
 
 _EXACT_SQL = """

@@ -25,6 +25,7 @@ def test_schedule_keeps_to_the_weights(spark):
     for no, share in enumerate(shares):
         assert ranks[no] == list(range(len(ranks[no])))
         assert abs(3 * len(ranks[no]) - share.target) <= 3 * math.log2(10000)
+    assert sorted(r["slot"] for r in rows) == list(range(10000))
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,8 @@ def test_mix(documents):
     total = sum(r["size"] for r in rows)
     assert abs(sum(by_target.values()) - total) <= 20
     for (target, _), taken in by_target.items():
-        assert abs(taken - target) <= 20
+        assert abs(taken - target) <= 0.5
+    assert all((r["first_slot"] is None) == (r["taken"] == 0) for r in rows)
     assert {r["size"] for r in rows if r["doc_id"] in (900, 901)} == {0}
     assert {r["size"] for r in rows if r["doc_id"] == 902} == {2}
 
@@ -63,16 +65,42 @@ def test_mixed_documents_hold_the_taken_words(documents):
     assert found == Counter({k: v for k, v in taken.items() if v})
 
 
-def test_stage_meets_small_targets(spark, monkeypatch):
-    """Sources whose targets are far below a slot get their words in the pipeline's stage."""
+def test_query_and_stage_meet_small_targets(spark, monkeypatch):
+    """40 sources whose targets are far below a slot get their words, in the query and in the stage."""
     monkeypatch.setattr(mixing, "LEAST_SLOTS", 4)
-    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "big" if i < 150 else f"s{i:03}", 0) for i in range(180)]
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "big" if i < 150 else f"s{i:03}", 0) for i in range(190)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
-    shares = mixing.planned(mixing.sized(frame, "doc_id", "source", "text"), corpus_pipeline.WEIGHTS)
-    found = Counter()
+    keyed = frame.withColumn("row", frame.doc_id)
+    shares = mixing.planned(mixing.sized(keyed, "doc_id", "source", "text"), corpus_pipeline.WEIGHTS)
+    goals = {s.source: s.goal for s in shares}
+    found, first = Counter(), {}
     for r in corpus_pipeline.mix_sources(spark, frame, "").collect():
         found[r["source"]] += len(r["text"].split(" "))
-    assert found == {s.source: round(s.target) for s in shares} and len(found) == 31
+    assert found == goals and len(found) == 41
+    sources = {i: s for i, _, s, _ in rows}
+    found = Counter()
+    for r in mix(frame, corpus_pipeline.WEIGHTS).collect():
+        found[sources[r["doc_id"]]] += r["taken"]
+        assert abs(r["target"] - goals[sources[r["doc_id"]]]) <= 0.5
+        if r["taken"]:
+            first[r["doc_id"]] = r["first_slot"]
+    assert found == goals
+    slots = mixed_documents(frame, corpus_pipeline.WEIGHTS, slot_column="at").groupBy("doc_id").min("at").collect()
+    assert {r["doc_id"]: r["min(at)"] for r in slots} == first
+
+
+def test_rows_count_one_by_one(spark):
+    """Missing and repeated ids: every source gets its rounded target, whatever the ids."""
+    rows = [(None, "a b c d e f g h i", "s"), (None, "k l m n o p q r s t u", "t"), (5, "x y z", "s"), (5, "x y z", "s"), (5, "u v", "t")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = Counter()
+    for r in mixed_documents(frame, [1, 2]).collect():
+        found[r["source"]] += len(r["text"].split(" "))
+    assert found == {"s": 9, "t": 19}
+    taken = Counter()
+    for r in mix(frame, [1, 2]).collect():
+        taken[r["source_size"]] += r["taken"]
+    assert taken == {15: 9, 13: 19}
 
 
 def test_odd_rows(spark):
