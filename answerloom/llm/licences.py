@@ -1,6 +1,8 @@
 """Licence families of documents, paragraph by paragraph, in DataFrame operations only.
 
-Paragraphs (lines) are cut into word pairs.  A sparse multinomial logistic regression, trained on
+A paragraph ends before an empty line, a line of marks only or an SPDX tag, and at a line whose last
+character ends a sentence; other line breaks are soft, so a notice wrapped over several lines, also behind comment
+marks, is one paragraph.  Paragraphs are cut into word pairs.  A sparse multinomial logistic regression, trained on
 licence notices and on paragraphs of the corpus, gives every paragraph the
 probability of each family and of "unknown"; a temperature fitted on rows kept aside calibrates
 it.  A prediction counts only if the paragraph also holds at least half of the word pairs
@@ -12,7 +14,6 @@ by paragraph; paragraphs without any weighted pair are unknown and never move.
 
 from __future__ import annotations
 
-import json
 import math
 import re
 
@@ -21,7 +22,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm.sampling import hashed_sample
+from answerloom.llm.literals import table
 from answerloom.operators.stored import written_once
 
 #: Usual wording of licence notices.
@@ -115,6 +116,8 @@ PLAIN = [
 UNKNOWN = "unknown"
 CORPUS_SAMPLE, SAMPLE_DOCUMENTS = 2000, 400
 COMMON = 0.01
+# A line break behind the end of a sentence, or one in front of a line without letters and digits or of an SPDX tag.
+PARAGRAPH_END = r"(?<=[.!?:;])[ \t\r]*\n|\n(?=[^\nA-Za-z0-9\x80-\x{10FFFF}]*(?:\n|$|SPDX-))"
 SURE, ALIKE, LEAST_PAIRS = 0.5, 0.5, 2
 
 
@@ -140,18 +143,9 @@ def word_pairs(text: Column) -> Column:
         F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)))
 
 
-def paragraphs(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
-                       F.posexplode(F.split(F.col(text_column).cast("string"), "\n")).alias("paragraph", "line"))
-
-
-def table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small table from one JSON literal, read by the JVM alone."""
-    names = [f.split(" ")[0] for f in schema.split(", ")]
-    text = json.dumps([dict(zip(names, r)) for r in rows])
-    kinds = ",".join(f.replace(" ", ":", 1) for f in schema.split(", "))
-    return spark.range(1, numPartitions=1).select(
-        F.inline(F.from_json(F.lit(text), f"array<struct<{kinds}>>")))
+def split_paragraphs(text: Column) -> Column:
+    """Paragraphs of a text; lines end in a line feed, with or without a carriage return."""
+    return F.split(text, PARAGRAPH_END)
 
 
 def _variants(notice: str) -> list[str]:
@@ -165,13 +159,17 @@ def _variants(notice: str) -> list[str]:
 def training_rows(spark: SparkSession, docs: DataFrame, text_column: str) -> tuple[list[tuple], list[str], list[str]]:
     """(label, weight, pairs, kept aside) rows, classes, vocabulary.
 
-    The corpus gives at most 2,000 paragraphs of the 400 texts with the smallest md5; those
+    The corpus gives at most 2,000 paragraphs of the 400 different texts with the smallest md5; those
     that hold half of a notice are not used as examples of "unknown".  Pairs found in more than one
     in a hundred of them say nothing about licences and leave the vocabulary.
     """
-    texts = docs.select(F.col(text_column).cast("string").alias("text")).where(F.col("text").isNotNull())
-    chosen = hashed_sample(texts, F.col("text"), SAMPLE_DOCUMENTS)
-    lines = chosen.select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''").distinct()
+    texts = docs.select(F.col(text_column).cast("string").alias("text")).where(F.col("text").isNotNull()).select(
+        "text", F.md5("text").alias("mark"))
+    # Thinned by the same hash first, so copies of few texts meet, and each text counts once.
+    share = min(1.0, 2 * SAMPLE_DOCUMENTS / max(1, texts.select(F.approx_count_distinct("mark")).first()[0]))
+    thin = texts.where(F.conv(F.substring("mark", 1, 8), 16, 10).cast("bigint") <= int(share * (1 << 32)))
+    chosen = thin.groupBy("mark").agg(F.first("text").alias("text")).orderBy("mark").limit(SAMPLE_DOCUMENTS)
+    lines = chosen.select(F.explode(split_paragraphs(F.col("text"))).alias("line")).where("trim(line) <> ''").distinct()
     plain = [r["pairs"] for r in lines.orderBy(F.md5("line")).limit(CORPUS_SAMPLE)
              .select(word_pairs(F.col("line")).alias("pairs")).collect()]
     held = [set(pairs_of(n)) for notices in NOTICES.values() for n in notices]
@@ -230,58 +228,70 @@ def trained(spark: SparkSession, docs: DataFrame, text_column: str
     return classes, weights, intercepts, temperature(aside)
 
 
-def licence_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity of all confirmed paragraphs."""
+def scored_paragraphs(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id) of all rows, and row, paragraph, family, probability, similarity of confirmed paragraphs.
+
+    A row key is written together with the weighted word pairs.  Paragraph 0 stands for the row itself
+    and holds one pair without weights, so rows without licences are in the stored table as well.
+    """
     spark = docs.sparkSession
     classes, weights, intercepts, heat = trained(spark, docs, text_column)
     notices = [(family, no, n, pairs_of(n)) for family, ns in NOTICES.items() for no, n in enumerate(ns)]
     compared = [(p, f"{family}/{no}", len(pairs)) for family, no, _, pairs in notices for p in pairs]
     known = sorted({*weights, *(p for p, _, _ in compared)})
     nothing = [0.0] * len(classes)
-    sheet = table(spark, [(p, weights.get(p, nothing), [{"notice": n, "size": s} for q, n, s in compared if q == p])
-                          for p in known],
+    sheet = table(spark, [("", nothing, []), *(
+        (p, weights.get(p, nothing), [{"notice": n, "size": s} for q, n, s in compared if q == p]) for p in known)],
                   "pair string, w array<double>, notices array<struct<notice:string,size:int>>")
-    hits = written_once(
-        paragraphs(docs, id_column, text_column)
-        .select("doc_id", "paragraph", F.explode(word_pairs(F.col("line"))).alias("pair"))
+    parts = F.concat(F.array(F.lit("")), F.coalesce(split_paragraphs(F.col("text")), F.array()))
+    paired = F.when(F.col("paragraph") == 0, F.array(F.lit(""))).otherwise(word_pairs(F.col("line")))
+    stored = written_once(
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("bigint").alias("doc_id"),
+                    F.col(text_column).cast("string").alias("text"))
+        .select("row", "doc_id", F.posexplode(parts).alias("paragraph", "line"))
+        .select("row", "doc_id", "paragraph", F.explode(paired).alias("pair"))
         .join(F.broadcast(sheet), "pair"))
-    sums = hits.groupBy("doc_id", "paragraph").agg(
+    hits = stored.where("paragraph > 0")
+    sums = hits.groupBy("row", "paragraph").agg(
         *[F.sum(F.col("w")[k]).alias(f"z{k}") for k in range(len(classes))])
     z = F.array(*[(F.col(f"z{k}") + intercepts[k]) / heat for k in range(len(classes))])
     names = F.array(*[F.lit(c) for c in classes])
     guessed = (
-        sums.select("doc_id", "paragraph", z.alias("z"))
-        .select("doc_id", "paragraph", "z", F.array_max("z").alias("top"))
-        .select("doc_id", "paragraph", names[F.array_position("z", F.col("top")).cast("int") - 1].alias("family"),
+        sums.select("row", "paragraph", z.alias("z"))
+        .select("row", "paragraph", "z", F.array_max("z").alias("top"))
+        .select("row", "paragraph", names[F.array_position("z", F.col("top")).cast("int") - 1].alias("family"),
                 (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("probability"))
         .where((F.col("family") != UNKNOWN) & (F.col("probability") >= SURE))
     )
     alike = (
-        hits.select("doc_id", "paragraph", F.inline("notices"))
-        .groupBy("doc_id", "paragraph", "notice").agg((F.count("*") / F.max("size")).alias("share"), F.count("*").alias("n"))
+        hits.select("row", "paragraph", F.inline("notices"))
+        .groupBy("row", "paragraph", "notice").agg((F.count("*") / F.max("size")).alias("share"), F.count("*").alias("n"))
         .where(F.col("n") >= LEAST_PAIRS)
-        .groupBy("doc_id", "paragraph", F.substring_index("notice", "/", 1).alias("family"))
+        .groupBy("row", "paragraph", F.substring_index("notice", "/", 1).alias("family"))
         .agg(F.max("share").alias("similarity")).where(F.col("similarity") >= ALIKE)
     )
-    return guessed.join(
-        alike.select(F.col("doc_id").alias("d"), F.col("paragraph").alias("p"), F.col("family").alias("f"), "similarity"),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("paragraph") == F.col("p")) & (F.col("family") == F.col("f"))
-    ).select("doc_id", "paragraph", "family", "probability", "similarity")
+    return stored.where("paragraph = 0").select("row", "doc_id"), guessed.join(alike, ["row", "paragraph", "family"])
+
+
+def licence_paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, paragraph (from 0), family, probability, similarity of all confirmed paragraphs."""
+    rows, found = scored_paragraphs(docs, id_column, text_column)
+    return rows.join(found, "row").select("doc_id", (F.col("paragraph") - 1).alias("paragraph"), "family", "probability",
+                                          "similarity")
 
 
 def scan_licences(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, licences (families by name, comma-joined), n_paragraphs, probability, similarity.
 
-    Probability and similarity are the best among the document's confirmed paragraphs, null
-    without any; licences is then ``unknown``.  Null and blank texts are unknown.  Rows
-    that repeat a doc_id, or have none, are scanned as one document and all get its
-    result.  No rows give no rows.
+    Probability and similarity are the best among the row's confirmed paragraphs, null
+    without any; licences is then ``unknown``.  Null and blank texts are unknown.  Every
+    row is scanned by itself, also when rows repeat a doc_id or have none.  No rows give no rows.
     """
-    found = licence_paragraphs(docs, id_column, text_column).groupBy(F.col("doc_id").alias("found_id")).agg(
+    rows, confirmed = scored_paragraphs(docs, id_column, text_column)
+    found = confirmed.groupBy("row").agg(
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licences"),
         F.count("*").alias("n_paragraphs"), F.max("probability").alias("probability"),
         F.max("similarity").alias("similarity"))
-    ids = docs.select(F.col(id_column).cast("bigint").alias("doc_id"))
-    return ids.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select(
+    return rows.join(found, "row", "left").select(
         "doc_id", F.coalesce("licences", F.lit(UNKNOWN)).alias("licences"),
         F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"), "probability", "similarity")

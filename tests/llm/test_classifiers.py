@@ -1,10 +1,12 @@
 """Quality, toxicity and licences: held-out accuracy, brute force, odd rows."""
 
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from answerloom.llm import licences, quality, toxicity
 from answerloom.llm.words import WordHashes, shingle_hashes, words_of
@@ -136,6 +138,30 @@ LICENSED = [
 ]
 
 
+def plain_paragraphs(text):
+    """Lines put together while their break is soft."""
+    lines, out = (text or "").split("\n"), [""]
+    for line, after in zip(lines, [*lines[1:], None]):
+        out[-1] += line
+        bare = re.sub(r"[^A-Za-z0-9\x80-\U0010FFFF]", "", after or "")
+        if line.rstrip(" \t\r")[-1:] in tuple(".!?:;") or after is not None and (
+                not bare or re.match(r"[^A-Za-z0-9\x80-\U0010FFFF]*SPDX-", after)):
+            out.append("")
+        else:
+            out[-1] += "\n"
+    return out
+
+
+def test_paragraph_borders(spark):
+    texts = ["a\nb.\nc d\n\n e\n// *\n// f\n// g\nSPDX-License-Identifier: MIT\nx", "", "one", "\n\n", "é!\r\nß\nç", "a \n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r["i"]: r["p"] for r in frame.select("i", licences.split_paragraphs(F.col("text")).alias("p")).collect()}
+    words = lambda parts: [w for w in (re.findall(r"\w+", p) for p in parts) if w]
+    assert words(got[0]) == [["a", "b"], ["c", "d"], ["e"], ["f", "g"], ["SPDX", "License", "Identifier", "MIT", "x"]]
+    for i, text in enumerate(texts):
+        assert words(got[i]) == words(plain_paragraphs(text))
+
+
 def test_licences(spark, tables):
     rows = [(i, t, "en", "s", 0, "x", 1, 2) for i, t in LICENSED]
     frame = spark.createDataFrame(rows, DOCS).unionByName(tables[0].where("doc_id between 10 and 60"))
@@ -143,7 +169,7 @@ def test_licences(spark, tables):
     got = {r["doc_id"]: r for r in licences.scan_licences(frame).collect()}
     for i, text in LICENSED:
         want, best = set(), []
-        for line in (text or "").split("\n"):
+        for line in plain_paragraphs(text):
             pairs = licences.pairs_of(line)
             z = [x / heat for x in licences.logits_of(pairs, weights, intercepts)]
             p = np.exp(np.array(z) - max(z)) / np.exp(np.array(z) - max(z)).sum()
@@ -163,6 +189,28 @@ def test_licences(spark, tables):
     assert licences.scan_licences(frame.limit(0)).count() == 0
 
 
+# Usual wording of licence notices, wrapped.
+WRAPPED_MIT = ("Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated\n"
+               "documentation files (the \"Software\"), to deal\nin the Software without restriction, including\nwithout limitation")
+WRAPPED_BSD = ("# Redistribution and use in source and\n# binary forms, with or without modification, are\n# permitted provided that "
+               "the following conditions\n# are met:")
+
+
+def test_wrapped_repeated_and_nameless_notices(spark, tables):
+    part = "Permission is hereby granted, free of"
+    rows = [(1, WRAPPED_MIT), (2, f"code\n#\n{WRAPPED_BSD}\n# more"), (3, part), (3, part), (3, part), (3, part), (None, "nothing at all"),
+            (None, "Released under the MIT License."), (None, None), (4, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0, "x", 1, 2) for i, t in rows], DOCS).unionByName(
+        tables[0].where("doc_id between 10 and 60"))
+    got = [(r["doc_id"], r["licences"], r["similarity"]) for r in licences.scan_licences(frame).collect()]
+    assert len(got) == frame.count() and all(s is None or 0.5 <= s <= 1 for _, _, s in got)
+    found = sorted((repr(i), f) for i, f, _ in got if i is None or i < 10)
+    assert found == sorted([("1", "mit"), ("2", "bsd"), *[("3", "unknown")] * 4, ("None", "unknown"), ("None", "mit"), ("None", "unknown"),
+                            ("4", "isc,mit")])
+    held = licences.licence_paragraphs(frame)
+    assert {r["paragraph"] for r in held.where("doc_id = 4").collect()} == {0, 1}
+
+
 def test_all_rights_reserved_is_a_notice(spark, tables):
     lines = ["All rights reserved.", "Some words before.\nALL RIGHTS RESERVED\nand after.", "Some rights reserved.",
              "All rights of way are marked on the map.", "He has all rights and duties of a member."]
