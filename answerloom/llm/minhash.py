@@ -335,18 +335,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   share: int = SHARE) -> DataFrame:
-    """The kept document of every group, with all its columns.
+    """One row of every group of near duplicates, with all its columns.
 
-    One row stays per kept doc_id: of rows that repeat an id, the one with the
-    smallest text.  Rows without an id cannot be named as copies and all stay.
+    The row with the smallest id stays, rows without an id after all others.  Every row counts by
+    itself: rows that repeat an id are copies only if their texts are, and copies without an id are
+    copies like any other.  Rows without words have no group and all stay.  The rows are stored once
+    with a key of their own, which takes the place of the id.
     """
-    found = near_duplicates(docs, id_column, text_column, share)
-    lost = written_once(found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("lost")).distinct())
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_column).cast("bigint").alias("key"),
-                         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("order"))
-    known = packed.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min_by("row", "order").alias("row"))
-    left = known.join(lost, F.col("key") == F.col("lost"), "left_anti")
-    nameless = packed.where(F.col("key").isNull()).select("key", "row")
-    return left.unionByName(nameless).select("row.*")
+    keyed = written_once(docs.select(F.struct("*").alias("packed"), F.monotonically_increasing_id().alias("row")))
+    texts = keyed.select("row", F.col("packed").getField(text_column).alias("text"))
+    found = near_duplicates(texts, "row", "text", share).select(F.col("doc_id").alias("row"), "component_id")
+    order = F.struct(F.col("packed").getField(id_column).cast("bigint").isNull().alias("nameless"),
+                     F.col("packed").getField(id_column).cast("bigint").alias("id"), "row")
+    placed = found.join(keyed.select("row", order.alias("order")), "row")
+    kept = placed.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("row"))
+    return lookup(keyed, kept, ["row"], "left_semi", F.col("row")).select("packed.*")

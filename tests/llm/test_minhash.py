@@ -105,7 +105,13 @@ def test_null_and_repeated_ids(spark):
     assert got == sorted([(4, 26, 4, True), (4, 26, 4, True), (None, 26, 4, False), (None, 1, None, True),
                           (9, 26, 4, False), (None, 0, None, True)], key=str)
     kept = sorted((tuple(r) for r in one_per_group(frame).collect()), key=str)
-    assert kept == sorted([(4, text), (None, text), (None, "lonely words here"), (None, None)], key=str)
+    assert kept == sorted([(4, text), (None, "lonely words here"), (None, None)], key=str)
+    # A text found nowhere else stays, whoever shares its id; copies without id are copies.
+    other = " ".join(f"b{i}" for i in range(30))
+    rows = [(1, text), (1, other), (2, text), (None, text), (None, "same words"), (None, "same words"), (None, ""), (7, None)]
+    kept = one_per_group(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, row int"))
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted(
+        [(1, text), (1, other), (None, "same words"), (None, ""), (7, None)], key=str)
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
