@@ -73,7 +73,10 @@ def test_query_rows(spark):
         assert set(filter(None, listed.split(","))) <= set(filter(None, r["spans"].split(",")))
     spans = {r["doc_id"]: r["spans"] for r in got}
     assert spans[3].startswith("phone:4:16,phone:25:") and spans[5002] == "email:9:27"
-    assert not any(spans[1000 + i] for i in range(200))
+    # Of the plain numbers, the base finds those that pass the check digit; nothing is added.
+    for i in range(200):
+        assert spans[1000 + i] == ",".join(f"{k}:{s}:{e}" for k, s, e in plain_spans(texts[1000 + i]))
+    assert 0 < sum(bool(spans[1000 + i]) for i in range(200)) < 40
     assert pii.find_personal_data(frame.limit(0)).count() == 0
 
 

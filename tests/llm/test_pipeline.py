@@ -68,13 +68,13 @@ def test_odd_documents_pass_all_stages(spark):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
