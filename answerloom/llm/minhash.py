@@ -244,9 +244,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     included) and kept (doc_id = component_id), one row per row of ``docs``.
 
     1.  Rows with the same words form one class, represented by its smallest id.
-    2.  Every crowded band bucket links its members to its smallest member: as many
-        candidates as members, whatever the bucket's size.  Confirmed links give
-        components.
+    2.  Every crowded band bucket links its members to one of them, the one that meets most others
+        in all its buckets: as many candidates as members, whatever the bucket's size.
+        Confirmed links give components.
     3.  Where a bucket still holds several components, its rows are dealt into blocks
         of about 1,000 and blocks meet in pairs; pairs inside a component need no
         confirmation, the others leave the task only when sizes and sketches allow
@@ -268,15 +268,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .dropDuplicates(["text_key", "doc_id"])
         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"))
     banded = reps.select("rep", "n", F.explode("bands").alias("bucket"))
-    hubs = (
-        banded.groupBy("bucket")
-        .agg(F.min("rep").alias("hub"), F.max("rep").alias("top"), F.min_by("n", "rep").alias("hub_n"))
-        .where(F.col("hub") != F.col("top")).drop("top")
-    )
-    crowded = written_once(banded.join(hubs, "bucket"))
+    # A bucket's hub is its member with the most company over all its buckets: what copies were made
+    # from shares buckets with all of them, a copy only with some, whatever their ids are.
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written_once(banded.join(sizes, "bucket"))
+    company = shared.groupBy("rep").agg(F.sum("members").alias("company"))
+    hubs = shared.join(company, "rep").groupBy("bucket").agg(
+        F.max_by(F.struct("rep", "n"), F.struct("company", -F.col("rep"))).alias("hub")).select(
+        "bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
+    crowded = written_once(shared.drop("members").join(hubs, "bucket"))
     star = written_once(
         crowded.where((F.col("rep") != F.col("hub")) & _similar_length("n", "hub_n", share))
-        .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+        .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct())
     # Texts are read again for members of crowded buckets only; the ids that say which are looked
     # up in place while a million of them suffices.
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
