@@ -17,6 +17,9 @@ from answerloom.registry.sql import ARTICLES, QA, clean, in_test, with_
 from answerloom.sources import tables
 
 
+OBJECT_BYTES, OBJECT_ROWS = 64 << 20, 100_000
+
+
 def _path(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -37,11 +40,14 @@ def split_roundtrip(spark, sf_dir):
 def read_dump_files(spark, sf_dir):
     """Dump files, each one JSON object of many articles, written from the documents and read."""
     path = _path(spark, "dump")
-    rows = table(spark, sf_dir, "documents").select(
-        F.pmod("doc_id", F.lit(64)).alias("file"), F.col("doc_id").cast("string").alias("key"),
+    docs = table(spark, sf_dir, "documents")
+    # Objects of about 64 MB of text or 100,000 articles, however large the table is; a key occurs once in an object.
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = max(4, -(-(size["bytes"] or 0) // OBJECT_BYTES), -(-size["n"] // OBJECT_ROWS))
+    rows = docs.select(
+        F.col("doc_id").cast("string").alias("key"),
         F.struct("text", F.col("lang").alias("title"), F.col("doc_id").alias("document_id"), "source").alias("a"))
-    # A file of the dump holds a bounded share of the articles, as the source format demands.
-    objects = rows.groupBy("file", F.floor(F.pmod(F.xxhash64("key"), F.lit(4)))).agg(
+    objects = rows.groupBy(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("file")).agg(
         F.map_from_entries(F.collect_list(F.struct("key", "a"))).alias("m"))
     objects.select(F.to_json("m").alias("value")).write.text(path)
     return tables.parse_dump(spark.read.text(path))
