@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import article_of, content_key, paragraph_of, passage_id
 from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, lookup
+from answerloom.operators.stored import shared_folder
 
 # Largest article id of the encyclopedia part of the corpus (fixed value).
 WIKI_LAST_ARTICLE = 56736
@@ -121,3 +124,32 @@ def require_complete(qa: DataFrame) -> DataFrame:
     empty = (F.coalesce("question", F.lit("")) == "") | (F.coalesce("answer", F.lit("")) == "")
     return qa.withColumn("question", F.when(empty, F.raise_error(
         F.lit("empty question or answer"))).otherwise(F.col("question")))
+
+
+# What makes a question row unfit for training.
+COMPLETE = {"no question": "coalesce(question, '') = ''", "no answer": "coalesce(answer, '') = ''"}
+
+
+def quarantine(rows: DataFrame, rules: dict[str, Column | str] | None = None,
+               path: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Accepted rows, refused rows with their ``reasons``, and counts by reason (also "rows" and "accepted").
+
+    A row is refused for every rule that is true for it; a rule that gives NULL does not refuse.  Rows are scanned
+    once: the write that parts accepted from refused rows into two folders of one table also
+    carries the counts, so they are those of the rows written.  ``path`` names the table's
+    folder, by default one in the shared folder.
+    """
+    rules = COMPLETE if rules is None else rules
+    spark = rows.sparkSession
+    path = path or f"{shared_folder(spark)}/quarantine-{uuid.uuid4().hex}"
+    hit = {name: F.coalesce(F.expr(rule) if isinstance(rule, str) else rule, F.lit(False)) for name, rule in rules.items()}
+    reasons = F.filter(F.array(*[F.when(h, F.lit(name)) for name, h in hit.items()]), lambda r: r.isNotNull())
+    observation = Observation(f"quarantine {uuid.uuid4().hex}")
+    judged = rows.withColumn("reasons", reasons).withColumn("refused", F.size("reasons") > 0)
+    counted = judged.observe(
+        observation, F.count("*").alias("rows"), F.count_if(~F.col("refused")).alias("accepted"),
+        *[F.count_if(F.array_contains("reasons", name)).alias(name) for name in rules])
+    counted.write.mode("overwrite").partitionBy("refused").parquet(path)
+    stored = spark.read.schema(judged.schema).parquet(path)
+    accepted = stored.where(~F.col("refused")).drop("reasons", "refused")
+    return accepted, stored.where("refused").drop("refused"), {k: int(v or 0) for k, v in observation.get.items()}

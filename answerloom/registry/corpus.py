@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import ids as I
 from answerloom.functions import text as X
-from answerloom.operators import chunking, dedup, qa
+from answerloom.operators import chunking, dedup, qa, sentences, splits
 from answerloom.operators.skew import use_all_cores
 from answerloom.plans.corpus import clean_articles
 from answerloom.registry.base import (
@@ -105,6 +105,92 @@ def sentence_lines(spark, sf_dir):
         "dialog_id", X.sentence_lines(F.col("answer")).alias("lines"))
 
 
+def _share(k, n, p):
+    return (f"(CASE WHEN {k} > 0 THEN {k} * ln({p}) ELSE 0.0 END + CASE WHEN {n} - {k} > 0 THEN ({n} - {k}) * ln(1 - {p}) "
+            "ELSE 0.0 END)")
+
+
+def _ratio(k, first, second):
+    p, p1 = f"({second} / total)", f"({k} / {first})"
+    p2 = f"(({second} - {k}) / greatest(total - {first}, 1.0))"
+    return (f"round(2 * ({_share(k, first, p1)} + {_share(f'({second} - {k})', f'(total - {first})', p2)} - "
+            f"{_share(k, first, p)} - {_share(f'({second} - {k})', f'(total - {first})', p)}), 6)")
+
+
+_BARE = (r"lower(regexp_replace(regexp_replace({0}, '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}]+$', ''))")
+_MODEL_SQL = with_({
+    "listed": r"SELECT list_filter(string_split_regex(text, '[\t\n\x0B\f\r ]+'), lambda t: t <> '') AS t FROM documents",
+    "pairs": f"SELECT {_BARE.format('t[i]')} AS word, ends_with(t[i], '.') AS dotted, coalesce({_BARE.format('t[i + 1]')}, '') "
+             "AS next FROM (SELECT t, unnest(range(1, len(t) + 1)) AS i FROM listed)",
+    "seen": "SELECT word, dotted, next, count(*) AS n FROM pairs GROUP BY ALL",
+    "types": "SELECT word, sum(n) AS n, sum(CASE WHEN dotted THEN n ELSE 0 END) AS dots FROM seen WHERE word <> '' GROUP BY word",
+    "whole": "SELECT CAST(sum(n) AS DOUBLE) AS total, least(greatest(sum(dots) / sum(n), 1e-12), 0.99) AS share FROM types",
+    "sized": "SELECT *, length(word) - length(replace(word, '.', '')) AS inside, CAST(length(replace(word, '.', '')) AS DOUBLE) "
+             "AS letters FROM types, whole WHERE dots >= 3",
+    "short": f"SELECT word, round(2 * ({_share('dots', 'n', '0.99')} - {_share('dots', 'n', 'share')}) * exp(-letters) * "
+             r"(inside + 1) * pow(letters, -CAST(n - dots AS DOUBLE)), 6) AS score FROM sized WHERE regexp_matches(word, '\p{L}') "
+             "AND score >= 0.3",
+    "ends": "SELECT word, next, sum(n) AS k FROM seen WHERE dotted AND word <> '' AND next <> '' GROUP BY ALL",
+    "plain": "SELECT next AS word, CAST(sum(k) AS DOUBLE) AS k FROM ends WHERE word NOT IN (SELECT word FROM short) GROUP BY next",
+    "begun": "SELECT CAST(sum(k) AS DOUBLE) AS b FROM plain",
+    "starts": f"SELECT word, {_ratio('k', 'b', 'n')} AS score FROM (SELECT p.word, k, CAST(n AS DOUBLE) AS n, b, total FROM plain p "
+              "JOIN types USING (word), begun, whole WHERE k >= 3 AND k * total > n * b)",
+    "tied": f"SELECT word, next, {_ratio('k', 'f', 's')} AS score FROM (SELECT e.word, e.next, CAST(k AS DOUBLE) AS k, "
+            "CAST(a.dots AS DOUBLE) AS f, CAST(c.n AS DOUBLE) AS s, total FROM ends e JOIN types a ON a.word = e.word JOIN types c "
+            "ON c.word = e.next, whole WHERE k >= 3) WHERE k * total > s * f AND word IN (SELECT word FROM short)",
+}, "SELECT 'abbreviation' AS kind, word, '' AS next, score FROM short UNION ALL SELECT 'starter', word, '', score FROM starts "
+   "WHERE score >= 30.0 UNION ALL SELECT 'pair', word, next, score FROM tied WHERE score >= 7.88")
+
+
+@query(_MODEL_SQL)
+def sentence_model(spark, sf_dir):
+    """Abbreviations, starters and pairs learned from all documents."""
+    return sentences.sentence_model(table(spark, sf_dir, "documents"))
+
+
+@query()
+def sentence_lines_trained(spark, sf_dir):
+    """Documents with one sentence per line, cut at the borders the learned model leaves."""
+    docs = table(spark, sf_dir, "documents")
+    cut = sentences.trained_sentences(docs, sentences.sentence_model(docs), "doc_id")
+    return cut.select("doc_id", F.array_join("sentences", "\n").alias("lines"))
+
+
+@query("SELECT doc_id, lang, CASE WHEN row_number() OVER (ORDER BY md5('17-' || doc_id), doc_id) <= round(count(*) OVER () * 0.15) "
+       "THEN 'test' ELSE 'train' END AS split FROM documents")
+def exact_split(spark, sf_dir):
+    """Exactly 15 % of the documents, to the row, are test rows."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return splits.exact_split(rows, "doc_id", 0.15, 17)
+
+
+_REFUSED = ("(CASE WHEN coalesce(question, '') = '' THEN ['no question'] ELSE [] END || CASE WHEN coalesce(answer, '') = '' "
+            "THEN ['no answer'] ELSE [] END || CASE WHEN answer_start IS NULL THEN ['no place'] ELSE [] END || "
+            "CASE WHEN length(question) > 200 THEN ['long question'] ELSE [] END)")
+
+
+def _checked(spark, sf_dir):
+    rules = {**qa.COMPLETE, "no place": F.col("answer_start").isNull(), "long question": F.length("question") > 200}
+    return qa.quarantine(qa_rows(spark, sf_dir).drop("context"), rules)
+
+
+@query(with_({**QA, "judged": f"SELECT qa_id, {_REFUSED} AS r FROM qa"},
+             "SELECT qa_id, array_to_string(r, ',') AS reasons FROM judged WHERE len(r) > 0"))
+def quarantined_qa(spark, sf_dir):
+    """Refused question rows with their reasons, from the side table."""
+    return _checked(spark, sf_dir)[1].select("qa_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(with_({**QA, "judged": f"SELECT {_REFUSED} AS r FROM qa"},
+             "SELECT 'accepted' AS reason, count(*) AS n FROM judged WHERE len(r) = 0 UNION ALL SELECT 'rows', count(*) FROM judged "
+             + "".join(f"UNION ALL SELECT '{x}', count(*) FILTER (list_contains(r, '{x}')) FROM judged "
+                       for x in ("no question", "no answer", "no place", "long question"))))
+def observed_qa(spark, sf_dir):
+    """Counts observed while the two tables were written."""
+    counts = _checked(spark, sf_dir)[2]
+    return spark.createDataFrame(sorted(counts.items()), "reason string, n bigint")
+
+
 @query("SELECT doc_id, CASE WHEN doc_id <= 500 THEN 'wiki' ELSE 'other' END AS part "
        "FROM documents")
 def source_threshold(spark, sf_dir):

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from answerloom.functions import vectors as V
-from answerloom.operators import ann, contrastive, embedding, metrics, retrieval, scoring, sparse
+from answerloom.operators import ann, contrastive, embedding, graph, metrics, postings, retrieval, scoring, sparse
 from answerloom.operators.stored import shared_folder, written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
@@ -174,10 +174,11 @@ def hybrid_rank_fusion(spark, sf_dir):
     return sparse.fuse_ranks(*_both_lists(spark, sf_dir), 20)
 
 
-# Cells fixed by rule: every 50th vector is the centre of one.
+# Cells fixed by rule: a fiftieth of the vectors, at most 65,536, those with the smallest md5 of the id, are centres.
 _CELLS = {
     **VECTORS,
-    "centres": "SELECT v AS c, row_number() OVER (ORDER BY passage_id) - 1 AS cell FROM vec WHERE passage_id % 50 = 0",
+    "centres": "SELECT v AS c, row_number() OVER (ORDER BY md5(CAST(passage_id AS VARCHAR)), passage_id) - 1 AS cell FROM "
+               "vec QUALIFY cell < least(65536, greatest(1, (SELECT count(*) FROM vec) // 50))",
     "placed": "SELECT passage_id, v, CAST(arg_min(cell, (round(list_dot_product(c, c) - 2 * list_dot_product(v, c), "
               "9), cell)) AS INT) AS cell FROM vec CROSS JOIN centres GROUP BY passage_id, v",
     "probes": "SELECT question_id, cell FROM qv CROSS JOIN centres QUALIFY row_number() OVER (PARTITION BY question_id "
@@ -190,9 +191,10 @@ _PROBED_SQL = ("SELECT question_id, CAST(row_number() OVER w AS INT) AS rank, pa
 
 
 def _fixed_cells(spark, sf_dir):
-    """Centres (all vectors of the rule, whatever their number), and the index in a table stored by cell."""
+    """Centres, at most MOST_CELLS of them at every size, and the index in a table stored by cell."""
     stored = vectors(spark, sf_dir)
-    chosen = stored.where(F.col("passage_id") % 50 == 0).orderBy("passage_id").toArrow()
+    n_cells = min(ann.MOST_CELLS, max(1, stored.count() // 50))
+    chosen = stored.orderBy(F.md5(F.col("passage_id").cast("string")), "passage_id").limit(n_cells).toArrow()
     centres = scoring._matrix(chosen["vector"])
     path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
     ann.write_index(ann.build_index(stored, centres), path)
@@ -264,3 +266,54 @@ def ann_all_cells(spark, sf_dir):
 def ann_recall(spark, sf_dir):
     exact = scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
     return ann.recall(_search(spark, sf_dir), exact)
+
+
+# Shards of the graph are dealt by md5, so a small table states them: 8 at most, of 256 rows at least.
+_GRAPH_SQL = """
+WITH n AS (SELECT greatest(1, (count(*) + 8191) // 8192, least(8, count(*) // 256)) AS shards FROM embeddings),
+dealt AS (SELECT CAST(CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % shards AS INT) AS shard
+          FROM embeddings, n)
+SELECT shard, count(*) AS n_rows, CAST(count(*) * least(count(*) - 1, 24) AS BIGINT) AS n_links, CAST(0 AS BIGINT) AS n_loops,
+       CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_one_way
+FROM dealt GROUP BY shard
+"""
+
+
+def _graph(spark, sf_dir):
+    path = f"{shared_folder(spark)}/graph-{uuid.uuid4().hex}"
+    graph.write_graph(graph.build_graph(vectors(spark, sf_dir)), path)
+    return graph.read_graph(spark, path)
+
+
+@query(_GRAPH_SQL)
+def graph_index(spark, sf_dir):
+    """The stored graph, audited: every passage has its links, and none breaks a rule."""
+    return graph.graph_audit(_graph(spark, sf_dir))
+
+
+def _graph_search(spark, sf_dir):
+    asked, stored = written_once(vector_questions(spark, sf_dir)), vectors(spark, sf_dir)
+    index = _graph(spark, sf_dir)
+    return graph.search_graph(asked, index, 20, graph.fitted_beam(asked, stored, index, 20))
+
+
+@query()
+def graph_search(spark, sf_dir):
+    """Walks with a beam as wide as a sample of questions needs for a recall of 0.9."""
+    return _graph_search(spark, sf_dir)
+
+
+@query()
+def graph_recall(spark, sf_dir):
+    exact = scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
+    return ann.recall(_graph_search(spark, sf_dir), exact)
+
+
+@query(with_(SPARSE, "SELECT question_id, CAST(rank AS INT) AS rank, passage_id, score FROM sparse_ranked WHERE rank <= 20"))
+def bm25_index_topk(spark, sf_dir):
+    """BM25 from a stored index that was written in two steps."""
+    path = f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
+    stored = passage_table(spark, sf_dir)
+    postings.write_postings(stored.where(F.col("passage_id") % 3 != 0), path)
+    postings.append_postings(stored.where(F.col("passage_id") % 3 == 0), path)
+    return postings.search_postings(benchmark_questions(spark, sf_dir), spark, path, 20)
