@@ -347,9 +347,12 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     keyed = written_once(docs.select(F.struct("*").alias("packed"), F.monotonically_increasing_id().alias("row")))
     texts = keyed.select("row", F.col("packed").getField(text_column).alias("text"))
-    found = near_duplicates(texts, "row", "text", share).select(F.col("doc_id").alias("row"), "component_id")
+    found = written_once(near_duplicates(texts, "row", "text", share).select(
+        F.col("doc_id").alias("row"), "component_id"))
     order = F.struct(F.col("packed").getField(id_column).cast("bigint").isNull().alias("nameless"),
                      F.col("packed").getField(id_column).cast("bigint").alias("id"), "row")
     placed = found.join(keyed.select("row", order.alias("order")), "row")
     kept = placed.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("row"))
-    return lookup(keyed, kept, ["row"], "left_semi", F.col("row")).select("packed.*")
+    # Copies are fewer than what stays, so they are what is looked up in place.
+    lost = found.select("row").join(kept, "row", "left_anti")
+    return lookup(keyed, lost, ["row"], "left_anti", F.col("row")).select("packed.*")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CHUNKS_HELD, PAIRS_HELD = 200_000, 300_000
+CHUNKS_HELD, PAIRS_HELD = 100_000, 150_000
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
