@@ -13,7 +13,7 @@ _S33 = np.uint64(33)
 class WordHashes(dict):
     """word -> 64-bit hash, computed on first use; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 250_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
