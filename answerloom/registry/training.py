@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from answerloom.functions import text as X
-from answerloom.operators import answers, batches, chunking, contrastive, numbering, qa, tokens
+from answerloom.operators import (
+    answers, batches, chunking, contrastive, numbering, qa, redraw, tokens)
 from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
@@ -331,6 +332,63 @@ def epoch_batches(spark, sf_dir):
         batches.epoch_batches(rows, BATCH, 8).withColumn("seed", F.lit(8)))
 
 
+def _drawn(text):
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def _redrawn(seed):
+    """(batch_id, slot, article): the walk of every slot through the keyed permutation."""
+    turns = ", ".join(
+        (f"(l{i} + " + _drawn(f"concat_ws('-', '{seed}', batch_id, {i}, r{i})") + f") % a AS l{i + 1}, r{i} AS r{i + 1}")
+        if i % 2 == 0 else
+        (f"l{i} AS l{i + 1}, (r{i} + " + _drawn(f"concat_ws('-', '{seed}', batch_id, {i}, l{i})")
+         + f") % b AS r{i + 1}") for i in range(redraw.ROUNDS))
+    last = redraw.ROUNDS
+    return {
+        **PASSAGES,
+        "laid": "SELECT passage_id AS row_id, article_id, paragraph_id, row_number() OVER (ORDER BY article_id, "
+                "paragraph_id, passage_id) - 1 AS pos FROM passages WHERE article_id IS NOT NULL",
+        "sheets": "SELECT *, row_number() OVER (ORDER BY article_id, paragraph_id) - 1 AS sheet FROM (SELECT "
+                  "article_id, paragraph_id, min(pos) AS lo, count(*) AS n_rows FROM laid GROUP BY ALL)",
+        "homes": "SELECT *, row_number() OVER (ORDER BY article_id) - 1 AS article FROM (SELECT article_id, "
+                 "min(lo) AS lo, sum(n_rows)::BIGINT AS n_rows, min(sheet) AS first, count(*) AS n FROM sheets "
+                 "GROUP BY article_id)",
+        "sizes": f"SELECT s, a, CAST(ceil(s / a) AS BIGINT) AS b, (SELECT count(*) FROM laid) // {BATCH} AS n_batches "
+                 "FROM (SELECT count(*) AS s, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM homes)",
+        "walk": "SELECT batch_id, CAST(slot AS INT) AS slot, slot AS x, 0 AS step, s, a, b FROM sizes, "
+                f"LATERAL (SELECT unnest(range(n_batches)) AS batch_id), range({BATCH}) t(slot) UNION ALL "
+                f"SELECT batch_id, slot, l{last} * b + r{last}, step + 1, s, a, b FROM (SELECT *, x // b AS l0, "
+                f"x % b AS r0, {turns} FROM walk WHERE step = 0 OR x >= s)",
+        "drawn": "SELECT batch_id, slot, x AS article FROM walk WHERE step > 0 AND x < s",
+    }
+
+
+@query(with_(_redrawn(7), "SELECT batch_id, slot, row_id, laid.article_id FROM drawn JOIN homes USING (article) JOIN laid "
+                          "ON pos = lo + " + _drawn("concat_ws('-', '8', batch_id, slot)") + " % n_rows"))
+def redrawn_batches(spark, sf_dir):
+    return redraw.redrawn_batches(_pair_rows(spark, sf_dir), BATCH, 7)
+
+
+_HARD_REDRAWN = {
+    **_redrawn(8),
+    "pairs": "SELECT o.batch_id, o.slot, h.first, h.n, g.first AS lead_first, g.n AS lead_n FROM drawn o JOIN homes h "
+             "ON h.article = o.article JOIN drawn l ON l.batch_id = o.batch_id AND l.slot = o.slot - o.slot % 2 "
+             "JOIN homes g ON g.article = l.article",
+    "turned": "SELECT *, " + _drawn("concat_ws('-', '9', batch_id, slot - slot % 2)") + " % lead_n AS one, "
+              + _drawn("concat_ws('-', '10', batch_id, slot)") + " % greatest(lead_n - 1, 1) AS ahead FROM pairs",
+    "chosen": "SELECT batch_id, slot, CASE WHEN slot % 2 = 0 THEN lead_first + one WHEN lead_n > 1 THEN "
+              "lead_first + (one + 1 + ahead) % lead_n ELSE first + "
+              + _drawn("concat_ws('-', '9', batch_id, slot)") + " % n END AS sheet FROM turned",
+}
+
+
+@query(with_(_HARD_REDRAWN, "SELECT batch_id, slot, row_id, laid.article_id, laid.paragraph_id FROM chosen JOIN sheets "
+                            "USING (sheet) JOIN laid ON pos = lo + "
+                            + _drawn("concat_ws('-', '11', batch_id, slot)") + " % n_rows"))
+def redrawn_hard_batches(spark, sf_dir):
+    return redraw.redrawn_hard_batches(_pair_rows(spark, sf_dir), BATCH, 8)
+
+
 _NEGATIVE_RANKS = {
     **_QUEUED,
     "corpus": "SELECT qv.question_id AS seq, passage_id, round(list_dot_product(qv.v, vec.v), 9) AS score "
