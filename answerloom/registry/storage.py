@@ -14,7 +14,7 @@ from answerloom.operators.skew import use_all_cores
 from answerloom.operators.stored import shared_folder
 from answerloom.registry.base import articles, qa_rows, query, table
 from answerloom.registry.sql import ARTICLES, QA, clean, in_test, with_
-from answerloom.sources import tables
+from answerloom.sources import pieces, tables
 
 
 OBJECT_BYTES, OBJECT_ROWS = 64 << 20, 100_000
@@ -36,9 +36,11 @@ def split_roundtrip(spark, sf_dir):
     return tables.read_table(spark, copy, table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars").schema)
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS row_key, doc_id AS article_id, lang AS title, text FROM documents")
-def read_dump_files(spark, sf_dir):
-    """Dump files, each one JSON object of many articles, written from the documents and read."""
+_DUMP_SQL = "SELECT CAST(doc_id AS VARCHAR) AS row_key, doc_id AS article_id, lang AS title, text FROM documents"
+
+
+def _dumped(spark, sf_dir):
+    """Path of dump files, each of JSON objects of many articles, written from the documents."""
     path = _path(spark, "dump")
     docs = table(spark, sf_dir, "documents")
     # Objects of about 64 MB of text or 100,000 articles, however large the table is; a key occurs once in an object.
@@ -50,7 +52,19 @@ def read_dump_files(spark, sf_dir):
     objects = rows.groupBy(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("file")).agg(
         F.map_from_entries(F.collect_list(F.struct("key", "a"))).alias("m"))
     objects.select(F.to_json("m").alias("value")).write.text(path)
-    return tables.parse_dump(spark.read.text(path))
+    return path
+
+
+@query(_DUMP_SQL)
+def read_dump_files(spark, sf_dir):
+    """Dump files read object by object."""
+    return tables.parse_dump(spark.read.text(_dumped(spark, sf_dir)))
+
+
+@query(_DUMP_SQL)
+def read_dump_splits(spark, sf_dir):
+    """The same files read by byte ranges."""
+    return pieces.read_dump_splits(spark, _dumped(spark, sf_dir))
 
 
 @query("SELECT doc_id AS article_id, lang AS title, text FROM documents")
