@@ -33,7 +33,7 @@ def _article_slots(rows: DataFrame, articles: DataFrame, batch_size: int, seed:
         .where(F.col("_rounds") > 0)
         .withColumn("round", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_rounds") - 1)))
     )
-    ordered = numbered_within(sized, ["round"], ["article_id"], seed, parts=4096, name="_at")
+    ordered = numbered_within(sized, ["round"], ["round", "article_id"], seed, parts=4096, name="_at")
     return (
         ordered
         .withColumn("_in_round", F.floor(F.col("_at") / batch_size))

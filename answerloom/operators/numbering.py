@@ -76,28 +76,31 @@ def numbered_within(rows: DataFrame, group: list[str], ids: list[str], seed: int
                     parts: int = 256, name: str = "index") -> DataFrame:
     """Add a 0-based ``name`` inside each group and the group size ``<name>_size``.
 
-    A group may hold most of the rows, so it is cut into ``parts`` hash parts:
-    parts are counted, a window over at most ``parts`` counts per group gives each
-    part its offset, and rows are sorted inside one part only.
+    The order is that of ``shuffle_key`` of the ids.  A group may hold most of the rows, so it is cut into
+    ``parts`` (65,536 at most) ranges of the key: parts are counted, a window over at most ``parts`` counts
+    per group gives each part its offset, and rows are sorted inside one part only.
     """
-    part = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in ids]), F.lit(parts)).cast("int")
-    keyed = rows.withColumn("_part", part)
+    key = shuffle_key(seed, *[F.col(c) for c in ids])
+
+    def part(order: Column) -> Column:
+        return F.floor(F.conv(F.substring(order, 1, 4), 16, 10).cast("bigint") * parts / 65_536).cast("int")
+
+    keyed = rows.withColumn("_order", key).withColumn("_part", part(F.col("_order")))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1)
     counts = (
-        rows.select(*dict.fromkeys([*group, *ids])).withColumn("_part", part)
+        rows.select(*dict.fromkeys([*group, *ids])).withColumn("_part", part(key))
         .groupBy(*group, "_part").agg(F.count("*").alias("_n"))
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .withColumn(f"{name}_size", F.sum("_n").over(Window.partitionBy(*group)))
         .drop("_n")
     )
-    inside = Window.partitionBy(*group, "_part").orderBy(
-        F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in ids]), *ids)
+    inside = Window.partitionBy(*group, "_part").orderBy("_order", *ids)
     return (
         keyed.withColumn("_index", F.row_number().over(inside) - 1)
         .join(counts, [*group, "_part"])
         .withColumn(name, (F.col("_start") + F.col("_index")).cast("bigint"))
-        .drop("_part", "_start", "_index")
+        .drop("_part", "_order", "_start", "_index")
     )
 
 

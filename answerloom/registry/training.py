@@ -314,17 +314,70 @@ def _pair_rows(spark, sf_dir):
         F.col("passage_id").alias("row_id"), "article_id", "paragraph_id")
 
 
-@query()
+def _drawn(text):
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+def _rounds(seed):
+    """slots: batch_id, slot, round and article of permutations of all articles, cut into batches."""
+    return {
+        "homes": "SELECT article_id, count(*) AS n, count(DISTINCT paragraph_id) AS n_sheets FROM passages GROUP BY 1",
+        "sizes": f"SELECT (SELECT count(*) FROM homes) // {BATCH} AS per_round, count(*) // {BATCH} AS n_batches "
+                 "FROM passages",
+        "dealt": "SELECT *, row_number() OVER (PARTITION BY round ORDER BY "
+                 f"md5(concat_ws('-', '{seed}', round, article_id))) - 1 AS pos FROM sizes, LATERAL (SELECT "
+                 "unnest(range(CAST(ceil(n_batches / per_round) AS BIGINT))) AS round), homes",
+        "slots": f"SELECT round * per_round + pos // {BATCH} AS batch_id, CAST(pos % {BATCH} AS INT) AS slot, round, "
+                 f"article_id, n, n_sheets FROM dealt WHERE pos // {BATCH} < per_round AND "
+                 f"round * per_round + pos // {BATCH} < n_batches",
+    }
+
+
+def _easy(seed):
+    return {
+        **PASSAGES, **_rounds(seed),
+        "laid": "SELECT passage_id AS row_id, article_id, row_number() OVER (PARTITION BY article_id ORDER BY "
+                f"md5(concat_ws('-', '{seed}', passage_id))) - 1 AS pos FROM passages",
+        "easy": "SELECT batch_id, slot, row_id, s.article_id FROM slots s JOIN laid l ON l.article_id = s.article_id "
+                "AND l.pos = " + _drawn(f"concat_ws('-', '{31 * seed + 1}', round, s.article_id)") + " % n",
+    }
+
+
+def _hard(seed):
+    def drawn(salt, *ids):
+        return _drawn(f"concat_ws('-', '{31 * seed + salt}', {', '.join(ids)})")
+
+    return {
+        **PASSAGES, **_rounds(seed),
+        "sheets": "SELECT article_id, paragraph_id, count(*) AS n_rows, row_number() OVER (PARTITION BY article_id "
+                  f"ORDER BY md5(concat_ws('-', '{seed}', paragraph_id))) - 1 AS sheet FROM passages GROUP BY 1, 2",
+        "laid": "SELECT passage_id AS row_id, article_id, paragraph_id, row_number() OVER (PARTITION BY article_id, "
+                f"paragraph_id ORDER BY md5(concat_ws('-', '{seed}', passage_id))) - 1 AS pos FROM passages",
+        "met": "SELECT o.batch_id, o.slot, o.round, CASE WHEN e.n_sheets > 1 THEN e.article_id ELSE o.article_id END "
+               "AS article_id, CASE WHEN e.n_sheets > 1 THEN e.n_sheets ELSE o.n_sheets END AS n_sheets, "
+               "o.slot % 2 = 1 AND e.n_sheets > 1 AS ahead FROM slots o JOIN slots e ON e.batch_id = o.batch_id AND "
+               "e.slot = o.slot - o.slot % 2",
+        "chosen": "SELECT batch_id, slot, article_id, (" + drawn(2, "round", "article_id") + " % n_sheets + CASE WHEN "
+                  "ahead THEN 1 + " + drawn(3, "round", "article_id") + " % greatest(n_sheets - 1, 1) ELSE 0 END) "
+                  "% n_sheets AS sheet FROM met",
+        "hard": "SELECT batch_id, slot, row_id, c.article_id, s.paragraph_id FROM chosen c JOIN sheets s ON "
+                "s.article_id = c.article_id AND s.sheet = c.sheet JOIN laid l ON l.article_id = c.article_id AND "
+                "l.paragraph_id = s.paragraph_id AND l.pos = " + drawn(4, "batch_id", "slot") + " % n_rows",
+    }
+
+
+@query(with_(_easy(7), "SELECT * FROM easy"))
 def easy_batches(spark, sf_dir):
     return batches.easy_batches(_pair_rows(spark, sf_dir), BATCH)
 
 
-@query()
+@query(with_(_hard(8), "SELECT * FROM hard"))
 def hard_batches(spark, sf_dir):
     return batches.hard_batches(_pair_rows(spark, sf_dir), BATCH)
 
 
-@query()
+@query(f"SELECT *, 7 AS seed FROM ({with_(_easy(7), 'SELECT * FROM easy')}) UNION ALL "
+       f"SELECT batch_id, slot, row_id, article_id, 8 FROM ({with_(_hard(8), 'SELECT * FROM hard')})")
 def epoch_batches(spark, sf_dir):
     """An odd and an even epoch: easy batches, then hard ones."""
     rows = _pair_rows(spark, sf_dir)
@@ -332,10 +385,6 @@ def epoch_batches(spark, sf_dir):
         batches.epoch_batches(rows, BATCH, 8).withColumn("seed", F.lit(8)))
 
 
-def _drawn(text):
-    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
-
-
 def _redrawn(seed):
     """(batch_id, slot, article): the walk of every slot through the keyed permutation."""
     turns = ", ".join(
