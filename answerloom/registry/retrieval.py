@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from answerloom.functions import vectors as V
-from answerloom.operators import ann, contrastive, embedding, graph, metrics, postings, retrieval, scoring, sparse
+from answerloom.operators import (
+    ann, coded, contrastive, embedding, graph, metrics, postings, retrieval, scoring, sparse, streamed)
 from answerloom.operators.stored import shared_folder, written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
@@ -84,6 +85,12 @@ def topk_retrieval_blocks(spark, sf_dir):
                                 broadcast_questions=0, question_block=300, passage_block=400)
 
 
+@query(_TOPK_SQL)
+def topk_streamed(spark, sf_dir):
+    """Stored blocks of questions, one after the other, against passages that stay where they are."""
+    return streamed.top_streamed(written_once(vector_questions(spark, sf_dir)), vectors(spark, sf_dir), 20)
+
+
 def _ranks(spark, sf_dir):
     return contrastive.gold_ranks(vector_pairs(spark, sf_dir), vectors(spark, sf_dir))
 
@@ -317,3 +324,63 @@ def bm25_index_topk(spark, sf_dir):
     postings.write_postings(stored.where(F.col("passage_id") % 3 != 0), path)
     postings.append_postings(stored.where(F.col("passage_id") % 3 == 0), path)
     return postings.search_postings(benchmark_questions(spark, sf_dir), spark, path, 20)
+
+
+# Codebooks by rule: the 256 vectors with the smallest md5 of the id, cut into parts of four components.
+_CODED = {
+    **VECTORS,
+    "books": "SELECT v AS c, row_number() OVER (ORDER BY md5(CAST(passage_id AS VARCHAR)), passage_id) - 1 AS code FROM vec "
+             "QUALIFY code < 256",
+    "part_no": "SELECT unnest(range((SELECT (max(len(v)) + 3) // 4 FROM vec))) AS m",
+    "book_parts": "SELECT m, code, c[4 * m + 1:4 * m + 4] AS c FROM books, part_no",
+    "nearest": "SELECT passage_id, m, arg_min(code, (round(list_dot_product(c, c) - 2 * list_dot_product(v[4 * m + 1:4 * m + 4], "
+               "c), 9), code)) AS code FROM vec JOIN book_parts ON true GROUP BY passage_id, m",
+}
+_CODED_SEARCH = {
+    **_CODED,
+    "known": "SELECT passage_id, flatten(list(c ORDER BY m)) AS c FROM nearest JOIN book_parts USING (m, code) GROUP BY passage_id",
+    "candidates": "SELECT question_id, passage_id FROM qv CROSS JOIN known QUALIFY row_number() OVER (PARTITION BY question_id "
+                  "ORDER BY round(list_dot_product(qv.v, known.c), 9) DESC, passage_id) <= 100",
+}
+
+
+def _codes(spark, sf_dir, rounds):
+    stored = vectors(spark, sf_dir)
+    books = coded.refined_books(stored, coded.rule_books(stored), rounds)
+    return books, written_once(coded.coded(stored, books))
+
+
+@query(with_(_CODED, "SELECT passage_id, string_agg(CAST(code AS VARCHAR), ' ' ORDER BY m) AS codes FROM nearest GROUP BY passage_id"))
+def coded_index(spark, sf_dir):
+    """The stored bytes of every passage, as numbers of centres."""
+    codes = _codes(spark, sf_dir, 0)[1]
+    return codes.select("passage_id", F.array_join(F.transform(
+        "codes", lambda c: (c.cast("int") + 128).cast("string")), " ").alias("codes"))
+
+
+@query(with_(_CODED_SEARCH, "SELECT question_id, CAST(row_number() OVER w AS INT) AS rank, passage_id, score FROM candidates JOIN "
+                            "scored USING (question_id, passage_id) WINDOW w AS (PARTITION BY question_id ORDER BY score DESC, "
+                            "passage_id) QUALIFY row_number() OVER w <= 20"))
+def coded_fixed_search(spark, sf_dir):
+    """The 100 best by codes of codebooks by rule, scored anew."""
+    books, codes = _codes(spark, sf_dir, 0)
+    return coded.coded_search(vector_questions(spark, sf_dir), vectors(spark, sf_dir), codes, books, 20, 100)
+
+
+def _coded_search(spark, sf_dir):
+    asked, stored = written_once(vector_questions(spark, sf_dir)), vectors(spark, sf_dir)
+    books, codes = _codes(spark, sf_dir, coded.ROUNDS)
+    n = coded.fitted_candidates(asked, stored, codes, books, 20)
+    return coded.coded_search(asked, stored, codes, books, 20, n)
+
+
+@query()
+def coded_search(spark, sf_dir):
+    """As many candidates by refined codes as a sample of questions needs for a recall of 0.9."""
+    return _coded_search(spark, sf_dir)
+
+
+@query()
+def coded_recall(spark, sf_dir):
+    exact = scoring.top_passages(vector_questions(spark, sf_dir), vectors(spark, sf_dir), 20)
+    return ann.recall(_coded_search(spark, sf_dir), exact)
