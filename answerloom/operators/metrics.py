@@ -17,6 +17,22 @@ def batch_means(metrics: DataFrame) -> DataFrame:
         (F.sum(F.col("value") * F.col("n_rows")) / F.sum("n_rows")).alias("row_mean"))
 
 
+def item_times(batches: DataFrame, *by: str) -> DataFrame:
+    """Time per item: over all items, and as a mean of the batches' means, in seconds.
+
+    ``batches`` has started, ended and items.  A batch that is not over or has no items counts as a batch,
+    but its time does not.
+    """
+    timed = batches.withColumn("_items", F.when(
+        F.col("started").isNotNull() & F.col("ended").isNotNull() & (F.col("items") > 0), F.col("items")))
+    spent = F.when(F.col("_items").isNotNull(), F.unix_micros(F.col("ended").cast("timestamp"))
+                   - F.unix_micros(F.col("started").cast("timestamp")))
+    return timed.withColumn("_micros", spent).groupBy(*by).agg(
+        F.count("*").alias("n_batches"), F.coalesce(F.sum("_items"), F.lit(0)).alias("n_items"),
+        (F.sum("_micros") / F.sum("_items") / 1_000_000).alias("seconds_per_item"),
+        (F.avg(F.col("_micros") / F.col("_items")) / 1_000_000).alias("batch_mean_seconds"))
+
+
 def argmax_accuracy(scores: DataFrame) -> DataFrame:
     """Share of rows whose best-scored class is the target.
 

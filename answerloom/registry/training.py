@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import text as X
 from answerloom.operators import (
-    answers, batches, chunking, contrastive, numbering, qa, redraw, tokens)
+    answers, batches, chunking, contrastive, metrics, numbering, qa, redraw, tokens)
 from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
@@ -236,6 +236,23 @@ def tokens_per_batch(spark, sf_dir):
     return counted.withColumn("mean_target_length", F.round("mean_target_length", 6))
 
 
+@query("""
+WITH runs AS (SELECT event_type, user_id, CAST(ts AS DATE) AS day, min(ts) AS started, max(ts) AS ended, count(*) AS items
+              FROM events GROUP BY ALL),
+timed AS (SELECT event_type, items, epoch_us(ended) - epoch_us(started) AS micros FROM runs)
+SELECT event_type, count(*) AS n_batches, CAST(sum(items) AS BIGINT) AS n_items,
+       round(sum(micros) / sum(items) / 1000000, 6) AS seconds_per_item,
+       round(avg(micros / items) / 1000000, 6) AS batch_mean_seconds
+FROM timed GROUP BY event_type
+""")
+def time_per_item(spark, sf_dir):
+    """A user's events of one kind and day are a batch that runs from the first to the last."""
+    runs = table(spark, sf_dir, "events").groupBy("event_type", "user_id", F.to_date("ts").alias("day")).agg(
+        F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("items"))
+    return metrics.item_times(runs, "event_type").withColumns(
+        {c: F.round(c, 6) for c in ("seconds_per_item", "batch_mean_seconds")})
+
+
 def _batch_pairs(spark, sf_dir):
     return vector_pairs(spark, sf_dir).withColumn(
         "batch_id", F.floor(F.col("pair_id") / BATCH))
