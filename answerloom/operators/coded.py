@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.operators.retrieval import rescore
-from answerloom.operators.scoring import SCORE_DIGITS, TopK, _matrix, rank_top, score_blocks, top_passages
+from answerloom.operators.scoring import SCORE_DIGITS, TopK, _matrix, best_folded, top_passages
 from answerloom.operators.stored import written_once
 
 WIDTH, CENTRES = 4, 256
@@ -143,7 +143,7 @@ def coded_candidates(questions: DataFrame, codes: DataFrame, books: np.ndarray,
     """The ``n`` best passages of every question by codes: question_id, rank, passage_id, score."""
     first = questions.select(F.size("vector").alias("n")).first()
     fold = CodedTop(n, books, first["n"] if first else 0)
-    return rank_top(score_blocks(questions, codes.withColumnRenamed("codes", "vector"), fold, **layout), n)
+    return best_folded(questions, codes.withColumnRenamed("codes", "vector"), fold, **layout)
 
 
 def coded_search(questions: DataFrame, passages: DataFrame, codes: DataFrame, books: np.ndarray, k: int,

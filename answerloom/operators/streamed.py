@@ -72,4 +72,4 @@ def top_streamed(questions: DataFrame, passages: DataFrame, k: int, most: int =
         shared.destroy()
     if not blocks:
         return rank_top(spark.createDataFrame([], fold.schema), k)
-    return rank_top(spark.read.schema(fold.schema).parquet(f"{path}/best"), k)
+    return rank_top(spark.read.schema(fold.schema).parquet(f"{path}/best"), k, blocks == 1)

@@ -146,3 +146,52 @@ def test_vector_columns(spark):
                                   "a array<float>, b array<float>")
     got = frame.select(V.inner_product(F.col("a"), F.col("b")), V.l2_normalize(F.col("a"))).collect()
     assert [tuple(r) for r in got] == [(11.0, [0.6, 0.8]), (0.0, [0.0, 0.0])]
+
+
+def test_a_table_meets_itself_in_blocks(spark, rows, data):
+    """Both sides of the cogroup come from one table, as in the nearest other vectors of all vectors."""
+    _, passages = data
+    stored = vector_frame(spark, passages, "passage_id")
+    asked = stored.select(F.col("passage_id").alias("question_id"), "vector")
+    got = scoring.top_passages(asked, stored, 5, broadcast_questions=0, question_block=7, passage_block=13)
+    assert rows(got) == exact(passages, passages, 5)
+
+
+def test_blocks_grow_before_they_multiply(spark):
+    """Every block of one side is sent to all blocks of the other, so small blocks must not stay small."""
+    many = spark.range(100_000)
+    assert scoring._parts(many, [], 300).first()["_n"] == scoring.MOST_PARTS
+    assert scoring._parts(many, [], 50_000).first()["_n"] == 2
+    assert scoring._parts(spark.range(30 * scoring.LARGEST_BLOCK), [], 300).first()["_n"] == 30
+    assert scoring._parts(many, [], 1 << 20).first()["_n"] == 1
+
+
+def test_few_scores_are_computed_in_doubles(monkeypatch):
+    draw = np.random.default_rng(5)
+    questions, passages = draw.normal(size=(300, 16)), draw.normal(size=(20_000, 16))
+    seen, add = [], scoring.BestK._merge
+    monkeypatch.setattr(scoring.BestK, "_merge", lambda self, *new: (seen.append(len(new[0])), add(self, *new)))
+    nearest = scoring.Nearest(questions, 10)
+    nearest.add(np.arange(20_000), passages)
+    row, ids, _ = nearest.result()
+    assert sorted(zip(row, ids)) == sorted((q, p) for q, _, p, _ in exact(questions, passages, 10))
+    assert sum(seen) < 300 * 20_000 // 50
+
+
+@pytest.mark.parametrize("factor", [1.0, 2.0 ** -100, 2.0 ** 66, 2.0 ** 600])
+def test_nearest_with_copies_rows_and_long_vectors(factor):
+    draw = np.random.default_rng(6)
+    passages = draw.integers(-3, 4, (4000, 5)).astype(float)
+    passages[1000:3000] = passages[3]
+    questions = draw.integers(-3, 4, (1500, 5)).astype(float) * factor
+    order, asked = draw.permutation(4000), np.flatnonzero(draw.random(1500) < 0.5)
+    nearest = scoring.Nearest(questions, 7)
+    for at in range(0, 4000, 900):
+        ids = order[at:at + 900]
+        nearest.add(ids, passages[ids], asked)
+    row, ids, score = nearest.result()
+    assert set(row) == set(asked)
+    for q in asked[::50]:
+        exact_ = np.round(passages @ questions[q], 9)
+        want = np.lexsort((np.arange(4000), -exact_))[:7]
+        assert (ids[row == q] == want).all() and np.allclose(score[row == q], exact_[want], 1e-12)
