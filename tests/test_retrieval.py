@@ -146,3 +146,26 @@ def test_fixed_cells_have_all_centres_of_the_rule(spark, monkeypatch):
 def test_registered_search_has_its_recall(spark):
     """Eight probes of 44 cells would find about half of the neighbours."""
     assert registry.ann_recall(spark, "/root/testdata/sf0.1").first().recall >= 0.9
+
+
+@pytest.mark.parametrize("most", [None, 17])
+def test_blocks_of_questions_probe_like_single_ones(spark, rows, most):
+    """Probed cells by brute force; a vector is not repeated for its probes."""
+    draw = np.random.default_rng(12)
+    points, asked = draw.integers(-3, 4, (700, 6)).astype(float), draw.normal(size=(60, 6)).round(2)
+    cells = draw.normal(size=(20, 6))
+    stored = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "passage_id long, vector array<double>")
+    questions = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "question_id long, vector array<double>")
+    index = ann.build_index(stored, cells).repartition(3).cache()
+    home = (((cells * cells).sum(axis=1) - 2 * points @ cells.T).round(9)).argmin(axis=1)
+    away = np.argsort(((cells * cells).sum(axis=1) - 2 * asked @ cells.T).round(9), axis=1, kind="stable")
+    for n in (3, 20):
+        want = []
+        for q in range(60):
+            near = np.flatnonzero(np.isin(home, away[q, :n]))
+            score = np.round(points[near] @ asked[q], 9)
+            best = np.lexsort((near, -score))[:8]
+            want += [(q, r + 1, int(near[b]), float(score[b])) for r, b in enumerate(best)]
+        assert rows(ann.search(questions, index, cells, 8, n, most)) == sorted(want, key=repr)
+    laid = ann._with_probes(questions.selectExpr("question_id", "vector", "0 as block"), cells, 20)
+    assert laid.count() == 60
