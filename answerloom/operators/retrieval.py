@@ -33,9 +33,10 @@ def rescore(found: DataFrame, questions: DataFrame, passages: DataFrame, k: int,
             **sizes: int) -> DataFrame:
     """Exact scores of returned (question_id, passage_id) pairs, ranked anew.
 
-    ``questions`` and ``passages`` carry a ``vector``.  Only ids and vectors move.
+    ``questions`` and ``passages`` carry a ``vector``.  Only ids and vectors move.  The pairs are
+    stored, because the search for hot passages and the join would both run the search again.
     """
-    pairs = found.select("question_id", "passage_id").distinct()
+    pairs = written_once(found.select("question_id", "passage_id")).distinct()
     asked = questions.select("question_id", F.col("vector").alias("_q"))
     stored = passages.select("passage_id", F.col("vector").alias("_p"))
     with_p = skew_join(pairs, stored, ["passage_id"], "inner", F.col("question_id"), **sizes)

@@ -117,3 +117,12 @@ def test_few_or_no_rows(spark):
     books = coded.refined_books(none, coded.rule_books(none))
     assert coded.coded_search(asked, none, coded.coded(none, books), books, 5, 5).count() == 0
     assert coded.coded_search(asked.limit(0), one, codes, coded.rule_books(one), 5, 5).count() == 0
+
+
+def test_candidates_are_found_once(tables):
+    """The join and its search for hot passages read stored pairs."""
+    passages, asked = tables
+    books = coded.rule_books(passages)
+    found = coded.coded_search(asked, passages, coded.coded(passages, books), books, 5, 30)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "CoGroup" not in plan
