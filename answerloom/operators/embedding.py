@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from answerloom.functions.text import words
 
 DIMENSIONS = 256
+COUNTED_TEXTS = 1000
 ENCODER_BATCH = 64
 
 
@@ -54,11 +55,11 @@ def hashed_vectors(rows: DataFrame, id_col: str, text_col: str,
                    dimensions: int = DIMENSIONS) -> DataFrame:
     """Default encoder: hashed bag of words, unit length, zero for wordless text.
 
-    Hashing stays in the JVM; the worker only counts slots, one ``bincount`` per
-    Arrow batch.
+    Hashing stays in the JVM; the worker only counts slots, one ``bincount`` for
+    COUNTED_TEXTS of an Arrow batch, which bounds the dense counts it holds.
     """
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, COUNTED_TEXTS) for b in batches for at in range(0, b.num_rows, COUNTED_TEXTS)):
             slots = batch.column(1)
             sizes = slots.value_lengths().to_numpy()
             row = np.repeat(np.arange(len(sizes)), sizes)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,14 +75,15 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
 
     def run(batches):
         tokens, numbers = shared.value
-        known = pd.Index(tokens.to_pandas())  # one hash table for the whole task
+        # Tokens stay in Arrow, as strings of Python they would take some ten times the memory of a worker.
         # The last entry answers what was not found (-1).
         numbers = np.append(numbers.to_numpy(), UNKNOWN).astype(np.int32)
         for batch in batches:
             encoded = batch.columns[:1 + len(keep)]
             for lists in batch.columns[1 + len(keep):]:
                 words = lists.flatten().dictionary_encode()
-                ids = pa.array(numbers[known.get_indexer(words.dictionary.to_pandas())][words.indices.to_numpy()])
+                at = pc.fill_null(pc.index_in(words.dictionary, tokens), -1).to_numpy()
+                ids = pa.array(numbers[at][words.indices.to_numpy()])
                 ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int32)
                 encoded.append(pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], ends]).astype(np.int32)), ids))

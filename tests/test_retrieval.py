@@ -169,3 +169,10 @@ def test_blocks_of_questions_probe_like_single_ones(spark, rows, most):
         assert rows(ann.search(questions, index, cells, 8, n, most)) == sorted(want, key=repr)
     laid = ann._with_probes(questions.selectExpr("question_id", "vector", "0 as block"), cells, 20)
     assert laid.count() == 60
+
+
+def test_counting_in_slices_gives_the_same_vectors(spark, rows, monkeypatch):
+    frame = spark.createDataFrame([(i, f"w{i % 7} w{i}") for i in range(90)], "passage_id long, text string").coalesce(1)
+    whole = rows(embedding.hashed_vectors(frame, "passage_id", "text", 16))
+    monkeypatch.setattr(embedding, "COUNTED_TEXTS", 7)
+    assert rows(embedding.hashed_vectors(frame, "passage_id", "text", 16)) == whole

@@ -95,3 +95,12 @@ def test_training_pairs_stay_aligned(spark, vocab, partitions):
         assert r.context_input_ids == [2, 8, 3, 9, 9, 3, 0, 0]
         assert r.context_token_type_ids == [0, 0, 0, 1, 1, 1, 0, 0]
         assert (r.question_attention_mask, sum(r.context_attention_mask)) == ([1, 1, 1, 0], 6)
+
+
+def test_vocabulary_stays_in_arrow(spark):
+    """No list of Python strings for every worker: pandas is not needed, unknown tokens keep their id."""
+    assert not hasattr(tokens, "pd")
+    vocab = spark.createDataFrame([("a", 8), ("b", 9)], "token string, token_id int")
+    rows_ = spark.createDataFrame([(1, "b a x"), (2, ""), (3, None)], "id long, text string")
+    got = {r["id"]: r["ids"] for r in tokens.encode(rows_, "id", {"ids": ("text", 9)}, vocab).collect()}
+    assert got == {1: [9, 8, tokens.UNKNOWN], 2: [], 3: []}
