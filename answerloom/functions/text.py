@@ -18,12 +18,11 @@ WHITESPACE_RUN = rf" {WHITESPACE}|[\x09-\x0D\x1C-\x1F\x{{85}}\p{{Z}}&&[^ ]]{WHIT
 # outright because \b differs between regex engines outside ASCII.
 # The literal comes first so that the border checks run at candidates only.
 ARTICLE_PATTERN = r"(an?|the)(?![\p{L}\p{N}_])(?<![\p{L}\p{N}_](?:an?|the))"
-# Characters kept by the two whitelist cleaners (Hangul, Latin, digits, with
-# and without punctuation).
-KEEP_WITH_PUNCTUATION = (
-    r"[^ \r\nㄱ-ㅎㅏ-ㅣ가-힣a-zA-Z0-9~₩!@#$%^&*()_+|{}:\"<>?`\-=\\\[\];',./]"
-)
-KEEP_WORDS_ONLY = r"[^0-9a-zA-Zㄱ-ㅎㅏ-ㅣ가-힣]"
+# Characters kept by the two whitelist cleaners (Hangul, Latin, digits, with and without punctuation).
+# ASCII is spelt out: Java looks single characters up in one table, ranges one after the other.
+_WORD_CHARACTERS = string.ascii_letters + string.digits + "ㄱ-ㅎㅏ-ㅣ가-힣"
+KEPT_WORDS = f"[{_WORD_CHARACTERS}]+"
+KEPT_WITH_PUNCTUATION = "[" + _WORD_CHARACTERS + "₩" + "".join("\\" + c for c in PUNCTUATION) + "]+"
 BREAK = r"[\t\n\x0B\f\r ]+"
 WORD_GAP = r"[^\p{L}\p{N}]+"
 TITLE_TAG, TEXT_TAG, QUESTION_TAG, END_TAG = "제목: ", " 글: ", "질문: ", " </s>"
@@ -43,9 +42,12 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def clean_whitelist(text: Column, keep_punctuation: bool = True) -> Column:
-    """Lower-case, blank every character outside the whitelist, collapse."""
-    pattern = KEEP_WITH_PUNCTUATION if keep_punctuation else KEEP_WORDS_ONLY
-    return collapse_spaces(F.regexp_replace(F.lower(text), pattern, " "))
+    """Lower-case, blank every character outside the whitelist, collapse.
+
+    White space is outside as well, so what stays are the runs of kept characters, joined by spaces.
+    """
+    kept = KEPT_WITH_PUNCTUATION if keep_punctuation else KEPT_WORDS
+    return F.array_join(F.regexp_extract_all(F.lower(text), F.lit(kept), F.lit(0)), " ")
 
 
 def strip(text: Column) -> Column:

@@ -23,6 +23,18 @@ def test_whitelist_variants(spark):
     assert one(spark, lambda c: X.clean_whitelist(c, False), "A-b, é 한글 !") == ["a b 한글"]
 
 
+def test_whitelist_reads_kept_runs_once(spark):
+    """Every character against the list, and one pass of a pattern, not one replacement for each refused character."""
+    texts = ["x" + chr(c) + chr(c) + "y" for c in [*range(0x3200), *range(0xAB00, 0xD800), 0x1F600]]
+    spoken = set("abcdefghijklmnopqrstuvwxyz0123456789") | {
+        chr(c) for low, high in ("ㄱㅎ", "ㅏㅣ", "가힣") for c in range(ord(low), ord(high) + 1)}
+    for keep, marks in ((True, set("~₩!@#$%^&*()_+|{}:\"<>?`-=\\[];',./")), (False, set())):
+        kept = spoken | marks
+        want = ["".join(c if c in kept else " " for c in t.lower()) for t in texts]
+        assert one(spark, lambda c: X.clean_whitelist(c, keep), *texts) == [" ".join(w.split()) for w in want]
+        assert "regexp_replace" not in str(X.clean_whitelist(F.col("text"), keep))
+
+
 def test_normalize_fixtures(spark):
     given_, want = zip(("The  Cat's hat!", "cats hat"), ("Ça a l'été", "ça lété"),
                        ("한국 a 글", "한국 글"), ("", ""), ("a\u00a0the x_y", "xy"),
