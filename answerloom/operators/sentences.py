@@ -39,15 +39,20 @@ def _bare(token: Column) -> Column:
 
 
 def neighbours(texts: DataFrame, text_column: str) -> DataFrame:
-    """word, dotted, next, n: how often a word, with or without a period, has which word behind it."""
-    listed = computed_once(texts.select(_tokens(F.col(text_column)).alias("raw")).where(F.size("raw") > 0), "t", F.transform(
-        "raw", lambda t: F.struct(_bare(t).alias("word"), F.endswith(t, F.lit(".")).alias("dotted"))))
-    follow = F.concat(F.slice(F.col("t.word"), 2, F.size("t")), F.array(F.lit("")))
-    pairs = F.arrays_zip(F.col("t.word").alias("word"), F.col("t.dotted").alias("dotted"), follow.alias("next"))
+    """word, dotted, next, n: how often a word occurs, and with a period which word stands behind it.
+
+    Words behind one without a period say nothing to the model; ``next`` is empty there.  Tokens are counted as they
+    stand and only distinct ones are freed of their edges.
+    """
+    listed = computed_once(texts.select(F.col(text_column).alias("text")), "t", _tokens(F.col("text")))
+    follow = F.concat(F.slice("t", 2, F.size("t")), F.array(F.lit("")))
+    pairs = F.arrays_zip(F.col("t").alias("token"), follow.alias("follow"))
+    dotted = F.endswith("token", F.lit("."))
     return (
-        listed.select(F.explode(pairs).alias("p"))
-        .groupBy(F.col("p.word").alias("word"), F.col("p.dotted").alias("dotted"), F.col("p.next").alias("next"))
-        .agg(F.count("*").alias("n"))
+        listed.where(F.size("t") > 0).select(F.explode(pairs).alias("p")).select("p.token", "p.follow")
+        .groupBy("token", F.when(dotted, F.col("follow")).otherwise("").alias("follow")).agg(F.count("*").alias("n"))
+        .groupBy(_bare(F.col("token")).alias("word"), dotted.alias("dotted"), _bare(F.col("follow")).alias("next"))
+        .agg(F.sum("n").alias("n"))
     )
 
 

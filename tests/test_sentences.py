@@ -2,7 +2,7 @@
 
 import pytest
 
-from answerloom.operators.sentences import sentence_model, trained_sentences
+from answerloom.operators.sentences import neighbours, sentence_model, trained_sentences
 
 NAMES = ["Smith", "Jones", "Miller", "Brown", "Clark", "Lewis", "Young", "Hall"]
 FILL = ["walked", "home", "quickly", "yesterday", "morning", "garden", "letter", "window", "river", "market"]
@@ -52,3 +52,12 @@ def test_without_texts(spark):
     nothing = sentence_model(frame)
     assert nothing.count() == 0 and sentence_model(frame.limit(0)).count() == 0
     assert [r["sentences"] for r in trained_sentences(frame, nothing, "doc_id").orderBy("doc_id").collect()] == [None, [""], [" "]]
+
+
+def test_words_without_a_period_are_counted_alone(spark):
+    """Which word follows is kept behind a period only, so rows grow with words and not with pairs of words."""
+    frame = spark.createDataFrame([(1, "One two one. Two (one) two, ONE, ... end."), (2, None), (3, " "), (4, "one. two")],
+                                  "doc_id bigint, text string")
+    got = [tuple(r) for r in neighbours(frame, "text").select("word", "dotted", "next", "n").collect()]
+    assert sorted(got) == [("", True, "end", 1), ("end", True, "", 1), ("one", False, "", 3), ("one", True, "two", 2),
+                           ("two", False, "", 4)]
