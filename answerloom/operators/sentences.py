@@ -38,6 +38,13 @@ def _bare(token: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(token, "^" + EDGE, ""), EDGE + "$", ""))
 
 
+def _outer_word(text: Column, side: int) -> Column:
+    """What stands before the first (1) or behind the last (-1) white space of ``text``."""
+    for space in " \t\n\x0B\f\r":
+        text = F.substring_index(text, space, side)
+    return text
+
+
 def neighbours(texts: DataFrame, text_column: str) -> DataFrame:
     """word, dotted, next, n: how often a word occurs, and with a period which word stands behind it.
 
@@ -122,8 +129,7 @@ def trained_sentences(texts: DataFrame, model: DataFrame, id_column: str, text_c
     rows = written_once(texts.select(
         F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row"),
         F.split(clean_newlines(F.col(text_column)), "(?<=[.!?])" + BREAK, -1).alias("parts")))
-    last = F.element_at(F.split(F.get("parts", F.col("at") - 1), BREAK, -1), -1)
-    first = F.element_at(F.split("part", BREAK, 2), 1)
+    last, first = _outer_word(F.get("parts", F.col("at") - 1), -1), _outer_word(F.col("part"), 1)
     parts = rows.select("row", "parts", F.posexplode("parts").alias("at", "part")).select(
         "row", "at", "part", F.when(F.col("at") > 0, last).alias("last"), _bare(first).alias("next"))
     # Most borders need no look at the model: only those behind a period and a known abbreviation do.

@@ -1,8 +1,9 @@
 """Sentence borders learned from texts with abbreviations."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from answerloom.operators.sentences import neighbours, sentence_model, trained_sentences
+from answerloom.operators.sentences import _outer_word, neighbours, sentence_model, trained_sentences
 
 NAMES = ["Smith", "Jones", "Miller", "Brown", "Clark", "Lewis", "Young", "Hall"]
 FILL = ["walked", "home", "quickly", "yesterday", "morning", "garden", "letter", "window", "river", "market"]
@@ -61,3 +62,12 @@ def test_words_without_a_period_are_counted_alone(spark):
     got = [tuple(r) for r in neighbours(frame, "text").select("word", "dotted", "next", "n").collect()]
     assert sorted(got) == [("", True, "end", 1), ("end", True, "", 1), ("one", False, "", 3), ("one", True, "two", 2),
                            ("two", False, "", 4)]
+
+
+def test_outer_words(spark):
+    texts = ["a b", "a\tb c\x0Bd", " a ", "a\r", "", "one", "a  \fb", None, "x\ny z\n"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    first, last = _outer_word(F.col("x"), 1), _outer_word(F.col("x"), -1)
+    parts = F.split("x", r"[\t\n\x0B\f\r ]+", -1)
+    for r in frame.select("x", first.alias("first"), last.alias("last"), parts.alias("p")).collect():
+        assert (r["first"], r["last"]) == ((r["p"][0], r["p"][-1]) if r["x"] is not None else (None, None))
