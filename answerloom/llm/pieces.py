@@ -57,16 +57,16 @@ class PieceCodec:
             raise ValueError("the model changes texts before it encodes them")
         # Pieces that merging cannot build can never stand in a result.
         self.own = {p: i for p, i in self.id_of.items() if self._merged(p) == [p]}
-        self.shorter: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.own.items():
             self.automaton.add_word(p, i)
         self.automaton.make_automaton()
+        # Lists by id: the encoder reads them for every piece it tries.
+        self.shorter, self.length = [-1] * size, [len(p) for p in self.piece]
         for p, i in self.own.items():
             self.shorter[i] = next((self.own[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.own), -1)
         self.known = re.compile(f"[{re.escape(''.join(sorted(characters)))}]+")
-        self.length = {i: len(p) for p, i in self.own.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # left id * number of pieces + right id
         self.chunks = _Chunks(self)
         self.spelt = [p.replace(MARK, " ").encode() for p in self.piece]
         for b, i in enumerate(self.byte_id):
@@ -89,42 +89,40 @@ class PieceCodec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def compatible(self, left: int, right: int) -> bool:
-        known = self.pairs.get((left, right))
+        key = left * len(self.piece) + right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIRS_HELD:
                 self.pairs.clear()
             a, b = self.piece[left], self.piece[right]
-            known = self.pairs[(left, right)] = self._merged(a + b) == [a, b]
+            known = self.pairs[key] = self._merged(a + b) == [a, b]
         return known
 
     def backtracked(self, text: str) -> list[int]:
         """Ids of a text of known characters."""
         out: list[int] = []
         last = -1
+        pairs, size = self.pairs, len(self.piece)
         for _, piece in self.automaton.iter_long(text):
-            if last >= 0 and not self.compatible(last, piece):
-                return self._searched(text)
+            if last >= 0 and not pairs.get(last * size + piece) and not self.compatible(last, piece):
+                return self._searched(text, out, piece)
             out.append(piece)
             last = piece
         return out
 
-    def _searched(self, text: str) -> list[int]:
-        """The same where taking the longest piece everywhere does not succeed."""
-        n = len(text)
+    def _searched(self, text: str, out: list[int], piece: int) -> list[int]:
+        """The same where taking the longest piece everywhere does not succeed: ``piece`` does not fit behind ``out``."""
+        n, size = len(text), len(self.piece)
         length, shorter, pairs = self.length, self.shorter, self.pairs
-        longest, reach = [-1] * n, [0] * n
-        for end, piece in self.automaton.iter(text):
-            size = length[piece]
-            start = end + 1 - size
-            if size > reach[start]:
-                reach[start], longest[start] = size, piece
-        failed = bytearray((n >> 3) + 1)
-        out: list[int] = []
-        at, piece, last = 0, longest[0], -1
+        longest = [-1] * n
+        for end, found in self.automaton.iter(text):
+            longest[end + 1 - length[found]] = found  # ends rise, so the longest comes last
+        failed = None  # a bit for every position, made when one fails
+        at, last = sum(map(length.__getitem__, out)), out[-1]
         while True:
             end = at + length[piece]
-            if not failed[end >> 3] >> (end & 7) & 1:
-                fits = last < 0 or pairs.get((last, piece))
+            if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                fits = last < 0 or pairs.get(last * size + piece)
                 if fits is None:
                     fits = self.compatible(last, piece)
                 if fits:
@@ -136,6 +134,8 @@ class PieceCodec:
             if shorter[piece] >= 0:
                 piece = shorter[piece]
             else:
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 if not out:
                     raise ValueError("no sequence of compatible pieces")

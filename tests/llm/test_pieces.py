@@ -62,3 +62,13 @@ def test_query_rows(spark, coder):
     back = {(r["doc_id"], r["text"]) for r in decoded(found).collect()}
     assert back == {(i, t or "") for i, t in texts}
     assert encoded(frame.limit(0)).count() == 0
+
+
+def test_search_goes_on_where_the_longest_pieces_stop(coder, monkeypatch):
+    """Pieces found before the first misfit are not looked for again."""
+    begun, search = [], coder._searched
+    monkeypatch.setattr(coder, "_searched", lambda text, out, piece: begun.append(len(out)) or search(text, out, piece))
+    for word in ("thtionerthandinghewh", "ciónueadomiósque", "dieschschbertzenpf", "oferndretihaonble"):
+        text = word * 3
+        assert coder.encode(text).tolist() == coder.library.encode(text, add_bos=True, add_eos=True)
+    assert begun and max(begun) > 1
