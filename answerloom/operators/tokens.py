@@ -57,21 +57,31 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
     ``columns`` maps an output name to (text column, token limit), ``keep`` names
     columns that are passed through.  A vocabulary of
     up to ``broadcast_tokens`` rows is broadcast and looked up batch by batch, so
-    encoding is a narrow step; a larger one meets the tokens in a join.
+    encoding is a narrow step.  Of a larger one the ids below that number are, which a learned
+    vocabulary gives to its most frequent tokens; only places of other tokens meet the rest in a join.
     """
     cut = rows.select(id_col, *keep, *[
         F.slice(token_strings(F.coalesce(text, F.lit(""))), 1, limit).alias(name)
         for name, (text, limit) in columns.items()])
     head = vocab.select("token", "token_id").limit(broadcast_tokens + 1).toArrow()
-    if head.num_rows > broadcast_tokens:
-        # Rows are told apart by a key of their own: ids may repeat or be missing.
-        cut = written_once(cut.withColumn("_row", F.monotonically_increasing_id()))
-        out = cut.select("_row", id_col, *keep)
-        for name in columns:
-            out = out.join(_encode_by_join(cut.select("_row", name), "_row", name, vocab), "_row")
-        return out.select(id_col, *keep, *columns)
-    shared = rows.sparkSession.sparkContext.broadcast(
+    if head.num_rows <= broadcast_tokens:
+        return _looked_up(cut, (id_col, *keep), tuple(columns), head).drop("_missed")
+    frequent = F.coalesce(F.col("token_id") < broadcast_tokens, F.lit(False))
+    head = vocab.where(frequent).select("token", "token_id").toArrow()
+    # Rows are told apart by a key of their own: ids may repeat or be missing.
+    found = written_once(_looked_up(cut.withColumn("_row", F.monotonically_increasing_id()),
+                                    ("_row", id_col, *keep), tuple(columns), head))
+    return _with_rare(found, tuple(columns), vocab.where(~frequent)).select(id_col, *keep, *columns)
+
+
+def _looked_up(cut: DataFrame, keep: tuple[str, ...], names: tuple[str, ...], head: pa.Table) -> DataFrame:
+    """(keep ..., name array<int> ..., _missed): tokens as the ids of ``head``, UNKNOWN for the others.
+
+    ``_missed`` lists the places of the others: number of the column, place and token.
+    """
+    shared = cut.sparkSession.sparkContext.broadcast(
         (head["token"].combine_chunks(), head["token_id"].combine_chunks().cast(pa.int32())))
+    n_keep = len(keep)
 
     def run(batches):
         tokens, numbers = shared.value
@@ -79,31 +89,59 @@ def encode(rows: DataFrame, id_col: str, columns: dict[str, tuple[str, int]], vo
         # The last entry answers what was not found (-1).
         numbers = np.append(numbers.to_numpy(), UNKNOWN).astype(np.int32)
         for batch in batches:
-            encoded = batch.columns[:1 + len(keep)]
-            for lists in batch.columns[1 + len(keep):]:
-                words = lists.flatten().dictionary_encode()
-                at = pc.fill_null(pc.index_in(words.dictionary, tokens), -1).to_numpy()
-                ids = pa.array(numbers[at][words.indices.to_numpy()])
-                ends = np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int32)
-                encoded.append(pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]).astype(np.int32)), ids))
-            yield pa.RecordBatch.from_arrays(encoded, batch.schema.names)
-
-    schema = [f"{name} {cut.schema[name].dataType.simpleString()}" for name in (id_col, *keep)]
-    return cut.mapInArrow(run, ", ".join(schema + [f"{name} array<int>" for name in columns]))
-
-
-def _encode_by_join(cut: DataFrame, id_col: str, name: str, vocab: DataFrame) -> DataFrame:
-    """Unroll, join with frequent tokens dealt out, regroup: at most the token limit
-    of rows per id."""
-    unrolled = skew_join(cut.select(id_col, F.posexplode_outer(name).alias("_at", "token")),
-                         vocab, ["token"], "left", F.col(id_col))
-    known = F.when(F.col("_at").isNotNull(), F.struct(
-        F.col("_at"), F.coalesce("token_id", F.lit(UNKNOWN)).alias("token_id")))
-    return (
-        unrolled.groupBy(id_col).agg(F.array_sort(F.collect_list(known)).alias("_ids"))
-        .select(id_col, F.col("_ids.token_id").alias(name))
-    )
+            lists = batch.columns[n_keep:]
+            sizes = np.array([x.value_lengths().to_numpy() for x in lists])
+            words = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
+            places = words.indices.to_numpy()
+            at = pc.fill_null(pc.index_in(words.dictionary, tokens), -1).to_numpy()[places]
+            ids = numbers[at]
+            encoded, start = batch.columns[:n_keep], 0
+            for size in sizes:
+                encoded.append(_lists(size, pa.array(ids[start:start + size.sum()])))
+                start += size.sum()
+            # Lists follow one another column by column; what was missed goes back to its row.
+            gaps = np.flatnonzero(at < 0)
+            ends = np.cumsum(sizes.ravel())
+            cell = np.searchsorted(ends, gaps, side="right")
+            name, row = np.divmod(cell, batch.num_rows)
+            within = gaps - (ends - sizes.ravel())[cell]
+            order = np.argsort(row, kind="stable")
+            missed = pa.StructArray.from_arrays(
+                [pa.array(name[order].astype(np.int32)), pa.array(within[order].astype(np.int32)),
+                 words.dictionary.take(pa.array(places[gaps[order]]))], ["name", "at", "token"])
+            encoded.append(_lists(np.bincount(row, minlength=batch.num_rows), missed))
+            yield pa.RecordBatch.from_arrays(encoded, [*batch.schema.names, "_missed"])
+
+    schema = [f"{name} {cut.schema[name].dataType.simpleString()}" for name in keep]
+    schema += [f"{name} array<int>" for name in names]
+    return cut.select(*keep, *names).mapInArrow(
+        run, ", ".join([*schema, "_missed array<struct<name: int, at: int, token: string>>"]))
+
+
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+
+
+def _with_rare(found: DataFrame, names: tuple[str, ...], rare: DataFrame) -> DataFrame:
+    """The stored rows with the ids of ``rare`` at missed places; rows without such places stay where they are."""
+    places = found.select("_row", F.explode("_missed").alias("_m")).select("_row", "_m.name", "_m.at", "_m.token")
+    # At most the token limits of all columns per row.
+    known = skew_join(places, rare, ["token"], "inner", F.col("_row")).groupBy("_row").agg(
+        F.collect_list(F.struct("name", "at", "token_id")).alias("_known"))
+    gaps = F.size("_missed") > 0
+    patched = found.where(gaps).join(known, "_row", "left")
+
+    def filled(no: int, name: str) -> Column:
+        own = F.filter("_known", lambda k: k["name"] == no)
+        ids = F.map_from_arrays(F.transform(own, lambda k: k["at"]), F.transform(own, lambda k: k["token_id"]))
+        # The map is made once per row: a one-element list carries it into the walk over the places.
+        walk = F.transform(F.array(ids), lambda m: F.transform(
+            name, lambda x, i: F.coalesce(F.try_element_at(m, i), x)))
+        return F.when(F.size(own) > 0, F.get(walk, F.lit(0))).otherwise(F.col(name)).alias(name)
+
+    rest = [c for c in found.columns if c not in names and c != "_missed"]
+    return found.where(~gaps).select(*rest, *names).unionByName(
+        patched.select(*rest, *[filled(no, name) for no, name in enumerate(names)]))
 
 
 def decode(rows: DataFrame, id_col: str, ids_col: str, vocab: DataFrame, **sizes: int) -> DataFrame:

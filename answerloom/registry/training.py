@@ -10,7 +10,7 @@ from answerloom.operators import (
 from answerloom.operators.stored import written_once
 from answerloom.plans.corpus import passage_input
 from answerloom.registry.base import (
-    benchmark_questions, dialogues, passage_table, predictions, qa_rows, query, table, vector_pairs, vectors)
+    benchmark_questions, dialogues, passage_table, passages, predictions, qa_rows, query, table, vector_pairs, vectors)
 from answerloom.registry.corpus import CHUNKED_QA
 from answerloom.registry.sql import (
     BENCHMARK, DIALOGUES, PASSAGES, PREDICTIONS, QA, VECTORS, batches as sql_batches, encoded, normalized,
@@ -103,7 +103,7 @@ _PAIRS = {
              "array_to_string(list_transform(range(256), lambda k: CASE WHEN k >= len(a) + 2 AND "
              "k < len(a) + len(b) + 3 THEN 1 ELSE 0 END), ' ') AS token_type_ids FROM trimmed"))
 def encode_pairs(spark, sf_dir):
-    titled = passage_table(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
+    titled = passages(spark, sf_dir).withColumn("title", X.decorate_title(F.col("title")))
     rows = tokens.encode_pairs(titled, "passage_id", "title", "text",
                                _document_vocabulary(spark, sf_dir))
     return rows.select("passage_id", *[_ids(c).alias(c) for c in (

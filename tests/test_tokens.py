@@ -104,3 +104,17 @@ def test_vocabulary_stays_in_arrow(spark):
     rows_ = spark.createDataFrame([(1, "b a x"), (2, ""), (3, None)], "id long, text string")
     got = {r["id"]: r["ids"] for r in tokens.encode(rows_, "id", {"ids": ("text", 9)}, vocab).collect()}
     assert got == {1: [9, 8, tokens.UNKNOWN], 2: [], 3: []}
+
+
+def test_only_rare_tokens_meet_a_join(spark, monkeypatch):
+    """A vocabulary over the limit: frequent ids are looked up in place, places of the others alone are unrolled."""
+    vocab = spark.createDataFrame([("</s>", 7), *((f"w{i}", 8 + i) for i in range(40))], "token string, token_id int")
+    texts = {1: "w0 w1 w35 w0 zz w36", 2: "w2 " * 50, 3: "w39", 4: "", 5: None}
+    frame = spark.createDataFrame([(i, t, "w38 w1") for i, t in texts.items()], "id long, x string, y string")
+    met, join = [], tokens.skew_join
+    monkeypatch.setattr(tokens, "skew_join", lambda left, *a: met.append(left.count()) or join(left, *a))
+    small, large = (tokens.encode(frame, "id", {"a": ("x", 60), "b": ("y", 2)}, vocab, limit) for limit in (100, 20))
+    for name in ("a", "b"):
+        assert ids(large, "id", name) == ids(small, "id", name)
+    assert ids(large, "id", "a")[1] == [8, 9, 43, 8, tokens.UNKNOWN, 44]
+    assert met == [9]
