@@ -1,8 +1,9 @@
 """BM25 from a stored inverted index.
 
 The index has one row for every term and slice of the passages: passage ids, term frequencies and passage lengths as
-lists, with the largest frequency and the least length as bounds.  A slice holds a bounded number
-of passages, so the lists of a frequent term are cut into as many parts as there are slices.  Files
+lists, with the largest frequency and the least length as bounds.  The empty word stands for whole passages: its
+lists have all of a slice, with their lengths as frequencies.  A slice holds a bounded number
+of passages and is counted in one task, so the lists of a frequent term are cut into as many parts as there are slices.  Files
 are partitioned by a bucket of the term: a search reads only the buckets of the asked words.
 Appending writes new slices; frequencies of terms, passages and words are summed at search time, so no
 old file changes.
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.text import words
 from answerloom.operators.scoring import SCORE_DIGITS, TopK, rank_top
-from answerloom.operators.skew import computed_once, fits, skew_join
+from answerloom.operators.skew import fits, skew_join
 from answerloom.operators.stored import shared_folder, written_once
 
-SLICE_PASSAGES, BUCKETS = 16_384, 64
+SLICE_PASSAGES, BUCKETS, FILE_SLICES = 16_384, 64, 64
 BROADCAST_TERMS = 500_000
 # Sums of rounded products may differ from the bound by this much; bars give way by it.
 SLACK = 1e-6
@@ -53,25 +54,46 @@ def append_postings(passages: DataFrame, path: str, slice_passages: int = SLICE_
     _write(passages, path, "append", known, slice_passages)
 
 
+def _slice_lists(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The lists of one slice: a row for every word, and one of the empty word with all passages and their lengths."""
+    table = table.sort_by("passage_id")
+    held = table["words"].combine_chunks()
+    ids, lengths = table["passage_id"].to_numpy(), held.value_lengths().to_numpy()
+    words_ = held.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(ids)), lengths)
+    cell, counts = np.unique(words_.indices.to_numpy().astype(np.int64) * len(ids) + row, return_counts=True)
+    term, row = np.divmod(cell, len(ids))
+    # The empty word stands behind all others.
+    none = len(words_.dictionary)
+    term, row = np.append(term, np.full(len(ids), none)), np.append(row, np.arange(len(ids)))
+    counts, lengths = np.append(counts, lengths).astype(np.int32), lengths[row].astype(np.int32)
+    starts = np.flatnonzero(np.diff(term, prepend=-1))
+    ends = pa.array(np.append(starts, len(term)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (ids[row], counts, lengths)]
+    bounds = [pa.array(x) for x in (np.maximum.reduceat(counts, starts), np.minimum.reduceat(lengths, starts),
+                                    np.diff(ends.to_numpy()))]
+    terms = pa.concat_arrays([words_.dictionary, pa.array([""])])
+    return pa.table([pa.array(np.full(len(starts), key[0].as_py())), terms, *lists, *bounds],
+                    [part.split()[0] for part in _LISTS.split(", ")][:-1])
+
+
 def _write(passages: DataFrame, path: str, mode: str, first_slice: int, slice_passages: int) -> None:
-    rows = passages.select("passage_id", "text")
+    spark, rows = passages.sparkSession, passages.select("passage_id", "text")
     slices = max(1, -(-rows.count() // slice_passages))
-    split = computed_once(rows, "words", words(F.coalesce("text", F.lit(""))))
-    counted = (
-        split.select("passage_id", F.size("words").alias("length"), F.explode("words").alias("term"))
-        .groupBy("passage_id", "length", "term").agg(F.count("*").cast("int").alias("count"))
-        .withColumn("slice", F.lit(first_slice) + F.pmod(F.xxhash64("passage_id"), F.lit(slices)))
-    )
-    # A list has at most one entry per passage of its slice.
-    entry = F.struct("passage_id", "count", "length")
-    lists = counted.groupBy("slice", "term").agg(F.array_sort(F.collect_list(entry)).alias("e")).select(
-        "slice", "term", F.col("e.passage_id").alias("passage_ids"), F.col("e.count").alias("counts"),
-        F.col("e.length").alias("lengths"), F.array_max("e.count").alias("most"),
-        F.array_min("e.length").alias("shortest"), F.size("e").alias("n"), _bucket(F.col("term")).alias("bucket"))
-    lists.repartition("bucket", "slice").sortWithinPartitions("bucket", "term").write.mode(mode).partitionBy(
-        "bucket").parquet(f"{path}/lists")
-    split.agg(F.lit(slices).cast("bigint").alias("slices"), F.count("*").alias("passages"),
-              F.coalesce(F.sum(F.size("words")), F.lit(0)).cast("bigint").alias("words")).write.mode(mode).parquet(f"{path}/sums")
+    # Texts move once, to the task of their slice; they are sorted before they are cut into words.
+    dealt = rows.withColumn("slice", F.lit(first_slice).cast("bigint") + F.pmod(F.xxhash64("passage_id"), F.lit(slices)))
+    split = dealt.repartition("slice").sortWithinPartitions("slice").select(
+        "slice", "passage_id", words(F.coalesce("text", F.lit(""))).alias("words"))
+    lists = split.groupBy("slice").applyInArrow(_slice_lists, _LISTS.removesuffix(", bucket int")).withColumn(
+        "bucket", _bucket(F.col("term")))
+    # A file has the lists of FILE_SLICES slices, so their number and size follow the passages, not the tasks.
+    lists.repartition("bucket", F.floor(F.col("slice") / FILE_SLICES)).sortWithinPartitions("bucket", "term").write.mode(
+        mode).partitionBy("bucket").parquet(f"{path}/lists")
+    whole = spark.read.schema(_LISTS).parquet(f"{path}/lists").where(
+        (F.col("bucket") == _bucket(F.lit(""))) & (F.col("term") == "") & (F.col("slice") >= first_slice))
+    words_ = F.aggregate("counts", F.lit(0).cast("bigint"), lambda total, n: total + n)
+    whole.agg(F.lit(slices).cast("bigint").alias("slices"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("passages"),
+              F.coalesce(F.sum(words_), F.lit(0)).cast("bigint").alias("words")).write.mode(mode).parquet(f"{path}/sums")
 
 
 def asked_lists(terms: DataFrame, spark: SparkSession, path: str, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
@@ -104,8 +126,9 @@ def best_of_slice(terms: list[tuple[float, np.ndarray, np.ndarray]], n: int, k:
             begun[places] = True
         read += 1
         score[places] += gains
-        if begun.sum() >= k:
-            open_scores = score[begun]
+        # Sums only grow: the k best of now are among those that reach the last bar.
+        open_scores = score[begun & (score >= bar)]
+        if len(open_scores) >= k:
             bar = max(bar, np.partition(open_scores, len(open_scores) - k)[len(open_scores) - k])
     at = np.flatnonzero(begun)
     at = at[score[at] >= bar - SLACK] if bar > -np.inf else at

@@ -76,3 +76,19 @@ def test_lists_are_left_unread():
         at, score, _ = postings.best_of_slice(terms, 200, 5)
         order = sorted(np.flatnonzero(touched), key=lambda i: (-round(whole[i], 9), i))[:5]
         assert sorted(at, key=lambda i: (-round(dict(zip(at, score))[i], 9), i))[:5] == order
+
+
+def test_files_follow_the_passages_not_the_tasks(spark, texts, tmp_path):
+    """Few slices give one file per bucket, and texts are moved once, not word by word."""
+    path = str(tmp_path / "index")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        postings.write_postings(texts[0], path, slice_passages=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lists = spark.read.parquet(f"{path}/lists")
+    assert len(lists.inputFiles()) == lists.select("bucket").distinct().count() <= postings.BUCKETS
+    whole = lists.where("term = ''").selectExpr("count(*)", "sum(n)", "sum(aggregate(counts, 0, (a, b) -> a + b))").first()
+    sums = spark.read.parquet(f"{path}/sums").first()
+    assert tuple(whole) == (sums["slices"], sums["passages"], sums["words"])
+    assert sums["passages"] == texts[0].count()
