@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.vectors import inner_product
 from answerloom.operators.scoring import (
-    SCORE_DIGITS, CountAbove, NegativeMass, _matrix, merge_mass, score_blocks)
+    SCORE_DIGITS, CountAbove, CountScaledAbove, NegativeMass, _matrix, merge_mass, score_blocks)
 
 # Corpus vectors enter the negative queue scaled by this factor (fixed value), so
 # a positive with a positive score beats its own copy among the negatives.
@@ -63,6 +63,16 @@ def corpus_loss(pairs: DataFrame, passages: DataFrame, temperature: float = 1.0,
     return _losses(gold, negatives, temperature)
 
 
+def corpus_ranks(pairs: DataFrame, passages: DataFrame, negative_scale: float = NEGATIVE_SCALE,
+                 **layout) -> DataFrame:
+    """Rank of the positive of ``corpus_loss`` alone: scores are counted, no exponential is taken."""
+    gold = _scored_gold(pairs)
+    above = score_blocks(gold, passages, CountScaledAbove(negative_scale), **layout).groupBy("question_id").agg(
+        F.sum("above").alias("_above"))
+    return gold.select("question_id").join(above, "question_id", "left").select(
+        "question_id", (F.coalesce("_above", F.lit(0)) + 1).alias("positive_rank"))
+
+
 def _losses(gold: DataFrame, negatives: DataFrame, temperature: float) -> DataFrame:
     """Loss, negatives and the positive's rank; a question without negatives keeps its row."""
     positive = F.col("gold_score") / temperature

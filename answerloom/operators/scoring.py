@@ -277,6 +277,59 @@ class CountAbove:
         return [qids, above]
 
 
+class CountScaledAbove:
+    """How many scaled scores beat gold_score, as NegativeMass counts them, without its sums.
+
+    Single precision with its error bound tells all but the few scores next to the gold one, which are
+    computed in doubles; where many reach it the whole tile is.
+    """
+
+    schema = CountAbove.schema
+
+    def __init__(self, scale: float):
+        self.scale = scale
+
+    def _beats(self, scores: np.ndarray, gold: np.ndarray) -> np.ndarray:
+        return np.round(np.round(scores, SCORE_DIGITS) * self.scale, SCORE_DIGITS) > gold
+
+    def fold(self, table: pa.Table, blocks: Iterator[tuple[np.ndarray, np.ndarray]]):
+        qids, questions = table["question_id"].to_numpy(), _matrix(table["vector"])
+        gold = np.round(table["gold_score"].to_numpy(), SCORE_DIGITS)
+        with np.errstate(over="ignore", under="ignore"):
+            rough, norms = questions.astype(np.float32), np.sqrt((questions * questions).sum(axis=1))
+        above = np.zeros(len(qids), np.int64)
+        for _, passages in blocks:
+            with np.errstate(over="ignore", under="ignore"):
+                rough_passages = passages.astype(np.float32)
+                longest = np.sqrt((passages * passages).sum(axis=1).max())
+            for first in range(0, len(qids), TILE_ROWS):
+                rows = slice(first, first + TILE_ROWS)
+                small = longest < LARGEST_NORM and norms[rows].max() < LARGEST_NORM and self.scale > 0
+                # Beyond the products, two roundings move a score by half a last digit each.
+                error = (passages.shape[1] + 4) * 2.0 ** -23 * longest * norms[rows] + (
+                    (1 + 1 / self.scale) * 10.0 ** -SCORE_DIGITS) if small else None
+                for at in range(0, len(passages), TILE_ROWS):
+                    part = slice(at, at + TILE_ROWS)
+                    above[rows] += self._tile(questions[rows], gold[rows], passages[part], rough[rows],
+                                              rough_passages[part], error)
+        return [qids, above]
+
+    def _tile(self, questions, gold, passages, rough, rough_passages, error) -> np.ndarray:
+        if error is not None:
+            scores = rough @ rough_passages.T
+            low = np.nextafter((gold / self.scale - error).astype(np.float32), np.float32(-np.inf))
+            reach = scores >= low[:, None]
+            if np.count_nonzero(reach) <= scores.size // 8:
+                row, column = np.divmod(np.flatnonzero(reach), len(passages))
+                high = np.nextafter((gold / self.scale + error).astype(np.float32), np.float32(np.inf))
+                beats = scores[row, column] > high[row]
+                near = np.flatnonzero(~beats)
+                exact = np.einsum("ij,ij->i", questions[row[near]], passages[column[near]])
+                beats[near] = self._beats(exact, gold[row[near]])
+                return np.bincount(row[beats], minlength=len(questions))
+        return np.count_nonzero(self._beats(questions @ passages.T, gold[:, None]), axis=1)
+
+
 def _emit(fold, columns) -> pa.Table:
     names = [part.split()[0] for part in fold.schema.split(", ")]
     return pa.table(dict(zip(names, columns)))

@@ -470,8 +470,9 @@ _NEGATIVE_RANKS = {
                               "FROM ranked, (VALUES (1), (5), (10)) t(k) GROUP BY ALL"))
 def negatives_accuracy(spark, sf_dir):
     """Accuracy@k of the positive against the scaled corpus and against the queue."""
-    corpus = contrastive.corpus_loss(vector_pairs(spark, sf_dir), vectors(spark, sf_dir), temperature=0.5)
-    queued = contrastive.queue_loss(_sequence(spark, sf_dir), 64, BATCH, 0.5)
+    pairs = written_once(vector_pairs(spark, sf_dir))
+    corpus = contrastive.corpus_ranks(pairs, vectors(spark, sf_dir))
+    queued = contrastive.queue_loss(pairs.withColumnRenamed("pair_id", "seq"), 64, BATCH, 0.5)
     parts = [
         contrastive.precision_at(losses.withColumnRenamed("positive_rank", "gold_rank"), (1, 5, 10)).select(
             F.lit(name).alias("negatives"), "k", F.round("precision", 6).alias("precision"))

@@ -195,3 +195,22 @@ def test_nearest_with_copies_rows_and_long_vectors(factor):
         exact_ = np.round(passages @ questions[q], 9)
         want = np.lexsort((np.arange(4000), -exact_))[:7]
         assert (ids[row == q] == want).all() and np.allclose(score[row == q], exact_[want], 1e-12)
+
+
+@pytest.mark.parametrize("factor,shift", [(1.0, 0.0), (1e-4, 0.0), (1e16, 0.0), (1.0, 3.0)])
+def test_corpus_ranks_are_those_of_the_loss(spark, factor, shift):
+    """Ranks alone need no exponential: counts agree at ties, tiny, huge and mostly higher scores."""
+    draw = np.random.default_rng(5)
+    passages = np.round(draw.normal(size=(300, 4)) * 2 + shift, 1) * factor
+    passages[50:100] = passages[:50] / 0.999
+    questions = passages + np.roll(passages, 1, axis=0)
+    pairs = spark.createDataFrame([(i, q.tolist(), p.tolist()) for i, (q, p) in enumerate(zip(questions, passages))],
+                                  "pair_id long, question_vector array<double>, passage_vector array<double>")
+    stored = pairs.select(F.col("pair_id").alias("passage_id"), F.col("passage_vector").alias("vector"))
+    want = None
+    for layout in ({}, {"broadcast_questions": 10, "question_block": 64, "passage_block": 90}):
+        got = {r.question_id: r.positive_rank for r in contrastive.corpus_ranks(pairs, stored, **layout).collect()}
+        want = want or {r.question_id: r.positive_rank for r in contrastive.corpus_loss(
+            pairs, stored, temperature=0.5 * factor * factor).collect()}
+        assert got == want
+    assert max(want.values()) > 1
