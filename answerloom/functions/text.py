@@ -24,15 +24,24 @@ _WORD_CHARACTERS = string.ascii_letters + string.digits + "ㄱ-ㅎㅏ-ㅣ가-힣
 KEPT_WORDS = f"[{_WORD_CHARACTERS}]+"
 KEPT_WITH_PUNCTUATION = "[" + _WORD_CHARACTERS + "₩" + "".join("\\" + c for c in PUNCTUATION) + "]+"
 BREAK = r"[\t\n\x0B\f\r ]+"
+# A break behind the end of a sentence; its first character comes first so that the look-behind runs at breaks only.
+SENTENCE_GAP = BREAK[:-1] + "(?<=[.!?]" + BREAK[:-1] + ")" + BREAK[:-1] + "*"
 WORD_GAP = r"[^\p{L}\p{N}]+"
 TITLE_TAG, TEXT_TAG, QUESTION_TAG, END_TAG = "제목: ", " 글: ", "질문: ", " </s>"
 # -------------------------------------------------------------------------
 
 
 def clean_newlines(text: Column) -> Column:
-    """Written and real line breaks become one space, doubled ones first."""
+    """Written and real line breaks become one space, doubled ones first.
+
+    The two kinds share no character, so texts without written ones are not searched for them again.
+    """
     # The breaks, in this order.
-    for mark in ("\\n\\n", "\n\n", "\\n", "\n"):
+    written = text
+    for mark in ("\\n\\n", "\\n"):
+        written = F.replace(written, F.lit(mark), F.lit(" "))
+    text = F.when(F.contains(text, F.lit("\\n")), written).otherwise(text)
+    for mark in ("\n\n", "\n"):
         text = F.replace(text, F.lit(mark), F.lit(" "))
     return text
 
@@ -73,12 +82,15 @@ def words(text: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """Cleaned text with every sentence gap cut to one space; offsets live here."""
-    return F.regexp_replace(clean_newlines(text), "(?<=[.!?])" + BREAK, " ")
+    return F.regexp_replace(clean_newlines(text), SENTENCE_GAP, " ")
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of the canonical text; joined by one space they give it back."""
-    return F.split(clean_newlines(text), "(?<=[.!?])" + BREAK, -1)
+def sentences(text: Column, cleaned: bool = False) -> Column:
+    """Sentences of the canonical text; joined by one space they give it back.
+
+    ``cleaned`` says that the text comes from ``clean_newlines``, which changes nothing a second time.
+    """
+    return F.split(text if cleaned else clean_newlines(text), SENTENCE_GAP, -1)
 
 
 def sentence_lines(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,36 +17,38 @@ MAX_CHARS = 470
 BIN_CHARS = 512
 
 
-def chunk_column(text: Column, max_chars: int = MAX_CHARS, hard_wrap: bool = False) -> Column:
+def chunk_column(text: Column, max_chars: int = MAX_CHARS, hard_wrap: bool = False,
+                 cleaned: bool = False) -> Column:
     """array<struct<start,text>>: sentences packed greedily up to ``max_chars``.
 
     A sentence longer than the limit is a chunk of its own; ``hard_wrap`` then
     cuts it every ``max_chars`` characters.  Starts are offsets in the canonical
-    text.  Empty text gives one empty chunk, NULL gives NULL.
+    text.  Empty text gives one empty chunk, NULL gives NULL.  Only lengths are
+    added up sentence by sentence; texts are joined once per chunk.
     """
-    empty = F.expr("cast(array() as array<struct<start:int,text:string>>)")
-    zero = F.struct(empty.alias("done"), F.lit(None).cast("string").alias("text"),
-                    F.lit(0).alias("start"))
+    empty = F.expr("cast(array() as array<struct<end:int,start:int>>)")
+    zero = F.struct(empty.alias("done"), F.lit(0).alias("start"), F.lit(0).alias("at"), F.lit(0).alias("n"))
 
     def flushed(acc: Column) -> Column:
-        return F.concat(acc["done"], F.array(F.struct(acc["start"].alias("start"),
-                                                      acc["text"].alias("text"))))
+        return F.concat(acc["done"], F.array(F.struct(acc["n"].alias("end"), acc["start"].alias("start"))))
 
     def step(acc: Column, sentence: Column) -> Column:
-        room = F.length(acc["text"]) + F.length(sentence) < max_chars
-        return (
-            F.when(acc["text"].isNull(),
-                   F.struct(acc["done"].alias("done"), sentence.alias("text"),
-                            acc["start"].alias("start")))
-            .when(room,
-                  F.struct(acc["done"].alias("done"),
-                           F.concat(acc["text"], F.lit(" "), sentence).alias("text"),
-                           acc["start"].alias("start")))
-            .otherwise(F.struct(flushed(acc).alias("done"), sentence.alias("text"),
-                                (acc["start"] + F.length(acc["text"]) + 1).alias("start")))
-        )
-
-    chunks = F.aggregate(sentences(text), zero, step, flushed)
+        # ``at`` is where the sentence starts, one behind the end of the chunk so far.
+        room = (acc["n"] == 0) | (acc["at"] - acc["start"] + F.length(sentence) <= max_chars)
+        seen = ((acc["at"] + F.length(sentence) + 1).alias("at"), (acc["n"] + 1).alias("n"))
+        return F.when(room, F.struct(acc["done"].alias("done"), acc["start"].alias("start"), *seen)).otherwise(
+            F.struct(flushed(acc).alias("done"), acc["at"].alias("start"), *seen))
+
+    def joined(parts: Column) -> Column:
+        def packed(ends: Column) -> Column:
+            def chunk(end: Column, i: Column) -> Column:
+                first = F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)["end"])
+                return F.struct(end["start"].alias("start"), F.array_join(
+                    F.slice(parts, first + 1, end["end"] - first), " ").alias("text"))
+            return F.transform(ends, chunk)
+        return _bound(F.aggregate(parts, zero, step, flushed), packed)
+
+    chunks = _bound(sentences(text, cleaned), joined)
     if not hard_wrap:
         return chunks
     piece = F.lit("(?s).{1,%d}" % max_chars)
@@ -58,13 +62,18 @@ def chunk_column(text: Column, max_chars: int = MAX_CHARS, hard_wrap: bool = Fal
     return F.flatten(F.transform(chunks, wrap))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def chunk_articles(articles: DataFrame, max_chars: int = MAX_CHARS,
-                   hard_wrap: bool = False) -> DataFrame:
+                   hard_wrap: bool = False, cleaned: bool = False) -> DataFrame:
     """One row per passage: article_id, paragraph_id, title, start, text."""
     return (
         articles
         .select("article_id", "title",
-                F.posexplode(chunk_column(F.col("text"), max_chars, hard_wrap))
+                F.posexplode(chunk_column(F.col("text"), max_chars, hard_wrap, cleaned))
                 .alias("paragraph_id", "_chunk"))
         .select("article_id", "paragraph_id", "title",
                 F.col("_chunk.start").alias("start"), F.col("_chunk.text").alias("text"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import words
@@ -45,31 +46,40 @@ def _with_vectors(name: str, ids: pa.Array, matrix: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([ids, vectors], [name, "vector"])
 
 
-def word_slots(text: Column, dimensions: int = DIMENSIONS) -> Column:
-    """Vector slot of every word: leading 32 bits of its MD5, modulo the size."""
-    return F.transform(words(text), lambda w: (
-        F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dimensions).cast("int"))
+def word_slots(words: pa.Array, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Vector slot of every word: leading 32 bits of its MD5, modulo the size; equal words are hashed once."""
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    digests = b"".join([hashlib.md5(w, usedforsecurity=False).digest() for w in distinct])
+    return (np.frombuffer(digests, ">u4")[::4].astype(np.int64) % dimensions)[coded.indices.to_numpy()]
 
 
-def hashed_vectors(rows: DataFrame, id_col: str, text_col: str,
-                   dimensions: int = DIMENSIONS) -> DataFrame:
-    """Default encoder: hashed bag of words, unit length, zero for wordless text.
+def word_vectors(rows: DataFrame, id_col: str, words_col: str, dimensions: int = DIMENSIONS) -> DataFrame:
+    """Hashed bag of the words in a list column, unit length, zero for no words or no list.
 
-    Hashing stays in the JVM; the worker only counts slots, one ``bincount`` for
-    COUNTED_TEXTS of an Arrow batch, which bounds the dense counts it holds.
+    The worker hashes the distinct words of an Arrow batch and counts slots, one ``bincount``
+    for COUNTED_TEXTS of its rows, which bounds the dense counts it holds.
     """
     def run(batches):
-        for batch in (b.slice(at, COUNTED_TEXTS) for b in batches for at in range(0, b.num_rows, COUNTED_TEXTS)):
-            slots = batch.column(1)
-            sizes = slots.value_lengths().to_numpy()
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            flat = slots.flatten().to_numpy()
-            counts = np.bincount(row * dimensions + flat, minlength=len(sizes) * dimensions)
-            matrix = counts.reshape(len(sizes), dimensions).astype(np.float64)
-            length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            matrix = matrix / np.where(length > 0, length, 1.0)
-            yield _with_vectors(id_col, batch.column(0), matrix.astype(np.float32))
-
-    slots = rows.select(id_col, word_slots(F.coalesce(text_col, F.lit("")), dimensions)
-                        .alias("slots"))
-    return slots.mapInArrow(run, f"{id_col} bigint, vector array<float>")
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            slots = word_slots(batch.column(1).flatten(), dimensions)
+            for at in range(0, batch.num_rows, COUNTED_TEXTS):
+                n = min(COUNTED_TEXTS, batch.num_rows - at)
+                row = np.repeat(np.arange(n), sizes[at:at + n])
+                counts = np.bincount(row * dimensions + slots[ends[at]:ends[at + n]], minlength=n * dimensions)
+                matrix = counts.reshape(n, dimensions).astype(np.float64)
+                length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+                matrix = matrix / np.where(length > 0, length, 1.0)
+                yield _with_vectors(id_col, batch.column(0).slice(at, n), matrix.astype(np.float32))
+
+    none = F.expr("cast(array() as array<string>)")
+    return rows.select(id_col, F.coalesce(words_col, none).alias("words")).mapInArrow(
+        run, f"{id_col} bigint, vector array<float>")
+
+
+def hashed_vectors(rows: DataFrame, id_col: str, text_col: str,
+                   dimensions: int = DIMENSIONS) -> DataFrame:
+    """Default encoder: hashed bag of words, unit length, zero for wordless text."""
+    return word_vectors(rows.select(id_col, words(F.col(text_col)).alias("words")), id_col, "words", dimensions)

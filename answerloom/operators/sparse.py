@@ -5,8 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,10 +23,11 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
              broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     """Top ``k`` passages per question (Robertson and Zaragoza 2009).
 
-    ``questions``: question_id, text; ``passages``: passage_id, text, best a stored
-    table, since it is read for the term statistics and again for the scores.
+    ``questions``: question_id, text; ``passages``: passage_id and text, or in its place
+    the list ``words``, best a stored table, since it is read for the term statistics
+    and again for the scores.
 
-    Question terms are broadcast with their weights and every scan task scores its own
+    Question terms are broadcast with their weights and every scan task counts and scores its own
     passages; no text is shuffled, a frequent word costs time, never one task, and only the
     best ``k`` per question and task leave it.  More than ``broadcast_terms`` question terms
     are dealt into blocks of whole questions, and each block is one scan.  Every passage
@@ -36,19 +37,21 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
         questions.select("question_id", F.explode(words(F.col("text"))).alias("term"))
         .groupBy("question_id", "term").agg(F.count("*").alias("qtf"))
     )
-    split = computed_once(passages.select("passage_id", "text"), "words",
-                          words(F.coalesce("text", F.lit(""))))
+    if "words" in passages.columns:
+        split = passages.select("passage_id", F.coalesce("words", F.expr("cast(array() as array<string>)")).alias("words"))
+    else:
+        split = computed_once(passages.select("passage_id", "text"), "words", words(F.coalesce("text", F.lit(""))))
     blocks = 1 if fits(asked, broadcast_terms) else -(-asked.count() // max(1, broadcast_terms))
     # The empty term stands for the whole passage: its document frequency is the
     # number of passages and its length sum the corpus length, all from one scan.
-    terms = split.select(F.explode(F.concat(F.array_distinct("words"), F.array(F.lit(""))))
-                         .alias("term"), F.size("words").alias("length"))
     if blocks == 1:
-        used = asked.select("term").distinct().unionByName(
-            asked.sparkSession.sql("SELECT '' AS term"))
-        terms = terms.join(F.broadcast(used), "term")
-    counts = written_once(terms.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("length").alias("words")))
+        counted = _counted_by_scan(split, asked.select("term").distinct().toArrow()["term"])
+    else:
+        counted = (
+            split.select(F.explode(F.concat(F.array_distinct("words"), F.array(F.lit("")))).alias("term"),
+                         F.size("words").alias("length"))
+            .groupBy("term").agg(F.count("*").alias("df"), F.sum("length").alias("words")))
+    counts = written_once(counted)
     whole = counts.where(F.col("term") == "").first()
     n, mean = (whole["df"], whole["words"] / whole["df"]) if whole else (0, 0.0)
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -62,6 +65,38 @@ def bm25_top(questions: DataFrame, passages: DataFrame, k: int, k1: float = 1.2,
     return rank_top(reduce(DataFrame.unionByName, scored), k)
 
 
+def _cells(column: pa.Array, terms: pa.Array) -> tuple[np.ndarray, ...]:
+    """Number of words of every row, then row, number in ``terms`` and count of the terms it holds."""
+    sizes = column.value_lengths().to_numpy()
+    listed = column.flatten()
+    term = pc.fill_null(pc.index_in(listed, value_set=terms.cast(listed.type)), -1).to_numpy()
+    row = np.repeat(np.arange(len(sizes)), sizes)[term >= 0]
+    cell, tf = np.unique(row * len(terms) + term[term >= 0], return_counts=True)
+    return sizes, *np.divmod(cell, max(1, len(terms))), tf
+
+
+def _counted_by_scan(split: DataFrame, terms: pa.ChunkedArray) -> DataFrame:
+    """term, df, words (its passages' lengths) of the given terms and of the empty one, added up in every task."""
+    shared = split.sparkSession.sparkContext.broadcast(terms.combine_chunks())
+
+    def run(batches):
+        terms = shared.value
+        df, length = np.zeros(len(terms) + 1, np.int64), np.zeros(len(terms) + 1, np.int64)
+        for batch in batches:
+            sizes, row, term, _ = _cells(batch.column(1), terms)
+            df[:-1] += np.bincount(term, minlength=len(terms))
+            length[:-1] += np.bincount(term, sizes[row], len(terms)).astype(np.int64)
+            df[-1] += len(sizes)
+            length[-1] += sizes.sum(dtype=np.int64)
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([terms.cast(pa.string()), pa.array([""])]).take(pa.array(held)), pa.array(df[held]),
+             pa.array(length[held])], ["term", "df", "words"])
+
+    parts = split.select("passage_id", "words").mapInArrow(run, "term string, df bigint, words bigint")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words"))
+
+
 def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1: float,
                    b: float) -> DataFrame:
     """Broadcast term weights as rows of a sparse matrix, fold the best ``k``.
@@ -77,16 +112,11 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
 
     def run(batches):
         terms, starts, qids, columns, values = shared.value
-        known = pd.Index(terms.to_pandas())  # one hash table for the whole task
         fans = np.diff(starts)
         best = BestK(len(qids), k)
         for batch in batches if len(qids) else ():
             pids = batch.column(0).to_numpy()
-            sizes = batch.column(1).value_lengths().to_numpy()
-            term = known.get_indexer(batch.column(1).flatten().to_pandas())
-            row = np.repeat(np.arange(len(sizes)), sizes)[term >= 0]
-            cell, tf = np.unique(row * len(terms) + term[term >= 0], return_counts=True)
-            row, term = np.divmod(cell, len(terms))
+            sizes, row, term, tf = _cells(batch.column(1), terms)
             gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[row] / mean))
             fan = fans[term]
             # Cut where a row begins and the entries so far fill a slice.
@@ -96,9 +126,8 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
                 source = np.repeat(cells, many)
                 entry = starts[term][source] + np.arange(len(source)) - np.repeat(
                     np.cumsum(many) - many, many)
-                pair, at = np.unique(row[source] * len(qids) + columns[entry], return_inverse=True)
-                score = np.bincount(at, weights=values[entry] * gain[source], minlength=len(pair))
-                passage, question = np.divmod(pair, len(qids))
+                passage, question, score = _pair_sums(row[source], columns[entry], len(qids),
+                                                      values[entry] * gain[source])
                 best.add_cells(question, pids[passage], np.round(score, SCORE_DIGITS))
         yield pa.RecordBatch.from_arrays(
             [pa.array(qids[best.row]), pa.array(best.pid), pa.array(best.score)],
@@ -107,6 +136,26 @@ def _score_by_scan(split: DataFrame, weights: pa.Table, mean: float, k: int, k1:
     return split.select("passage_id", "words").mapInArrow(run, TopK.schema)
 
 
+def _pair_sums(row: np.ndarray, column: np.ndarray, columns: int, value: np.ndarray):
+    """Sums of the values of equal (row, column): row, column, sum, for pairs that occur.
+
+    Where the entries fill a good part of the table from first to last row, they are added up in
+    that table; elsewhere only pairs that occur are held.
+    """
+    if not len(row):
+        return row, column, value
+    first = row.min()
+    pair, space = (row - first) * columns + column, int(row.max() - first + 1) * columns
+    if space <= 4 * len(pair):
+        found = np.flatnonzero(np.bincount(pair, minlength=space))
+        total = np.bincount(pair, weights=value, minlength=space)[found]
+    else:
+        found, at = np.unique(pair, return_inverse=True)
+        total = np.bincount(at, weights=value, minlength=len(found))
+    row, column = np.divmod(found, columns)
+    return row + first, column, total
+
+
 def unpack_sparse(results: DataFrame) -> DataFrame:
     """Stored sparse results (parallel ``ids`` and ``scores`` lists) as ranked rows."""
     return (

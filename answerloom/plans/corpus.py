@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from answerloom.functions.ids import passage_id
-from answerloom.functions.text import clean_newlines, decorate_title
+from answerloom.functions.text import clean_newlines, decorate_title, words
 from answerloom.operators import chunking, dedup, qa
 from answerloom.operators.skew import use_all_cores
 from answerloom.sources.tables import write_splits, write_table
@@ -22,7 +22,7 @@ def clean_articles(articles: DataFrame) -> DataFrame:
 def build_passages(articles: DataFrame, max_chars: int = chunking.MAX_CHARS,
                    hard_wrap: bool = False) -> DataFrame:
     """Distinct passages with a packed ``passage_id``."""
-    passages = chunking.chunk_articles(clean_articles(articles), max_chars, hard_wrap)
+    passages = chunking.chunk_articles(clean_articles(articles), max_chars, hard_wrap, cleaned=True)
     return dedup.dedup_passages(passages).withColumn(
         "passage_id", passage_id(F.col("article_id"), F.col("paragraph_id")))
 
@@ -33,6 +33,17 @@ def passage_input(passages: DataFrame) -> DataFrame:
                            .alias("text"))
 
 
+def passage_words(passages: DataFrame) -> DataFrame:
+    """passage_id, title and the words of the text, for plans that read the words several times."""
+    return passages.select("passage_id", "title", words(F.col("text")).alias("words"))
+
+
+def input_words(passages: DataFrame) -> DataFrame:
+    """passage_id and the words of ``passage_input``, from ``passage_words``: no word goes over the title's tag."""
+    return passages.select("passage_id", F.concat(words(decorate_title(F.col("title"))), F.col("words"))
+                           .alias("words"))
+
+
 def pair_rows(qa_rows: DataFrame, articles: DataFrame) -> DataFrame:
     """QA rows with repaired article ids, cut to the passage holding the answer.
 
@@ -48,7 +59,7 @@ def write_corpus(spark: SparkSession, articles: DataFrame, qa_rows: DataFrame,
     """The whole corpus build; stages with several readers are written once."""
     write_table(clean_articles(articles), f"{out}/articles")
     kept = spark.read.parquet(f"{out}/articles")
-    passages = dedup.dedup_passages(chunking.chunk_articles(kept)).withColumn(
+    passages = dedup.dedup_passages(chunking.chunk_articles(kept, cleaned=True)).withColumn(
         "passage_id", passage_id(F.col("article_id"), F.col("paragraph_id")))
     write_table(passages, f"{out}/passages")
     cleaned_qa = qa_rows.withColumn("raw_context", F.col("context")).withColumn(

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.operators import embedding, retrieval, scoring
-from answerloom.plans.corpus import passage_input
+from answerloom.plans.corpus import input_words, passage_input
 
 
 def dense_retrieval(questions: DataFrame, passages: DataFrame, k: int,
                     dimensions: int = embedding.DIMENSIONS) -> DataFrame:
-    """question_id, rank, passage_id, score with the built-in encoder."""
+    """question_id, rank, passage_id, score with the built-in encoder.
+
+    ``passages`` may come from ``passage_words``, with a ``words`` column in place of the text.
+    """
     asked = embedding.hashed_vectors(questions, "question_id", "text", dimensions)
-    stored = embedding.hashed_vectors(passage_input(passages), "passage_id", "text", dimensions)
+    if "words" in passages.columns:
+        stored = embedding.word_vectors(input_words(passages), "passage_id", "words", dimensions)
+    else:
+        stored = embedding.hashed_vectors(passage_input(passages), "passage_id", "text", dimensions)
     return scoring.top_passages(asked, stored, k)
 
 

@@ -14,7 +14,7 @@ from answerloom.functions import vectors as V
 from answerloom.operators import (
     ann, coded, contrastive, embedding, graph, metrics, postings, retrieval, scoring, sparse, streamed)
 from answerloom.operators.stored import shared_folder, written_once
-from answerloom.plans.corpus import passage_input
+from answerloom.plans.corpus import passage_input, passage_words
 from answerloom.plans.retrieve import dense_retrieval, retrieved_passages as _retrieved
 from answerloom.registry.base import (
     benchmark_questions, passage_table, passages, query, table, vector_pairs, vector_questions, vectors)
@@ -167,7 +167,7 @@ def _fused(score):
 
 
 def _both_lists(spark, sf_dir):
-    asked, stored = benchmark_questions(spark, sf_dir), passage_table(spark, sf_dir)
+    asked, stored = benchmark_questions(spark, sf_dir), written_once(passage_words(passages(spark, sf_dir)))
     return dense_retrieval(asked, stored, 50), sparse.bm25_top(asked, stored, 50)
 
 

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from answerloom.functions.text import canonical, canonical_offset
+from answerloom.functions.text import canonical, canonical_offset, clean_newlines
 from answerloom.operators import chunking
 
 
@@ -58,6 +58,23 @@ def test_random_texts_match_the_rule_and_join_back(spark):
         assert " ".join(t for _, t in chunks) == row["canon"]
 
 
+def test_cleaned_texts_are_not_cleaned_again(spark):
+    """Written and real breaks in all mixtures; a cleaned text gives the same chunks, missing ones none."""
+    draw = random.Random(4)
+    texts = ["".join(draw.choice(["\\n", "\n", "\\", "n", ".", "é", " "]) for _ in range(draw.randrange(0, 200)))
+             for _ in range(200)]
+    frame = spark.createDataFrame([*enumerate(texts), (200, None)], "i int, x string")
+    cleaned = clean_newlines(F.col("x"))
+    got = frame.select("i", chunking.chunk_column(F.col("x"), 20).alias("c"), cleaned.alias("x")).select(
+        "i", "c", chunking.chunk_column(F.col("x"), 20, cleaned=True).alias("again")).collect()
+    for row in got:
+        assert row["c"] == row["again"]
+        assert row["i"] == 200 or [(c["start"], c["text"]) for c in row["c"]] == python_chunks(texts[row["i"]], 20)
+    assert len(got) == 201 and got[200]["c"] is None
+    plan = str(frame.select(chunking.chunk_column(F.col("x"), cleaned=True))._jdf.queryExecution().analyzed())
+    assert "split(" in plan and "replace(" not in plan
+
+
 def test_wrapped_pieces_keep_the_whole_text(spark):
     text = "".join(random.Random(4).choice("abc") for _ in range(5001))
     pieces = chunk_texts(spark, text, max_chars=100, hard_wrap=True)

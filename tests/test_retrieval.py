@@ -1,11 +1,14 @@
 import collections
+import hashlib
 import math
 import random
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from answerloom.plans import corpus, retrieve
 from answerloom.registry import retrieval as registry
 from answerloom.operators import ann, embedding, retrieval, scoring, sparse
 
@@ -176,3 +179,48 @@ def test_counting_in_slices_gives_the_same_vectors(spark, rows, monkeypatch):
     whole = rows(embedding.hashed_vectors(frame, "passage_id", "text", 16))
     monkeypatch.setattr(embedding, "COUNTED_TEXTS", 7)
     assert rows(embedding.hashed_vectors(frame, "passage_id", "text", 16)) == whole
+
+
+def test_dense_and_bm25_lists_read_the_words_of_a_passage_once(spark, monkeypatch):
+    """Both lists come from one stored table of words; texts are split when it is written."""
+    stored = []
+    monkeypatch.setattr(registry, "passages", lambda *a: spark.createDataFrame(
+        [(i, "T", f"w{i} common x{i % 3}") for i in range(60)], "passage_id long, title string, text string"))
+    monkeypatch.setattr(registry, "benchmark_questions", lambda *a: spark.createDataFrame(
+        [(1, "w7 common"), (2, "x1")], "question_id long, text string"))
+    written = registry.written_once
+    monkeypatch.setattr(registry, "written_once", lambda rows: stored.append(written(rows)) or stored[-1])
+    dense, ranked = registry._both_lists(spark, "")
+    assert [t.columns for t in stored] == [["passage_id", "title", "words"]]
+    assert dense.where("question_id = 1 and rank = 1").first()["passage_id"] == 7
+    assert ranked.where("question_id = 1 and rank = 1").first()["passage_id"] == 7
+
+
+def test_stored_words_give_the_lists_of_the_texts(spark, rows):
+    """Titles and texts missing, empty, and ending where the title's tag begins; repeated and absent words."""
+    texts = [("A b", "Ab, c  ab."), (None, "ab c"), ("", ""), ("ab", None), ("ΑΣ", "Σ ab\u0301 É 12"), ("x.", "...")] * 40
+    passages = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "passage_id long, title string, text string")
+    asked = spark.createDataFrame([(1, "ab c"), (2, "É ας σ"), (3, None), (4, "absent"), (5, "c c x")],
+                                  "question_id long, text string")
+    listed = corpus.passage_words(passages)
+    assert rows(retrieve.dense_retrieval(asked, listed, 200, 16)) == rows(retrieve.dense_retrieval(asked, passages, 200, 16))
+    for limit in (100, 2):
+        assert rows(sparse.bm25_top(asked, listed, 200, broadcast_terms=limit)) == rows(
+            sparse.bm25_top(asked, passages, 200, broadcast_terms=limit))
+
+
+def test_equal_words_are_hashed_once(monkeypatch):
+    calls, md5 = [], hashlib.md5
+    monkeypatch.setattr(embedding.hashlib, "md5", lambda w, **k: calls.append(w) or md5(w, **k))
+    slots = embedding.word_slots(pa.array(["b", "a", "b", "글"] * 5), 100)
+    assert sorted(calls) == sorted(w.encode() for w in ("a", "b", "글"))
+    assert slots.tolist() == [int(md5(w.encode()).hexdigest()[:8], 16) % 100 for w in ["b", "a", "b", "글"] * 5]
+    assert embedding.word_slots(pa.array([], pa.string()), 100).tolist() == []
+
+
+@pytest.mark.parametrize("columns", [3, 100_000])
+def test_sums_of_pairs(columns):
+    """A well filled table and one that would not fit give the sums of the pairs that occur, zeros included."""
+    row, column = np.array([5, 5, 9, 9, 9, 5]), np.array([2, 0, 1, 1, 2, 2])
+    got = sparse._pair_sums(row, column, columns, np.array([1.0, 0.0, 2.0, 4.0, 8.0, 16.0]))
+    assert list(zip(*(x.tolist() for x in got))) == [(5, 0, 0.0), (5, 2, 17.0), (9, 1, 6.0), (9, 2, 8.0)]
