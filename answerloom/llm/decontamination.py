@@ -120,14 +120,14 @@ def hits(rows: DataFrame, items: DataFrame, width: int = WINDOW, item_column: st
     at = _window_at(F.col("index"), F.col("n"), F.size("words"), lengths)
     same = F.array_join(F.slice("words", F.col("at") + 1, F.col("n")), " ") == F.col("wanted")
     real = F.col("window") >= 0
-    found = (
-        met.select("row", "doc_id", "words", "window", "n", "wanted", at.alias("at"))
-        .where(~real | ((F.col("at") >= 0) & same))
-        .groupBy("row", "doc_id").agg(
-            F.max(F.size("words")).alias("n_words"),
-            F.array_sort(F.collect_set(F.when(real, F.col("at").cast("bigint") * 16 + F.col("n")))).alias("spans"),
-            F.array_sort(F.collect_set(F.when(real, F.col("window")))).alias("windows"))
-    )
+    # The words end here: an aggregate that reads them would sort them with its rows.
+    hit = computed_once(
+        met.withColumn("at", at).where(~real | ((F.col("at") >= 0) & same)), "hit",
+        F.struct(F.size("words").alias("n_words"), F.when(real, F.col("at").cast("bigint") * 16 + F.col("n")).alias("span"),
+                 F.when(real, F.col("window")).alias("window"))).select("row", "doc_id", "hit")
+    found = hit.groupBy("row", "doc_id").agg(
+        F.max("hit.n_words").alias("n_words"), F.array_sort(F.collect_set("hit.span")).alias("spans"),
+        F.array_sort(F.collect_set("hit.window")).alias("windows"))
     return found, listed.join(known.select("window", "n", F.col("wanted").alias("text")), ["n", "text"]).select(
         "window", "item_id")
 

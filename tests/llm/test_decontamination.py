@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from answerloom.llm.decontamination import contamination, decontaminated
+from answerloom.llm.decontamination import contamination, decontaminated, hits
 
 DOCS = "doc_id bigint, text string, row int, words string"
 ITEMS = "item_id bigint, text string, window string"
@@ -89,3 +89,14 @@ def test_one_passage_in_most_documents(spark):
     got = sorted((tuple(r) for r in contamination(spark.createDataFrame(rows, DOCS).repartition(5),
                                                    spark.createDataFrame(items, ITEMS)).collect()), key=repr)
     assert got == brute(rows, items)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_aggregate_reads_no_words(spark, limit):
+    """Hits are sorted and spilled where they are gathered; the words of whole texts must not be."""
+    docs, items = spark.createDataFrame(DOC_ROWS, DOCS), spark.createDataFrame(ITEM_ROWS, ITEMS)
+    found = hits(docs.select("row", "doc_id", "text"), items, broadcast_windows=limit)[0]
+    plan = found._jdf.queryExecution().optimizedPlan()
+    read = plan.children().head().output()
+    assert plan.nodeName() == "Aggregate"
+    assert {read.apply(i).name() for i in range(read.size())} == {"row", "doc_id", "hit"}
