@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.operators.retrieval import rescore
-from answerloom.operators.scoring import SCORE_DIGITS, TopK, _matrix, best_folded, top_passages
+from answerloom.operators.held import BLOCK_ROWS, block_count, emitted, packed, past_held, unpacked
+from answerloom.operators.retrieval import rescore, rescore_held
+from answerloom.operators.scoring import (
+    BROADCAST_QUESTIONS, SCORE_DIGITS, TopK, _matrix, best_folded, few_questions, rank_top, top_passages)
 from answerloom.operators.stored import written_once
 
 WIDTH, CENTRES = 4, 256
@@ -139,18 +141,36 @@ class CodedTop(TopK):
         return super().fold(table, looked_up())
 
 
-def coded_candidates(questions: DataFrame, codes: DataFrame, books: np.ndarray, n: int, **layout) -> DataFrame:
-    """The ``n`` best passages of every question by codes: question_id, rank, passage_id, score."""
+def coded_candidates(questions: DataFrame, codes: DataFrame, books: np.ndarray, n: int,
+                     broadcast_questions: int = BROADCAST_QUESTIONS, question_block: int = BLOCK_ROWS, **layout) -> DataFrame:
+    """The ``n`` best passages of every question by codes: question_id, rank, passage_id, score.
+
+    More questions than may be broadcast are held in blocks while the codes stream past.
+    """
     first = questions.select(F.size("vector").alias("n")).first()
     fold = CodedTop(n, books, first["n"] if first else 0)
-    return best_folded(questions, codes.withColumnRenamed("codes", "vector"), fold, **layout)
+    stored = codes.withColumnRenamed("codes", "vector")
+    if few_questions(questions, broadcast_questions):
+        return best_folded(questions, stored, fold, broadcast_questions=broadcast_questions, **layout)
+
+    def run(table: pa.Table, batches):
+        found = fold.fold(table, ((b.column(0).to_numpy(), unpacked(b.column(1), np.int8)) for b in batches))
+        yield from emitted(pa.table(dict(zip(("question_id", "passage_id", "score"), found))))
+
+    asked = questions.select("question_id", F.col("vector").cast("array<double>").alias("vector"))
+    blocks = block_count(asked.count(), n, question_block)
+    passing = packed(codes.select("passage_id", F.col("codes").cast("array<tinyint>").alias("codes")), "codes")
+    return rank_top(past_held(asked, passing, run, TopK.schema, blocks), n, False)
 
 
 def coded_search(questions: DataFrame, passages: DataFrame, codes: DataFrame, books: np.ndarray, k: int,
                  n_candidates: int, **layout) -> DataFrame:
     """Approximate top ``k`` with exact scores: the best ``n_candidates`` by codes, scored anew from their vectors."""
-    found = coded_candidates(questions, codes, books, max(k, n_candidates), **layout)
-    return rescore(found, questions, passages, k)
+    n = max(k, n_candidates)
+    found = coded_candidates(questions, codes, books, n, **layout)
+    if few_questions(questions, layout.get("broadcast_questions", BROADCAST_QUESTIONS)):
+        return rescore(found, questions, passages, k)
+    return rescore_held(found, questions, passages, k, n, layout.get("question_block", BLOCK_ROWS))
 
 
 def fitted_candidates(questions: DataFrame, passages: DataFrame, codes: DataFrame, books: np.ndarray, k: int) -> int:

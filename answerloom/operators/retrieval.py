@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.functions.text import context_prompt
 from answerloom.functions.vectors import inner_product
-from answerloom.operators.scoring import SCORE_DIGITS, rank_top
+from answerloom.operators.held import (
+    BLOCK_ROWS, LARGEST_BLOCK, block_count, element_type, emitted, packed, past_held, unpacked)
+from answerloom.operators.scoring import PAIRS_HELD as PAIRS_SCORED
+from answerloom.operators.scoring import SCORE_DIGITS, BestK, TopK, _matrix, rank_top
 from answerloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, fits, skew_join
 from answerloom.operators.stored import written_once
 
@@ -45,6 +50,44 @@ def rescore(found: DataFrame, questions: DataFrame, passages: DataFrame, k: int,
         inner_product(F.col("_q"), F.col("_p")), SCORE_DIGITS).alias("score")), k)
 
 
+def rescore_held(found: DataFrame, questions: DataFrame, passages: DataFrame, k: int, n: int,
+                 question_block: int = BLOCK_ROWS) -> DataFrame:
+    """``rescore`` for very many questions with at most ``n`` passages each.
+
+    Blocks of questions are held with their lists of ids while the vectors of all passages stream past, so vectors are
+    repeated once for each block and not once for each pair.
+    """
+    listed = found.groupBy("question_id").agg(F.collect_set("passage_id").alias("wanted"))
+    held = written_once(questions.select("question_id", F.col("vector").cast("array<double>").alias("vector")).join(
+        listed, "question_id"))
+
+    def run(table: pa.Table, batches):
+        wanted = table["wanted"].combine_chunks()
+        ids, owner = wanted.flatten().to_numpy(), np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
+        order = np.argsort(ids, kind="stable")
+        ids, owner, asked = ids[order], owner[order], _matrix(table["vector"])
+        best = BestK(len(asked), k)
+        for batch in batches:
+            names = batch.column(0).to_numpy(zero_copy_only=False)
+            low, high = np.searchsorted(ids, names, "left"), np.searchsorted(ids, names, "right")
+            row = np.repeat(np.arange(len(names)), high - low)
+            if len(row):
+                pair = np.arange(len(row)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[row]
+                vectors, score = unpacked(batch.column(1), kind).astype(np.float64), np.empty(len(row))
+                for at in range(0, len(row), PAIRS_SCORED):
+                    part = slice(at, at + PAIRS_SCORED)
+                    score[part] = np.einsum("ij,ij->i", asked[owner[pair[part]]], vectors[row[part]])
+                best.add_cells(owner[pair], names[row], np.round(score, SCORE_DIGITS))
+        yield from emitted(pa.table({"question_id": table["question_id"].combine_chunks().take(pa.array(best.row)),
+                                     "passage_id": best.pid, "score": best.score}))
+
+    blocks = block_count(held.count(), n, question_block, 2 * LARGEST_BLOCK)
+    stored = passages.where("passage_id is not null").select(
+        F.col("passage_id").cast("bigint").alias("passage_id"), F.col("vector").alias("known"))
+    kind = element_type(stored, "known")
+    return rank_top(written_once(past_held(held, packed(stored, "known"), run, TopK.schema, blocks)), k, False)
+
+
 def context_prompts(retrieved: DataFrame, questions: DataFrame) -> DataFrame:
     """One generator prompt per retrieved passage."""
     asked = questions.select("question_id", F.col("text").alias("question"))

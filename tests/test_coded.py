@@ -5,7 +5,7 @@ import os
 import numpy as np
 import pytest
 
-from answerloom.operators import ann, coded
+from answerloom.operators import ann, coded, held
 from answerloom.operators.scoring import top_passages
 
 PASSAGES, QUESTIONS = "passage_id bigint, vector array<float>", "question_id bigint, vector array<double>"
@@ -119,6 +119,35 @@ def test_few_or_no_rows(spark):
     assert coded.coded_search(asked.limit(0), one, codes, coded.rule_books(one), 5, 5).count() == 0
 
 
+def test_held_blocks_give_the_rows_of_the_broadcast(spark, tables):
+    """Also for ids that repeat on either side, and for passages without an id."""
+    passages, asked = tables
+    books = coded.rule_books(passages)
+    passages = passages.unionByName(passages.where("passage_id % 9 = 0"))
+    asked = asked.unionByName(asked.where("question_id < 5"))
+    codes = coded.coded(passages, books)
+    unnamed = passages.unionByName(spark.createDataFrame([(None, [100.0] * 18)], PASSAGES))
+    few = coded.coded_search(asked, unnamed, codes, books, 10, 40)
+    many = coded.coded_search(asked, unnamed, codes, books, 10, 40, broadcast_questions=0, question_block=40)
+    key = lambda f: sorted(tuple(r) for r in f.collect())
+    assert key(many) == key(few) and many.columns == few.columns
+    nothing = coded.coded_search(asked, passages.limit(0), codes.limit(0), books, 10, 40, broadcast_questions=0)
+    assert nothing.count() == 0
+
+
+def test_partial_rows_do_not_grow_with_blocks_of_passages(tables, monkeypatch):
+    """A task sends the best of all passages, in batches of bounded size."""
+    passages, asked = tables
+    books = coded.rule_books(passages)
+    partial = []
+    ranked = coded.rank_top
+    monkeypatch.setattr(coded, "rank_top", lambda found, *a: (partial.append(found), ranked(found, *a))[1])
+    coded.coded_candidates(asked, coded.coded(passages, books), books, 7, broadcast_questions=0, question_block=50, passage_block=200)
+    assert partial[0].count() == 150 * 7
+    sizes = [b.num_rows for b in held.emitted(coded.pa.table({"x": np.arange(150_000)}))]
+    assert max(sizes) <= held.EMITTED_ROWS and sum(sizes) == 150_000
+
+
 def test_candidates_are_found_once(tables):
     """The join and its search for hot passages read stored pairs."""
     passages, asked = tables
